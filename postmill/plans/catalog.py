@@ -155,3 +155,157 @@ def enrich_posts(spark, sf):
     e = EN.enrich(TB.stored_posts(spark, sf))
     return e.select("post_id", "cleaned_title", "cleaned_selftext", "masked_author", "readable_date", "ocr_text",
                     TX.list_text("keywords").alias("keywords"), TX.list_text("topics").alias("topics"))
+
+
+# ---------------------------------------------------------------- reports
+
+from postmill.operators import report as RP  # noqa: E402
+from postmill.sources import listing as LS  # noqa: E402
+from postmill.sources import store as ST  # noqa: E402
+from postmill import schema as SC  # noqa: E402
+
+VECTORED = f"""(SELECT s.*, e.embedding, e.label AS cluster_id FROM {STORED} s
+               LEFT JOIN embeddings e ON cast(e.vec_id AS varchar) = s.post_id)"""
+
+
+def vectored_posts(spark, sf):
+    return TB.stored_posts(spark, sf).join(TB.post_vectors(spark, sf), "post_id", "left")
+
+
+@register("status_counts", f"""
+    SELECT count(*) AS total,
+           count(*) FILTER (WHERE embedding IS NOT NULL AND len(embedding) > 0) AS embedded,
+           count(*) FILTER (WHERE cluster_id IS NOT NULL) AS clustered
+    FROM {VECTORED} p""")
+def status_counts(spark, sf):
+    return RP.status_counts(vectored_posts(spark, sf))
+
+
+@register("summary_by_source", f"""
+    SELECT subreddit, count(*) AS n_posts FROM {STORED} s GROUP BY subreddit
+    ORDER BY n_posts DESC, subreddit LIMIT 10""")
+def summary_by_source(spark, sf):
+    return RP.by_source(TB.stored_posts(spark, sf))
+
+
+@register("summary_avgs", f"""
+    SELECT count(*) AS total_posts, round(coalesce(avg(score), 0), 6) AS avg_score,
+           round(coalesce(avg(num_comments), 0), 6) AS avg_comments FROM {STORED} s""")
+def summary_avgs(spark, sf):
+    return RP.averages(TB.stored_posts(spark, sf))
+
+
+@register("top_posts", f"""
+    SELECT post_id, subreddit, score, {Q.cut_title('title')} AS short_title FROM {STORED} s
+    ORDER BY score DESC, cast(post_id AS bigint) LIMIT 5""")
+def top_posts(spark, sf):
+    return RP.top_by_score(TB.stored_posts(spark, sf))
+
+
+@register("title_truncate", f"""
+    SELECT post_id, {Q.cut_title('title')} AS short_title,
+           substr(CASE WHEN ct = '' THEN '{L.NO_TITLE}' ELSE ct END, 1, {L.SEARCH_TITLE_CHARS}) AS search_title,
+           substr(CASE WHEN ct = '' THEN '{L.NO_TITLE}' ELSE ct END, 1, {L.SAMPLE_TITLE_CHARS}) AS sample_title
+    FROM (SELECT post_id, title, {Q.strong_clean('title')} AS ct FROM {STORED} s) x""")
+def title_truncate(spark, sf):
+    s = TB.stored_posts(spark, sf).withColumn("ct", TX.title_or_placeholder(TX.strong_clean("title")))
+    return s.select("post_id", TX.cut_title("title").alias("short_title"),
+                    TX.prefix("ct", L.SEARCH_TITLE_CHARS).alias("search_title"),
+                    TX.prefix("ct", L.SAMPLE_TITLE_CHARS).alias("sample_title"))
+
+
+USER_SQL = ("SELECT p.subreddit, count(*) AS n_posts, "
+            "sum(CASE WHEN p.is_self THEN 1 ELSE 0 END) AS n_self, max(p.score) AS max_score, "
+            "count(DISTINCT p.flair) AS n_flairs FROM posts p GROUP BY p.subreddit")
+
+
+@register("sql_view", f"WITH posts AS {STORED} {USER_SQL}")
+def sql_view(spark, sf):
+    return RP.run_sql(spark, {"posts": TB.stored_posts(spark, sf)}, USER_SQL)
+
+
+# ---------------------------------------------------------------- ingestion
+
+def _runs(spark, sf):
+    """Two landed fetch runs built from the given tables.
+
+    Run 1 (June 1) listed the English posts ('top/all'); run 2 (June 2) listed every
+    post twice, in 'hot' (score + 1) and then 'new' (score + 2). Every page also holds
+    one non-post child.
+    """
+    v = TB.posts_view(spark, sf)
+    run1 = LS.listing_envelopes(v.where(F.col("flair") == "en"), F.concat("subreddit", F.lit("/top/all")),
+                                fetched_at="2024-06-01 00:00:00")
+    hot = LS.listing_envelopes(v, F.concat("subreddit", F.lit("/hot")), score_bump=1, fetched_at="2024-06-02 00:00:00")
+    new = LS.listing_envelopes(v, F.concat("subreddit", F.lit("/new")), score_bump=2, fetched_at="2024-06-02 00:00:00")
+    return run1, hot.unionByName(new)
+
+
+def _empty_store(spark):
+    return spark.createDataFrame([], SC.POSTS)
+
+
+_RUNS_SQL = f"""
+    WITH v AS ({Q.POSTS_VIEW}),
+    arr AS (SELECT post_id, subreddit, title, score, '2024-06-01' AS fetched_day, 1 AS run, 0 AS lst
+            FROM v WHERE flair = 'en'
+            UNION ALL SELECT post_id, subreddit, title, score + 1, '2024-06-02', 2, 0 FROM v
+            UNION ALL SELECT post_id, subreddit, title, score + 2, '2024-06-02', 2, 1 FROM v)"""
+
+
+@register("dedup_append", _RUNS_SQL + f"""
+    SELECT post_id, subreddit, {Q.light_clean('title')} AS title, score, fetched_day
+    FROM (SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY run, lst) AS rn FROM arr) x
+    WHERE rn = 1 AND post_id <> '' AND subreddit IS NOT NULL""")
+def dedup_append(spark, sf):
+    run1, run2 = _runs(spark, sf)
+    store = ST.append(_empty_store(spark), LS.to_posts(run1))
+    store = ST.append(store, LS.to_posts(run2))
+    return store.select("post_id", "subreddit", "title", "score",
+                        F.date_format("fetched_at", "yyyy-MM-dd").alias("fetched_day"))
+
+
+@register("listing_cap", f"""
+    WITH v AS ({Q.POSTS_VIEW}),
+    l AS (SELECT subreddit || '/hot' AS listing, post_id FROM v UNION ALL SELECT subreddit || '/new', post_id FROM v),
+    r AS (SELECT listing, row_number() OVER (PARTITION BY listing ORDER BY cast(post_id AS bigint)) AS rn FROM l)
+    SELECT listing, count(*) AS n_fetched, count(*) FILTER (WHERE rn <= {L.LISTING_CEILING}) AS n_kept
+    FROM r GROUP BY listing""")
+def listing_cap(spark, sf):
+    _, run2 = _runs(spark, sf)
+    rows = LS.to_posts(run2)
+    kept = ST.cap_per_listing(rows).groupBy("listing").agg(F.count(F.lit(1)).alias("n_kept"))
+    fetched = rows.groupBy("listing").agg(F.count(F.lit(1)).alias("n_fetched"))
+    return fetched.join(kept, "listing", "left").select(
+        "listing", "n_fetched", F.coalesce("n_kept", F.lit(0)).cast("bigint").alias("n_kept"))
+
+
+_KW_SQL = _topk_sql(f"({_enriched_sql()})", "post_id", Q.drop_words(Q.tokens("combined")), L.KEYWORDS_PER_POST)
+_TOPIC_SQL = _topics_sql(f"({_enriched_sql()})", "post_id", "combined")
+
+
+@register("schema_evolve", f"""
+    SELECT s.post_id,
+           CASE WHEN s.flair = 'en' THEN k.keywords ELSE '' END AS keywords,
+           CASE WHEN s.flair = 'en' THEN t.topics ELSE '' END AS topics,
+           '' AS ocr_text, CASE WHEN s.flair = 'en' THEN 1 ELSE 0 END AS is_processed
+    FROM {STORED} s JOIN ({_KW_SQL}) k ON k.post_id = s.post_id JOIN ({_TOPIC_SQL}) t ON t.post_id = s.post_id""")
+def schema_evolve(spark, sf):
+    s = TB.stored_posts(spark, sf)
+    done = EN.enrich(s.where(F.col("flair") == "en")).select(
+        "post_id", TX.list_text("keywords").alias("keywords"), TX.list_text("topics").alias("topics"),
+        "ocr_text", F.lit(1).alias("is_processed"))
+    todo = s.where(F.col("flair") != "en").select("post_id")
+    out = ST.evolve([done, todo], {"keywords": "", "topics": "", "ocr_text": "", "is_processed": 0})
+    return out.select("post_id", "keywords", "topics", "ocr_text", "is_processed")
+
+
+@register("pending_posts", f"""
+    SELECT s.post_id, k.keywords, t.topics
+    FROM {STORED} s JOIN ({_KW_SQL}) k ON k.post_id = s.post_id JOIN ({_TOPIC_SQL}) t ON t.post_id = s.post_id
+    WHERE s.flair <> 'en'""")
+def pending_posts(spark, sf):
+    s = TB.stored_posts(spark, sf)
+    enriched = EN.enrich(s.where(F.col("flair") == "en"))
+    e = EN.enrich_pending(s, enriched)
+    return e.select("post_id", TX.list_text("keywords").alias("keywords"), TX.list_text("topics").alias("topics"))
