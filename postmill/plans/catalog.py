@@ -309,3 +309,245 @@ def pending_posts(spark, sf):
     enriched = EN.enrich(s.where(F.col("flair") == "en"))
     e = EN.enrich_pending(s, enriched)
     return e.select("post_id", TX.list_text("keywords").alias("keywords"), TX.list_text("topics").alias("topics"))
+
+
+# ---------------------------------------------------------------- vectors and clusters (given labels)
+
+from postmill.functions import vectors as V  # noqa: E402
+from postmill.operators import vectors as VO  # noqa: E402
+from postmill.operators import profile as PF  # noqa: E402
+from postmill.operators import search as SE  # noqa: E402
+
+EMB = "(SELECT cast(vec_id AS varchar) AS post_id, cast(embedding AS double[]) AS vec, label AS cluster_id FROM embeddings)"
+NORMED = f"""(SELECT post_id, cluster_id,
+       CASE WHEN nrm > 0 THEN list_transform(vec, lambda x : x / nrm) ELSE list_transform(vec, lambda x : 0.0) END AS u
+     FROM (SELECT *, sqrt(list_sum(list_transform(vec, lambda x : x * x))) AS nrm FROM {EMB} e0) e1)"""
+
+
+def _sums_sql(src: str, key: str, vcol: str) -> str:
+    """(key, n, s): member count and componentwise sum list per key."""
+    return f"""(SELECT d.{key}, c.n, d.s FROM
+      (SELECT {key}, list(s ORDER BY i) AS s FROM
+         (SELECT {key}, i, sum(x) AS s FROM
+            (SELECT {key}, unnest({vcol}) AS x, unnest(range(len({vcol}))) AS i FROM {src} z0) z1
+          GROUP BY {key}, i) z2 GROUP BY {key}) d
+      JOIN (SELECT {key}, count(*) AS n FROM {src} z3 GROUP BY {key}) c ON c.{key} = d.{key})"""
+
+
+def members(spark, sf):
+    """Enriched posts that have a stored vector and a given cluster label."""
+    e = EN.enrich(TB.stored_posts(spark, sf))
+    s = TB.stored_posts(spark, sf).select("post_id", "score", "subreddit")
+    return e.join(s, "post_id").join(TB.post_vectors(spark, sf).withColumnRenamed("embedding", "vec"), "post_id")
+
+
+def given_vectors(spark, sf):
+    return TB.post_vectors(spark, sf).withColumnRenamed("embedding", "vec")
+
+
+@register("vector_json_roundtrip", f"""
+    SELECT post_id, cast(len(vec) AS int) AS n_values,
+           from_json(to_json(vec), '["DOUBLE"]') = vec AS roundtrip_equal,
+           round(list_sum(from_json(to_json(vec), '["DOUBLE"]')), 6) AS checksum
+    FROM {EMB} e""")
+def vector_json_roundtrip(spark, sf):
+    g = given_vectors(spark, sf).select("post_id", V.as_double("vec").alias("vec"))
+    back = V.from_json_text(V.to_json_text("vec"))
+    return g.select("post_id", F.size("vec").alias("n_values"), (back == F.col("vec")).alias("roundtrip_equal"),
+                    F.round(V.vsum(back), 6).alias("checksum"))
+
+
+@register("l2_normalize", f"""
+    SELECT post_id, round(sqrt(list_sum(list_transform(u, lambda x : x * x))), 6) AS norm_after,
+           round(list_sum(u), 6) AS checksum FROM {NORMED} n""")
+def l2_normalize(spark, sf):
+    g = given_vectors(spark, sf).select("post_id", V.l2_normalize("vec").alias("u"))
+    return g.select("post_id", F.round(V.norm("u"), 6).alias("norm_after"), F.round(V.vsum("u"), 6).alias("checksum"))
+
+
+@register("cluster_centroids", f"""
+    SELECT cluster_id, n, cast(i AS int) AS dim, round(s / n, 6) AS value
+    FROM (SELECT cluster_id, n, unnest(s) AS s, unnest(range(len(s))) AS i FROM {_sums_sql(EMB, 'cluster_id', 'vec')} c) x""")
+def cluster_centroids(spark, sf):
+    c = VO.centroids(given_vectors(spark, sf))
+    return c.select("cluster_id", "n", F.posexplode("centroid").alias("dim", "value")) \
+        .select("cluster_id", "n", "dim", F.round("value", 6).alias("value"))
+
+
+@register("nearest_centroid", f"""
+    WITH c AS (SELECT cluster_id AS cid, list_transform(s, lambda x : x / n) AS cen FROM {_sums_sql(EMB, 'cluster_id', 'vec')} c0),
+    d AS (SELECT e.post_id, e.cluster_id, c.cid, list_sum(list_transform(list_zip(e.vec, c.cen), lambda p : (p[1] - p[2]) * (p[1] - p[2]))) AS d2
+          FROM {EMB} e, c)
+    SELECT post_id, cluster_id, arg_min(cid, [d2, cid]) AS nearest, round(min(d2), 6) AS sq_dist
+    FROM d GROUP BY post_id, cluster_id""")
+def nearest_centroid(spark, sf):
+    g = given_vectors(spark, sf)
+    cents = VO.collect_params(VO.centroids(g), ["centroid"])
+    out = VO.nearest_centroid(g, cents)
+    return out.select("post_id", "cluster_id", "nearest", F.round("nearest_sq_dist", 6).alias("sq_dist"))
+
+
+@register("intra_similarity", f"""
+    WITH c AS (SELECT cluster_id, n, s, list_transform(s, lambda x : x / n) AS m FROM {_sums_sql(NORMED, 'cluster_id', 'u')} c0 WHERE n >= 2),
+    h AS (SELECT *, sqrt(list_sum(list_transform(m, lambda x : x * x))) + 1e-12 AS mn FROM c)
+    SELECT round(coalesce(sum(list_dot_product(s, list_transform(m, lambda x : x / mn))) / sum(n), 0.0), 6)
+             AS avg_intra_cluster_similarity,
+           coalesce(sum(n), 0) AS n_members FROM h""")
+def intra_similarity(spark, sf):
+    r = VO.intra_similarity(given_vectors(spark, sf))
+    return r.select(F.round("avg_intra_cluster_similarity", 6).alias("avg_intra_cluster_similarity"),
+                    F.col("n_members").cast("bigint").alias("n_members"))
+
+
+@register("silhouette_cosine", f"""
+    WITH c AS {_sums_sql(NORMED, 'cluster_id', 'u')},
+    d AS (SELECT p.post_id, p.cluster_id AS own, c.cluster_id AS cid, c.n, list_dot_product(p.u, c.s) AS xs,
+                 list_dot_product(p.u, p.u) AS xx FROM {NORMED} p, c),
+    a AS (SELECT post_id, max(CASE WHEN cid = own THEN n END) AS n_own,
+                 max(CASE WHEN cid = own AND n > 1 THEN (n - 1 - (xs - xx)) / (n - 1) END) AS a,
+                 min(CASE WHEN cid <> own THEN (n - xs) / n END) AS b FROM d GROUP BY post_id)
+    SELECT CASE WHEN (SELECT count(*) FROM c) < 2 THEN -1.0
+                ELSE round(avg(CASE WHEN n_own <= 1 OR greatest(a, b) = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) END
+             AS silhouette_cosine,
+           count(*) AS n_points FROM a""")
+def silhouette_cosine(spark, sf):
+    r = VO.silhouette_cosine(given_vectors(spark, sf))
+    return r.select(F.round("silhouette_cosine", 6).alias("silhouette_cosine"), "n_points")
+
+
+@register("silhouette_euclidean", f"""
+    WITH pd AS (SELECT a.post_id, a.cluster_id AS own, b.cluster_id AS cid, list_distance(a.vec, b.vec) AS d
+                FROM {EMB} a, {EMB} b WHERE a.post_id <> b.post_id),
+    ag AS (SELECT post_id, own, cid, avg(d) AS md FROM pd GROUP BY post_id, own, cid),
+    s AS (SELECT post_id, max(CASE WHEN cid = own THEN md END) AS a, min(CASE WHEN cid <> own THEN md END) AS b
+          FROM ag GROUP BY post_id)
+    SELECT round(avg(CASE WHEN a IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette_euclidean,
+           count(*) AS n_points FROM s""")
+def silhouette_euclidean(spark, sf):
+    r = VO.silhouette_euclidean(given_vectors(spark, sf), "post_id")
+    return r.select(F.round("silhouette_euclidean", 6).alias("silhouette_euclidean"), "n_points")
+
+
+ENR = f"({_enriched_sql()})"
+MEMBERS = f"""(SELECT e.post_id, e.cleaned_title, e.cleaned_selftext, s.score, s.subreddit, v.vec, v.cluster_id
+              FROM {ENR} e JOIN {STORED} s ON s.post_id = e.post_id JOIN {EMB} v ON v.post_id = e.post_id)"""
+
+
+def _group_topk_sql(src: str, key: str, text_expr: str, order_expr: str, n: int, out_rows: bool = False) -> str:
+    base = f"""
+    WITH t AS (SELECT {key}, {order_expr} AS ord, {Q.drop_words(Q.tokens(text_expr))} AS toks FROM {src} s0 WHERE {key} IS NOT NULL),
+    u AS (SELECT {key}, ord, unnest(toks) AS tok, unnest(range(1, len(toks) + 1)) AS pos FROM t),
+    g AS (SELECT {key}, tok, count(*) AS n, min([ord, pos]) AS first FROM u GROUP BY {key}, tok),
+    r AS (SELECT {key}, tok, n, row_number() OVER (PARTITION BY {key} ORDER BY n DESC, first) AS rk FROM g)"""
+    if out_rows:
+        return base + f" SELECT {key}, rk AS rank, tok AS word, n AS count FROM r WHERE rk <= {n}"
+    return base + f" SELECT {key}, string_agg(tok, ', ' ORDER BY rk) AS cluster_keywords FROM r WHERE rk <= {n} GROUP BY {key}"
+
+
+CLUSTER_KW_SQL = _group_topk_sql(MEMBERS, "cluster_id", Q.join_text("cleaned_title", "cleaned_selftext"),
+                                 "cast(post_id AS bigint)", L.KEYWORDS_PER_CLUSTER)
+
+
+@register("cluster_keywords", CLUSTER_KW_SQL)
+def cluster_keywords(spark, sf):
+    k = PF.cluster_keywords(members(spark, sf))
+    return k.select("cluster_id", TX.list_text("cluster_keywords").alias("cluster_keywords"))
+
+
+@register("cluster_sizes", f"""
+    SELECT c.cluster_id, c.n_posts, coalesce(k.cluster_keywords, '') AS cluster_keywords
+    FROM (SELECT cluster_id, count(*) AS n_posts FROM {MEMBERS} m GROUP BY cluster_id) c
+    LEFT JOIN ({CLUSTER_KW_SQL}) k ON k.cluster_id = c.cluster_id""")
+def cluster_sizes(spark, sf):
+    m = members(spark, sf)
+    kw = PF.cluster_keywords(m).select("cluster_id", TX.list_text("cluster_keywords").alias("cluster_keywords"))
+    r = RP.cluster_sizes(m, kw)
+    return r.select("cluster_id", "n_posts", F.coalesce("cluster_keywords", F.lit("")).alias("cluster_keywords"))
+
+
+@register("cluster_samples", f"""
+    SELECT cluster_id, rank, post_id, title FROM (
+      SELECT cluster_id, post_id,
+             substr(CASE WHEN coalesce(cleaned_title, '') = '' THEN '{L.NO_TITLE}' ELSE cleaned_title END, 1, {L.SAMPLE_TITLE_CHARS}) AS title,
+             row_number() OVER (PARTITION BY cluster_id ORDER BY cast(post_id AS bigint)) AS rank
+      FROM {MEMBERS} m) x WHERE rank <= {L.SAMPLE_TITLES_PER_CLUSTER}""")
+def cluster_samples(spark, sf):
+    return PF.cluster_samples(members(spark, sf)).select("cluster_id", "rank", "post_id", "title")
+
+
+# ---------------------------------------------------------------- search (queries = benchmark texts)
+
+BENCH_Q = f"""(SELECT b.item_id, b.text AS query_text, e.vec AS query_vec FROM benchmark b
+              LEFT JOIN {EMB} e ON e.post_id = cast(b.item_id AS varchar))"""
+
+
+def bench_queries(spark, sf):
+    """Benchmark texts as search queries; a query's vector is the stored vector of the post
+    with the same id (no text encoder is bundled)."""
+    b = TB.table(spark, sf, "benchmark").select("item_id", F.col("text").alias("query_text"))
+    v = given_vectors(spark, sf).select(F.col("post_id").cast("bigint").alias("item_id"), F.col("vec").alias("query_vec"))
+    return b.join(v, "item_id", "left")
+
+
+SEM_SQL = f"""
+    WITH c AS (SELECT cluster_id, list_transform(s, lambda x : x / n) AS cen FROM {_sums_sql(f"(SELECT * FROM {MEMBERS} m0 WHERE len(vec) > 0)", 'cluster_id', 'vec')} c0),
+    sc AS (SELECT q.item_id, q.query_text, c.cluster_id,
+                  list_dot_product(q.query_vec, c.cen) / (sqrt(list_dot_product(q.query_vec, q.query_vec)) * sqrt(list_dot_product(c.cen, c.cen)) + 1e-10) AS sim
+           FROM {BENCH_Q} q, c),
+    best AS (SELECT item_id, arg_max(cluster_id, [sim, -cluster_id]) AS bc, max(sim) AS ms FROM sc GROUP BY item_id)
+    SELECT q.item_id, CASE WHEN coalesce(b.ms, -1.0) > -1.0 THEN b.bc ELSE 0 END AS best_cluster,
+           CASE WHEN coalesce(b.ms, -1.0) > -1.0 THEN b.ms ELSE -1.0 END AS similarity
+    FROM {BENCH_Q} q LEFT JOIN best b ON b.item_id = q.item_id"""
+
+
+def _semantic(spark, sf):
+    return SE.semantic_match(bench_queries(spark, sf), members(spark, sf), qvec="query_vec", vec="vec")
+
+
+@register("search_semantic", f"SELECT item_id, best_cluster, round(similarity, 6) AS similarity FROM ({SEM_SQL}) s")
+def search_semantic(spark, sf):
+    return _semantic(spark, sf).select("item_id", "best_cluster", F.round("similarity", 6).alias("similarity"))
+
+
+@register("search_keyword", f"""
+    WITH qt AS (SELECT item_id, unnest(list_distinct({Q.drop_words(Q.tokens('text'))})) AS word FROM benchmark),
+    kw AS (SELECT cluster_id, unnest(list_distinct(string_split(lower(cluster_keywords), ', '))) AS word FROM ({CLUSTER_KW_SQL}) k0),
+    ov AS (SELECT item_id, cluster_id, count(*) AS overlap FROM qt JOIN kw USING (word) GROUP BY item_id, cluster_id),
+    best AS (SELECT item_id, arg_max(cluster_id, [overlap, -cluster_id]) AS bc, max(overlap) AS mo FROM ov GROUP BY item_id)
+    SELECT b0.item_id, coalesce(best.bc, 0) AS best_cluster, coalesce(best.mo, 0) AS overlap
+    FROM benchmark b0 LEFT JOIN best ON best.item_id = b0.item_id""")
+def search_keyword(spark, sf):
+    q = TB.table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query_text"))
+    kw = PF.cluster_keywords(members(spark, sf))
+    r = SE.keyword_match(q, kw)
+    return r.select(F.col("query_id").alias("item_id"), "best_cluster", "overlap")
+
+
+@register("search_posts", f"""
+    WITH m AS (SELECT item_id, best_cluster FROM ({SEM_SQL}) s),
+    p AS (SELECT cluster_id, post_id, score, subreddit,
+                 substr(CASE WHEN coalesce(cleaned_title, '') = '' THEN '{L.NO_TITLE}' ELSE cleaned_title END, 1, {L.SEARCH_TITLE_CHARS}) AS title,
+                 row_number() OVER (PARTITION BY cluster_id ORDER BY score DESC, cast(post_id AS bigint)) AS rank,
+                 count(*) OVER (PARTITION BY cluster_id) AS cluster_size
+          FROM {MEMBERS} m0)
+    SELECT m.item_id, m.best_cluster, p.rank, p.post_id, p.score, p.subreddit, p.title, p.cluster_size,
+           greatest(p.cluster_size - {L.SEARCH_SHOWN_POSTS}, 0) AS n_more
+    FROM m JOIN p ON p.cluster_id = m.best_cluster WHERE p.rank <= {L.SEARCH_SHOWN_POSTS}""")
+def search_posts(spark, sf):
+    r = SE.search_posts(_semantic(spark, sf).select("item_id", "best_cluster"),
+                        SE.top_posts_per_cluster(members(spark, sf)))
+    return r.select("item_id", "best_cluster", "rank", "post_id", "score", "subreddit", "title", "cluster_size", "n_more")
+
+
+@register("title_histogram", f"""
+    WITH m AS (SELECT s.item_id, b.text AS query_text, s.best_cluster FROM ({SEM_SQL}) s
+               JOIN benchmark b ON b.item_id = s.item_id),
+    h AS ({_group_topk_sql(MEMBERS, "cluster_id", "cleaned_title", "[-score, cast(post_id AS bigint)]", 10, out_rows=True)})
+    SELECT m.item_id, m.best_cluster, h.rank, h.word, h.count, instr(lower(m.query_text), h.word) > 0 AS query_match
+    FROM m JOIN h ON h.cluster_id = m.best_cluster""")
+def title_histogram(spark, sf):
+    m = _semantic(spark, sf).select("item_id", "query_text", "best_cluster")
+    h = PF.title_histogram(members(spark, sf)).withColumnRenamed("cluster_id", "best_cluster")
+    return m.join(h, "best_cluster").select(
+        "item_id", "best_cluster", "rank", "word", "count",
+        (F.instr(F.lower("query_text"), F.col("word")) > 0).alias("query_match"))
