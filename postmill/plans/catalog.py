@@ -437,7 +437,7 @@ def _group_topk_sql(src: str, key: str, text_expr: str, order_expr: str, n: int,
     base = f"""
     WITH t AS (SELECT {key}, {order_expr} AS ord, {Q.drop_words(Q.tokens(text_expr))} AS toks FROM {src} s0 WHERE {key} IS NOT NULL),
     u AS (SELECT {key}, ord, unnest(toks) AS tok, unnest(range(1, len(toks) + 1)) AS pos FROM t),
-    g AS (SELECT {key}, tok, count(*) AS n, min([ord, pos]) AS first FROM u GROUP BY {key}, tok),
+    g AS (SELECT {key}, tok, count(*) AS n, min(list_concat(ord, [pos])) AS first FROM u GROUP BY {key}, tok),
     r AS (SELECT {key}, tok, n, row_number() OVER (PARTITION BY {key} ORDER BY n DESC, first) AS rk FROM g)"""
     if out_rows:
         return base + f" SELECT {key}, rk AS rank, tok AS word, n AS count FROM r WHERE rk <= {n}"
@@ -445,7 +445,7 @@ def _group_topk_sql(src: str, key: str, text_expr: str, order_expr: str, n: int,
 
 
 CLUSTER_KW_SQL = _group_topk_sql(MEMBERS, "cluster_id", Q.join_text("cleaned_title", "cleaned_selftext"),
-                                 "cast(post_id AS bigint)", L.KEYWORDS_PER_CLUSTER)
+                                 "[cast(post_id AS bigint)]", L.KEYWORDS_PER_CLUSTER)
 
 
 @register("cluster_keywords", CLUSTER_KW_SQL)
