@@ -551,3 +551,98 @@ def title_histogram(spark, sf):
     return m.join(h, "best_cluster").select(
         "item_id", "best_cluster", "rank", "word", "count",
         (F.instr(F.lower("query_text"), F.col("word")) > 0).alias("query_match"))
+
+
+# ---------------------------------------------------------------- word tables and document vectors
+
+from postmill.operators import wordvec as WV  # noqa: E402
+
+TRAIN = f"""(SELECT post_id, CASE WHEN len(toks) = 0 THEN ['{L.EMPTY_TEXT}'] ELSE toks END AS tokens
+            FROM (SELECT post_id, {Q.tokens('combined')} AS toks FROM {ENR} e0 WHERE combined <> '') t0)"""
+VOCAB = f"(SELECT word, count(*) AS n FROM (SELECT unnest(tokens) AS word FROM {TRAIN} t1) t2 GROUP BY word HAVING count(*) >= 2)"
+
+
+def training(spark, sf):
+    return WV.training_posts(EN.enrich(TB.stored_posts(spark, sf)))
+
+
+@register("vocab_min_count", f"SELECT word, n FROM {VOCAB} v")
+def vocab_min_count(spark, sf):
+    return WV.vocabulary(training(spark, sf))
+
+
+@register("ppmi_weights", f"""
+    WITH p AS (SELECT post_id, word, count(*) AS c FROM (SELECT post_id, unnest(tokens) AS word FROM {TRAIN} t) x
+               WHERE word IN (SELECT word FROM {VOCAB} v0) GROUP BY post_id, word),
+    d AS (SELECT post_id, sum(c) AS cd FROM p GROUP BY post_id),
+    tot AS (SELECT sum(n) AS nn FROM {VOCAB} v1)
+    SELECT post_id, word, c, round(ln(c * tot.nn / (d.cd * v.n)), 6) AS ppmi
+    FROM p JOIN d USING (post_id) JOIN {VOCAB} v USING (word), tot
+    WHERE ln(c * tot.nn / (d.cd * v.n)) > 0""")
+def ppmi_weights(spark, sf):
+    t = training(spark, sf)
+    return WV.ppmi(t, WV.vocabulary(t)).select("post_id", "word", "c", F.round("ppmi", 6).alias("ppmi"))
+
+
+# Word tables learned from the data: a word's vector is the mean stored vector of the
+# documents using it (>= 2 documents); a word's bin is the strongest dimension of that vector.
+
+def _doc_tokens(spark, sf, cased: bool):
+    e = EN.enrich(TB.stored_posts(spark, sf))
+    text = TX.join_text("cleaned_title", "cleaned_selftext", "ocr_text")
+    text = F.when(text == "", F.lit(L.EMPTY_TEXT)).otherwise(text)
+    return e.select("post_id", (TX.tokens_cased(text) if cased else TX.tokens(text)).alias("tokens"))
+
+
+def _word_table(spark, sf, cased: bool):
+    docs = _doc_tokens(spark, sf, cased).join(given_vectors(spark, sf), "post_id")
+    return VO.word_table(docs, "tokens")
+
+
+def _doc_tokens_sql(cased: bool) -> str:
+    tok = Q.tokens_cased if cased else Q.tokens
+    txt = f"CASE WHEN {Q.join_text('cleaned_title', 'cleaned_selftext', 'ocr_text')} = '' THEN '{L.EMPTY_TEXT}' " \
+          f"ELSE {Q.join_text('cleaned_title', 'cleaned_selftext', 'ocr_text')} END"
+    return f"(SELECT post_id, {tok(txt)} AS tokens FROM {ENR} e0)"
+
+
+def _word_table_sql(cased: bool) -> str:
+    return f"""(SELECT word, list(v ORDER BY i) AS vector FROM (
+        SELECT word, i, avg(x) AS v, count(*) AS nd FROM (
+          SELECT w.word, unnest(e.vec) AS x, unnest(range(len(e.vec))) AS i
+          FROM (SELECT post_id, unnest(list_distinct(tokens)) AS word FROM {_doc_tokens_sql(cased)} d0) w
+          JOIN {EMB} e ON e.post_id = w.post_id) x0 GROUP BY word, i) x1
+        GROUP BY word HAVING min(nd) >= 2)"""
+
+
+@register("mean_word_vector", f"""
+    WITH m AS (SELECT d.post_id, t.vector FROM (SELECT post_id, unnest(tokens) AS word FROM {_doc_tokens_sql(True)} d1) d
+               JOIN {_word_table_sql(True)} t ON t.word = d.word),
+    agg AS (SELECT post_id, count(*) AS n_matched, list(v ORDER BY i) AS vec FROM (
+              SELECT post_id, i, avg(x) AS v, count(*) AS cnt FROM (
+                 SELECT post_id, unnest(vector) AS x, unnest(range(len(vector))) AS i FROM m) y GROUP BY post_id, i) z
+            GROUP BY post_id),
+    cnt AS (SELECT post_id, count(*) AS n_matched FROM m GROUP BY post_id)
+    SELECT d.post_id, coalesce(cnt.n_matched, 0) AS n_matched,
+           round(coalesce(list_sum(agg.vec), 0.0), 6) AS vec_sum,
+           round(coalesce(sqrt(list_sum(list_transform(agg.vec, lambda x : x * x))), 0.0), 6) AS vec_norm
+    FROM {_doc_tokens_sql(True)} d LEFT JOIN agg ON agg.post_id = d.post_id LEFT JOIN cnt ON cnt.post_id = d.post_id""")
+def mean_word_vector(spark, sf):
+    words = _word_table(spark, sf, cased=True)
+    out = VO.mean_word_vectors(_doc_tokens(spark, sf, cased=True), "tokens", words, dim=64)
+    return out.select("post_id", "n_matched", F.round(V.vsum("doc_vector"), 6).alias("vec_sum"),
+                      F.round(V.norm("doc_vector"), 6).alias("vec_norm"))
+
+
+@register("word_bins_histogram", f"""
+    WITH b AS (SELECT word, list_position(vector, list_max(vector)) - 1 AS bin FROM {_word_table_sql(False)} t),
+    x AS (SELECT d.post_id, b.bin FROM (SELECT post_id, unnest(tokens) AS word FROM {TRAIN} t) d JOIN b ON b.word = d.word),
+    per AS (SELECT post_id, bin, count(*) AS c FROM x GROUP BY post_id, bin),
+    tot AS (SELECT post_id, sum(c) AS m FROM per GROUP BY post_id)
+    SELECT t.post_id, per.bin, round(per.c / tot.m, 6) AS weight
+    FROM {TRAIN} t LEFT JOIN per ON per.post_id = t.post_id LEFT JOIN tot ON tot.post_id = t.post_id""")
+def word_bins_histogram(spark, sf):
+    words = _word_table(spark, sf, cased=False)
+    bins = words.select("word", (F.array_position("vector", F.array_max("vector")) - 1).cast("int").alias("bin"))
+    h = VO.bin_histograms(training(spark, sf), "tokens", bins)
+    return h.select("post_id", "bin", F.round("weight", 6).alias("weight"))
