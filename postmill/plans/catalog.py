@@ -646,3 +646,117 @@ def word_bins_histogram(spark, sf):
     bins = words.select("word", (F.array_position("vector", F.array_max("vector")) - 1).cast("int").alias("bin"))
     h = VO.bin_histograms(training(spark, sf), "tokens", bins)
     return h.select("post_id", "bin", F.round("weight", 6).alias("weight"))
+
+
+# ---------------------------------------------------------------- MLlib, experiment, streaming (rows-only
+# unless the final table is deterministic)
+
+from postmill.operators import cluster as CL  # noqa: E402
+from postmill.operators import docvec as DV  # noqa: E402
+from postmill.operators import encode as EC  # noqa: E402
+from postmill.operators import evaluate as EV  # noqa: E402
+from postmill.plans import cluster_job as CJ  # noqa: E402
+from postmill.plans import experiment as XP  # noqa: E402
+from postmill.plans import stages as SG  # noqa: E402
+from postmill.session import scratch_path  # noqa: E402
+from postmill.streaming import ingest as IG  # noqa: E402
+
+
+@register("kmeans_restarts")
+def kmeans_restarts(spark, sf):
+    _, costs = CL.kmeans_restarts(given_vectors(spark, sf), L.EXPERIMENT_CLUSTERS)
+    best = min(c["training_cost"] for c in costs)
+    return spark.createDataFrame([(c["restart"], c["seed"], c["k"], c["training_cost"], c["training_cost"] == best)
+                                  for c in costs], "restart int, seed int, k int, training_cost double, is_best boolean")
+
+
+@register("auto_k")
+def auto_k(spark, sf):
+    best, rows = CL.auto_k(given_vectors(spark, sf), "post_id")
+    return spark.createDataFrame([(r["k"], r["silhouette"], r["training_cost"], r["k"] == best) for r in rows],
+                                 "k int, silhouette double, training_cost double, is_best boolean")
+
+
+@register("pca_2d")
+def pca_2d(spark, sf):
+    coords, ratio = CL.pca_2d(given_vectors(spark, sf))
+    return CL.footprint(coords).withColumn("pc1_variance_ratio", F.lit(ratio[0])) \
+        .withColumn("pc2_variance_ratio", F.lit(ratio[1]))
+
+
+@register("w2v_bins_vectors")
+def w2v_bins_vectors(spark, sf):
+    vecs, bins = DV.word2vec_bins(training(spark, sf), L.WORD2VEC_CONFIGS[0])
+    return vecs.select("post_id", F.lit(bins).alias("bins"), F.size(F.filter("vec", lambda x: x > 0)).alias("n_bins_used"),
+                       F.round(V.vsum("vec"), 6).alias("weight_sum"))
+
+
+@register("doc_vectors_als")
+def doc_vectors_als(spark, sf):
+    from postmill.session import checkpoint_dir
+    checkpoint_dir(spark)
+    vecs = DV.doc_vectors_als(training(spark, sf), L.DOC_VECTOR_CONFIGS[0])
+    return vecs.select("post_id", F.size("vec").alias("dim"), V.norm("vec").alias("norm"))
+
+
+@register("encoder_batch")
+def encoder_batch(spark, sf):
+    e = EN.enrich(TB.stored_posts(spark, sf))
+    text = TX.join_text("cleaned_title", "cleaned_selftext", "ocr_text")
+    out = EC.encode(e.select("post_id", text.alias("text")), "text")
+    return out.select("post_id", F.size("embedding").alias("dim"), F.round(V.norm("embedding"), 4).alias("norm"))
+
+
+def _experiment(spark, sf):
+    return XP.cached_results(spark, sf, lambda: training(spark, sf))
+
+
+@register("compare_embeddings")
+def compare_embeddings(spark, sf):
+    r = _experiment(spark, sf)
+    return r.select("method", EV.method_family("method").alias("family"), "n_posts", "n_clusters", "vector_dimension",
+                    "silhouette_cosine", "avg_intra_cluster_similarity", "word_bins",
+                    F.size("cluster_details").alias("n_cluster_details"))
+
+
+@register("best_config")
+def best_config(spark, sf):
+    return EV.best_config(_experiment(spark, sf)).select("method", "silhouette_cosine", "avg_intra_cluster_similarity")
+
+
+@register("dimension_winner")
+def dimension_winner(spark, sf):
+    return EV.dimension_winner(_experiment(spark, sf))
+
+
+@register("results_ordered")
+def results_ordered(spark, sf):
+    return EV.results_ordered(_experiment(spark, sf)).select(
+        "family", "vector_dimension", "method", "silhouette_cosine", "avg_intra_cluster_similarity")
+
+
+@register("cluster_job")
+def cluster_job(spark, sf):
+    out, _, _ = CJ.run(members(spark, sf), k=L.EXPERIMENT_CLUSTERS)
+    return out
+
+
+_DEDUP_SQL = ORACLES["dedup_append"]
+
+
+@register("stream_ingest", _DEDUP_SQL)
+def stream_ingest(spark, sf):
+    run1, run2 = _runs(spark, sf)
+    base = scratch_path(spark, "stream")
+    landing, store, ckpt = f"{base}/landing", f"{base}/posts", f"{base}/ckpt"
+    for pages in (run1, run2):
+        IG.land(pages, landing)
+        IG.run_once(spark, landing, store, ckpt)
+    return spark.read.parquet(store).select(
+        "post_id", "subreddit", "title", "score", F.date_format("fetched_at", "yyyy-MM-dd").alias("fetched_day"))
+
+
+@register("stage_runner")
+def stage_runner(spark, sf):
+    run1, run2 = _runs(spark, sf)
+    return SG.run(spark, [run1, run2])
