@@ -9,10 +9,16 @@ from postmill import lexicon as L
 from postmill.functions import text as TX
 
 
-def enrich(posts: DataFrame, unescape: bool = True) -> DataFrame:
-    """One projection per post; no shuffle. OCR text is always '' (OCR is not run)."""
+def enrich(posts: DataFrame, unescape: bool = True, keep=()) -> DataFrame:
+    """One projection per post; no shuffle. OCR text is always '' (OCR is not run).
+
+    Missing author / created_utc columns are treated as empty. ``keep`` columns pass through.
+    """
+    for c in ("author", "created_utc"):
+        if c not in posts.columns:
+            posts = posts.withColumn(c, F.lit(None).cast("string"))
     cleaned = posts.select(
-        "post_id",
+        "post_id", *keep,
         TX.strong_clean("title", unescape).alias("cleaned_title"),
         TX.strong_clean("selftext", unescape).alias("cleaned_selftext"),
         TX.mask_author(F.coalesce(F.col("author"), F.lit(""))).alias("masked_author"),

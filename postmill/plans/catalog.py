@@ -78,14 +78,14 @@ def posts_view(spark, sf):
 @register("light_clean", f"SELECT post_id, {Q.light_clean('title')} AS title, "
                          f"{Q.light_clean('selftext')} AS selftext FROM ({Q.POSTS_VIEW}) v")
 def light_clean(spark, sf):
-    v = TB.posts_view(spark, sf)
+    v = TB.posts_view(spark, sf, TB.TEXT_COLUMNS)
     return v.select("post_id", TX.light_clean("title").alias("title"), TX.light_clean("selftext").alias("selftext"))
 
 
 @register("strong_clean", f"SELECT post_id, {Q.strong_clean('title')} AS cleaned_title, "
                           f"{Q.strong_clean('selftext')} AS cleaned_selftext FROM {STORED} s")
 def strong_clean(spark, sf):
-    s = TB.stored_posts(spark, sf)
+    s = TB.stored_posts(spark, sf, TB.TEXT_COLUMNS)
     return s.select("post_id", TX.strong_clean("title").alias("cleaned_title"),
                     TX.strong_clean("selftext").alias("cleaned_selftext"))
 
@@ -103,21 +103,21 @@ def html_clean_pages(spark, sf):
 
 @register("mask_author", f"SELECT post_id, author, {Q.mask_author('author')} AS masked_author FROM ({Q.POSTS_VIEW}) v")
 def mask_author(spark, sf):
-    v = TB.posts_view(spark, sf)
+    v = TB.posts_view(spark, sf, ("post_id", "author"))
     return v.select("post_id", "author", TX.mask_author("author").alias("masked_author"))
 
 
 @register("readable_date", f"SELECT post_id, created_utc, {Q.readable_date('created_utc')} AS readable_date "
                            f"FROM ({Q.POSTS_VIEW}) v")
 def readable_date(spark, sf):
-    v = TB.posts_view(spark, sf)
+    v = TB.posts_view(spark, sf, ("post_id", "created_utc"))
     return v.select("post_id", "created_utc", TX.readable_date("created_utc").alias("readable_date"))
 
 
 @register("image_links", f"SELECT post_id, url, domain, is_self, "
                          f"{Q.is_image_link('url', 'domain', 'is_self')} AS is_image FROM ({Q.POSTS_VIEW}) v")
 def image_links(spark, sf):
-    v = TB.posts_view(spark, sf)
+    v = TB.posts_view(spark, sf, ("post_id", "url", "domain", "is_self"))
     return v.select("post_id", "url", "domain", "is_self", TX.is_image_link("url", "domain", "is_self").alias("is_image"))
 
 
@@ -125,7 +125,7 @@ def image_links(spark, sf):
     SELECT post_id, cast(len(toks) AS bigint) AS n_tokens, md5(array_to_string(toks, ' ')) AS tokens_md5
     FROM (SELECT post_id, {Q.tokens(Q.join_text('title', 'selftext'))} AS toks FROM {STORED} s) t""")
 def tokens_per_post(spark, sf):
-    s = TB.stored_posts(spark, sf)
+    s = TB.stored_posts(spark, sf, TB.TEXT_COLUMNS)
     toks = TX.tokens(TX.join_text("title", "selftext"))
     return s.select("post_id", toks.alias("toks")).select(
         "post_id", F.size("toks").cast("bigint").alias("n_tokens"),
@@ -135,13 +135,13 @@ def tokens_per_post(spark, sf):
 @register("keywords_per_post", _topk_sql(f"({_enriched_sql()})", "post_id",
                                          Q.drop_words(Q.tokens("combined")), L.KEYWORDS_PER_POST))
 def keywords_per_post(spark, sf):
-    e = EN.enrich(TB.stored_posts(spark, sf))
+    e = EN.enrich(TB.stored_posts(spark, sf, TB.TEXT_COLUMNS))
     return e.select("post_id", TX.list_text("keywords").alias("keywords"))
 
 
 @register("topics_per_post", _topics_sql(f"({_enriched_sql()})", "post_id", "combined"))
 def topics_per_post(spark, sf):
-    e = EN.enrich(TB.stored_posts(spark, sf))
+    e = EN.enrich(TB.stored_posts(spark, sf, TB.TEXT_COLUMNS))
     return e.select("post_id", TX.list_text("topics").alias("topics"))
 
 
@@ -152,7 +152,7 @@ def topics_per_post(spark, sf):
       ON k.post_id = e.post_id
     JOIN ({_topics_sql(f"({_enriched_sql()})", "post_id", "combined")}) t ON t.post_id = e.post_id""")
 def enrich_posts(spark, sf):
-    e = EN.enrich(TB.stored_posts(spark, sf))
+    e = EN.enrich(TB.stored_posts(spark, sf, TB.ENRICH_COLUMNS))
     return e.select("post_id", "cleaned_title", "cleaned_selftext", "masked_author", "readable_date", "ocr_text",
                     TX.list_text("keywords").alias("keywords"), TX.list_text("topics").alias("topics"))
 
@@ -169,7 +169,7 @@ VECTORED = f"""(SELECT s.*, e.embedding, e.label AS cluster_id FROM {STORED} s
 
 
 def vectored_posts(spark, sf):
-    return TB.stored_posts(spark, sf).join(TB.post_vectors(spark, sf), "post_id", "left")
+    return TB.stored_posts(spark, sf, ("post_id",)).join(TB.post_vectors(spark, sf), "post_id", "left")
 
 
 @register("status_counts", f"""
@@ -185,21 +185,21 @@ def status_counts(spark, sf):
     SELECT subreddit, count(*) AS n_posts FROM {STORED} s GROUP BY subreddit
     ORDER BY n_posts DESC, subreddit LIMIT 10""")
 def summary_by_source(spark, sf):
-    return RP.by_source(TB.stored_posts(spark, sf))
+    return RP.by_source(TB.stored_posts(spark, sf, ("post_id", "subreddit")))
 
 
 @register("summary_avgs", f"""
     SELECT count(*) AS total_posts, round(coalesce(avg(score), 0), 6) AS avg_score,
            round(coalesce(avg(num_comments), 0), 6) AS avg_comments FROM {STORED} s""")
 def summary_avgs(spark, sf):
-    return RP.averages(TB.stored_posts(spark, sf))
+    return RP.averages(TB.stored_posts(spark, sf, ("post_id", "score", "num_comments")))
 
 
 @register("top_posts", f"""
     SELECT post_id, subreddit, score, {Q.cut_title('title')} AS short_title FROM {STORED} s
     ORDER BY score DESC, cast(post_id AS bigint) LIMIT 5""")
 def top_posts(spark, sf):
-    return RP.top_by_score(TB.stored_posts(spark, sf))
+    return RP.top_by_score(TB.stored_posts(spark, sf, ("post_id", "subreddit", "score", "title")))
 
 
 @register("title_truncate", f"""
@@ -208,7 +208,7 @@ def top_posts(spark, sf):
            substr(CASE WHEN ct = '' THEN '{L.NO_TITLE}' ELSE ct END, 1, {L.SAMPLE_TITLE_CHARS}) AS sample_title
     FROM (SELECT post_id, title, {Q.strong_clean('title')} AS ct FROM {STORED} s) x""")
 def title_truncate(spark, sf):
-    s = TB.stored_posts(spark, sf).withColumn("ct", TX.title_or_placeholder(TX.strong_clean("title")))
+    s = TB.stored_posts(spark, sf, ("post_id", "title")).withColumn("ct", TX.title_or_placeholder(TX.strong_clean("title")))
     return s.select("post_id", TX.cut_title("title").alias("short_title"),
                     TX.prefix("ct", L.SEARCH_TITLE_CHARS).alias("search_title"),
                     TX.prefix("ct", L.SAMPLE_TITLE_CHARS).alias("sample_title"))
@@ -221,7 +221,8 @@ USER_SQL = ("SELECT p.subreddit, count(*) AS n_posts, "
 
 @register("sql_view", f"WITH posts AS {STORED} {USER_SQL}")
 def sql_view(spark, sf):
-    return RP.run_sql(spark, {"posts": TB.stored_posts(spark, sf)}, USER_SQL)
+    cols = ("post_id", "subreddit", "is_self", "score", "flair")
+    return RP.run_sql(spark, {"posts": TB.stored_posts(spark, sf, cols)}, USER_SQL)
 
 
 # ---------------------------------------------------------------- ingestion
@@ -291,7 +292,7 @@ _TOPIC_SQL = _topics_sql(f"({_enriched_sql()})", "post_id", "combined")
            '' AS ocr_text, CASE WHEN s.flair = 'en' THEN 1 ELSE 0 END AS is_processed
     FROM {STORED} s JOIN ({_KW_SQL}) k ON k.post_id = s.post_id JOIN ({_TOPIC_SQL}) t ON t.post_id = s.post_id""")
 def schema_evolve(spark, sf):
-    s = TB.stored_posts(spark, sf)
+    s = TB.stored_posts(spark, sf, TB.TEXT_COLUMNS + ("flair",))
     done = EN.enrich(s.where(F.col("flair") == "en")).select(
         "post_id", TX.list_text("keywords").alias("keywords"), TX.list_text("topics").alias("topics"),
         "ocr_text", F.lit(1).alias("is_processed"))
@@ -305,7 +306,7 @@ def schema_evolve(spark, sf):
     FROM {STORED} s JOIN ({_KW_SQL}) k ON k.post_id = s.post_id JOIN ({_TOPIC_SQL}) t ON t.post_id = s.post_id
     WHERE s.flair <> 'en'""")
 def pending_posts(spark, sf):
-    s = TB.stored_posts(spark, sf)
+    s = TB.stored_posts(spark, sf, TB.TEXT_COLUMNS + ("flair",))
     enriched = EN.enrich(s.where(F.col("flair") == "en"))
     e = EN.enrich_pending(s, enriched)
     return e.select("post_id", TX.list_text("keywords").alias("keywords"), TX.list_text("topics").alias("topics"))
@@ -336,9 +337,9 @@ def _sums_sql(src: str, key: str, vcol: str) -> str:
 
 def members(spark, sf):
     """Enriched posts that have a stored vector and a given cluster label."""
-    e = EN.enrich(TB.stored_posts(spark, sf))
-    s = TB.stored_posts(spark, sf).select("post_id", "score", "subreddit")
-    return e.join(s, "post_id").join(TB.post_vectors(spark, sf).withColumnRenamed("embedding", "vec"), "post_id")
+    s = TB.stored_posts(spark, sf, TB.TEXT_COLUMNS + ("score", "subreddit"))
+    e = EN.enrich(s, keep=("score", "subreddit"))
+    return e.join(TB.post_vectors(spark, sf).withColumnRenamed("embedding", "vec"), "post_id")
 
 
 def given_vectors(spark, sf):
@@ -563,7 +564,7 @@ VOCAB = f"(SELECT word, count(*) AS n FROM (SELECT unnest(tokens) AS word FROM {
 
 
 def training(spark, sf):
-    return WV.training_posts(EN.enrich(TB.stored_posts(spark, sf)))
+    return WV.training_posts(EN.enrich(TB.stored_posts(spark, sf, TB.TEXT_COLUMNS)))
 
 
 @register("vocab_min_count", f"SELECT word, n FROM {VOCAB} v")
@@ -588,7 +589,7 @@ def ppmi_weights(spark, sf):
 # documents using it (>= 2 documents); a word's bin is the strongest dimension of that vector.
 
 def _doc_tokens(spark, sf, cased: bool):
-    e = EN.enrich(TB.stored_posts(spark, sf))
+    e = EN.enrich(TB.stored_posts(spark, sf, TB.TEXT_COLUMNS))
     text = TX.join_text("cleaned_title", "cleaned_selftext", "ocr_text")
     text = F.when(text == "", F.lit(L.EMPTY_TEXT)).otherwise(text)
     return e.select("post_id", (TX.tokens_cased(text) if cased else TX.tokens(text)).alias("tokens"))
@@ -701,7 +702,7 @@ def doc_vectors_als(spark, sf):
 
 @register("encoder_batch")
 def encoder_batch(spark, sf):
-    e = EN.enrich(TB.stored_posts(spark, sf))
+    e = EN.enrich(TB.stored_posts(spark, sf, TB.TEXT_COLUMNS))
     text = TX.join_text("cleaned_title", "cleaned_selftext", "ocr_text")
     out = EC.encode(e.select("post_id", text.alias("text")), "text")
     return out.select("post_id", F.size("embedding").alias("dim"), F.round(V.norm("embedding"), 4).alias("norm"))

@@ -32,7 +32,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     conf = {**SCALE_SETTINGS, **RESULT_SETTINGS,
             "spark.sql.shuffle.partitions": str(shuffle_partitions),
             "spark.ui.enabled": "false",
-            "spark.ui.showConsoleProgress": "false"}
+            "spark.ui.showConsoleProgress": "false",
+            # Local mode runs everything in the driver JVM; only effective at JVM start.
+            "spark.driver.memory": "16g"}
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

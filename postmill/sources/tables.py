@@ -14,41 +14,66 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def posts_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+SIDE_COLUMNS = {
+    "events": ("author", "score", "created_utc"),
+    "pages": ("url", "is_self", "domain"),
+    "labels": ("upvote_ratio", "over_18"),
+}
+ALL_COLUMNS = ("post_id", "subreddit", "title", "author", "score", "upvote_ratio", "num_comments",
+               "created_utc", "url", "selftext", "is_self", "over_18", "flair", "domain")
+
+
+def posts_view(spark: SparkSession, sf_dir: str, columns=ALL_COLUMNS) -> DataFrame:
     """The posts table over the driver tables (one row per document, keyed by ``post_id``).
 
     documents is the post text, events the author/score/time, pages the link, labels the
-    ratio and the adult flag. All three side tables join on the document id, so Spark
-    shuffles each side once on that key and the three joins share one partitioning.
+    ratio and the adult flag. A side table is joined only when one of its columns is asked
+    for (an outer join on a key cannot be pruned by the optimizer). All side tables join on
+    the document id, so each is shuffled once on that key and the joins share one
+    partitioning; small sides are broadcast by size.
     """
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
-    e = table(spark, sf_dir, "events").select(F.col("event_id").alias("doc_id"), "user_id", "value", "ts")
-    p = table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), "url")
-    lb = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    j = d.join(e, "doc_id", "left").join(p, "doc_id", "left").join(lb, "doc_id", "left")
+    j = d
+    if any(c in columns for c in SIDE_COLUMNS["events"]):
+        e = table(spark, sf_dir, "events").select(F.col("event_id").alias("doc_id"), "user_id", "value", "ts")
+        j = j.join(e, "doc_id", "left")
+    if any(c in columns for c in SIDE_COLUMNS["pages"]):
+        p = table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), "url")
+        j = j.join(p, "doc_id", "left")
+    if any(c in columns for c in SIDE_COLUMNS["labels"]):
+        lb = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+        j = j.join(lb, "doc_id", "left")
     title = F.split_part(F.col("text"), F.lit("\n"), F.lit(1))
-    return j.select(
-        F.col("doc_id").cast("string").alias("post_id"),
-        F.col("source").alias("subreddit"),
-        title.alias("title"),
-        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("author"),
-        F.floor(F.col("value") * 100).cast("bigint").alias("score"),
-        F.coalesce(F.col("quality"), F.lit(0)).cast("double").alias("upvote_ratio"),
-        (F.col("n_chars") % 50).cast("bigint").alias("num_comments"),
-        F.col("ts").alias("created_utc"),
-        F.coalesce(F.col("url"), F.lit("")).alias("url"),
-        F.expr("substr(text, length(split_part(text, '\\n', 1)) + 2)").alias("selftext"),
-        F.col("url").isNull().alias("is_self"),
-        (F.coalesce(F.col("toxic"), F.lit(0)) == 1).alias("over_18"),
-        F.col("lang").alias("flair"),
-        TX.url_host(F.col("url")).alias("domain"),
-    )
-
-
-def stored_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    exprs = {
+        "post_id": F.col("doc_id").cast("string"),
+        "subreddit": F.col("source"),
+        "title": title,
+        "author": F.concat(F.lit("u"), F.col("user_id").cast("string")),
+        "score": F.floor(F.col("value") * 100).cast("bigint"),
+        "upvote_ratio": F.coalesce(F.col("quality"), F.lit(0)).cast("double"),
+        "num_comments": (F.col("n_chars") % 50).cast("bigint"),
+        "created_utc": F.col("ts"),
+        "url": F.coalesce(F.col("url"), F.lit("")),
+        "selftext": F.expr("substr(text, length(split_part(text, '\\n', 1)) + 2)"),
+        "is_self": F.col("url").isNull(),
+        "over_18": F.coalesce(F.col("toxic"), F.lit(0)) == 1,
+        "flair": F.col("lang"),
+        "domain": TX.url_host(F.col("url")),
+    }
+    return j.select(*[exprs[c].alias(c) for c in columns])
+
+
+def stored_posts(spark: SparkSession, sf_dir: str, columns=ALL_COLUMNS) -> DataFrame:
     """Posts as the store keeps them: title and body light-cleaned at ingestion."""
-    v = posts_view(spark, sf_dir)
-    return v.withColumn("title", TX.light_clean("title")).withColumn("selftext", TX.light_clean("selftext"))
+    v = posts_view(spark, sf_dir, columns)
+    for c in ("title", "selftext"):
+        if c in columns:
+            v = v.withColumn(c, TX.light_clean(c))
+    return v
+
+
+TEXT_COLUMNS = ("post_id", "title", "selftext")
+ENRICH_COLUMNS = ("post_id", "title", "selftext", "author", "created_utc")
 
 
 def post_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
