@@ -18,16 +18,36 @@ from postmill import lexicon as L
 from postmill.functions.common import col, empty_array, let
 
 WORD = r"[\p{L}\p{N}_]"
-SPACE = r"[\s\x1c-\x1f]"
-NON_SPACE = r"[^\s\x1c-\x1f]"
 NON_WORD_RUN = r"[^\p{L}\p{N}_]+"
 
+# Python's white space (``str.isspace``), derived from Python itself: Unicode White_Space
+# plus U+001C..U+001F. Used for strip() and for the \s classes of the cleaning rules.
+PY_SPACE_CHARS = "".join(chr(i) for i in range(0x110000) if chr(i).isspace())
+
+
+def _class_body(chars: str) -> str:
+    return "".join(f"\\x{{{ord(ch):x}}}" for ch in chars)
+
+
+SPACE = f"[{_class_body(PY_SPACE_CHARS)}]"
+NON_SPACE = f"[^{_class_body(PY_SPACE_CHARS)}]"
+# The same set as a (?U) class; Java matches a Unicode property faster than a long list.
+U_SPACE = r"[\s\x1c-\x1f]"
+U_NON_SPACE = r"[^\s\x1c-\x1f]"
+
 
 @F.pandas_udf(T.StringType())
-def _unescape_batch(s: pd.Series) -> pd.Series:
+def _unescape_pandas(s: pd.Series) -> pd.Series:
     return s.map(html.unescape, na_action="ignore")
 
 
+# The decode is a pure function, but it is flagged non-deterministic on purpose: otherwise
+# the optimizer pushes filters on cleaned text (e.g. ``text <> ''``) below the projection by
+# inlining the whole cleaning chain into the predicate, so every text would be cleaned, and
+# sent to Python, twice. The flag makes the cleaned text a computed-once column.
+_unescape_batch = _unescape_pandas.asNondeterministic()
+
+
 def html_unescape(c) -> Column:
     """HTML entity decoding (named, decimal, hex; one pass), as Python's ``html.unescape``.
 
@@ -39,8 +59,8 @@ def html_unescape(c) -> Column:
 
 
 def py_strip(c) -> Column:
-    """Python ``str.strip()``: remove leading/trailing Unicode white space."""
-    return F.regexp_replace(col(c), rf"(?U)^{SPACE}+|{SPACE}+$", "")
+    """Python ``str.strip()``: remove leading/trailing white space (no regex: ``btrim``)."""
+    return F.btrim(col(c), F.lit(PY_SPACE_CHARS))
 
 
 def light_clean(c, unescape: bool = True) -> Column:
@@ -48,8 +68,8 @@ def light_clean(c, unescape: bool = True) -> Column:
     x = F.coalesce(col(c), F.lit(""))
     if unescape:
         x = html_unescape(x)
-    x = F.regexp_replace(x, "\r\n", "\n")
-    x = F.regexp_replace(x, "\r", "\n")
+    x = F.replace(x, F.lit("\r\n"), F.lit("\n"))
+    x = F.replace(x, F.lit("\r"), F.lit("\n"))
     x = F.regexp_replace(x, "\n{3,}", "\n\n")
     return py_strip(x)
 
@@ -60,11 +80,11 @@ def strong_clean(c, unescape: bool = True) -> Column:
     if unescape:
         x = html_unescape(x)
     x = F.regexp_replace(x, r"<[^>]+>", " ")
-    x = F.regexp_replace(x, rf"(?U)https?://{NON_SPACE}+|www\.{NON_SPACE}+", "")
+    x = F.regexp_replace(x, rf"(?U)https?://{U_NON_SPACE}+|www\.{U_NON_SPACE}+", "")
     x = F.regexp_replace(x, rf"/r/{WORD}+|/u/{WORD}+|u/{WORD}+", "")
     x = F.regexp_replace(x, r"(?i)\[removed\]|\[deleted\]", "")
     x = F.regexp_replace(x, r"""(?U)[^\p{L}\p{N}_\s\x1c-\x1f.,!?;:'"-]""", " ")
-    x = F.regexp_replace(x, rf"(?U){SPACE}+", " ")
+    x = F.regexp_replace(x, rf"(?U){U_SPACE}+", " ")
     return F.trim(x)
 
 

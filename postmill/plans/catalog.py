@@ -292,11 +292,11 @@ _TOPIC_SQL = _topics_sql(f"({_enriched_sql()})", "post_id", "combined")
            '' AS ocr_text, CASE WHEN s.flair = 'en' THEN 1 ELSE 0 END AS is_processed
     FROM {STORED} s JOIN ({_KW_SQL}) k ON k.post_id = s.post_id JOIN ({_TOPIC_SQL}) t ON t.post_id = s.post_id""")
 def schema_evolve(spark, sf):
-    s = TB.stored_posts(spark, sf, TB.TEXT_COLUMNS + ("flair",))
-    done = EN.enrich(s.where(F.col("flair") == "en")).select(
+    cols = TB.TEXT_COLUMNS + ("flair",)
+    done = EN.enrich(TB.stored_posts(spark, sf, cols, F.col("flair") == "en")).select(
         "post_id", TX.list_text("keywords").alias("keywords"), TX.list_text("topics").alias("topics"),
         "ocr_text", F.lit(1).alias("is_processed"))
-    todo = s.where(F.col("flair") != "en").select("post_id")
+    todo = TB.posts_view(spark, sf, ("post_id", "flair"), F.col("flair") != "en").select("post_id")
     out = ST.evolve([done, todo], {"keywords": "", "topics": "", "ocr_text": "", "is_processed": 0})
     return out.select("post_id", "keywords", "topics", "ocr_text", "is_processed")
 
@@ -307,7 +307,7 @@ def schema_evolve(spark, sf):
     WHERE s.flair <> 'en'""")
 def pending_posts(spark, sf):
     s = TB.stored_posts(spark, sf, TB.TEXT_COLUMNS + ("flair",))
-    enriched = EN.enrich(s.where(F.col("flair") == "en"))
+    enriched = EN.enrich(TB.stored_posts(spark, sf, TB.TEXT_COLUMNS + ("flair",), F.col("flair") == "en"))
     e = EN.enrich_pending(s, enriched)
     return e.select("post_id", TX.list_text("keywords").alias("keywords"), TX.list_text("topics").alias("topics"))
 
@@ -501,13 +501,20 @@ SEM_SQL = f"""
     FROM {BENCH_Q} q LEFT JOIN best b ON b.item_id = q.item_id"""
 
 
-def _semantic(spark, sf):
-    return SE.semantic_match(bench_queries(spark, sf), members(spark, sf), qvec="query_vec", vec="vec")
+def _semantic(spark, sf, m=None):
+    m = m if m is not None else members(spark, sf)
+    return SE.semantic_match(bench_queries(spark, sf), m, qvec="query_vec", vec="vec")
+
+
+def checkpointed_members(spark, sf):
+    from postmill.session import checkpoint_dir
+    checkpoint_dir(spark)
+    return members(spark, sf).checkpoint(eager=True)
 
 
 @register("search_semantic", f"SELECT item_id, best_cluster, round(similarity, 6) AS similarity FROM ({SEM_SQL}) s")
 def search_semantic(spark, sf):
-    return _semantic(spark, sf).select("item_id", "best_cluster", F.round("similarity", 6).alias("similarity"))
+    return _semantic(spark, sf, checkpointed_members(spark, sf)).select("item_id", "best_cluster", F.round("similarity", 6).alias("similarity"))
 
 
 @register("search_keyword", f"""
@@ -535,8 +542,8 @@ def search_keyword(spark, sf):
            greatest(p.cluster_size - {L.SEARCH_SHOWN_POSTS}, 0) AS n_more
     FROM m JOIN p ON p.cluster_id = m.best_cluster WHERE p.rank <= {L.SEARCH_SHOWN_POSTS}""")
 def search_posts(spark, sf):
-    r = SE.search_posts(_semantic(spark, sf).select("item_id", "best_cluster"),
-                        SE.top_posts_per_cluster(members(spark, sf)))
+    m = checkpointed_members(spark, sf)
+    r = SE.search_posts(_semantic(spark, sf, m).select("item_id", "best_cluster"), SE.top_posts_per_cluster(m))
     return r.select("item_id", "best_cluster", "rank", "post_id", "score", "subreddit", "title", "cluster_size", "n_more")
 
 
@@ -547,8 +554,9 @@ def search_posts(spark, sf):
     SELECT m.item_id, m.best_cluster, h.rank, h.word, h.count, instr(lower(m.query_text), h.word) > 0 AS query_match
     FROM m JOIN h ON h.cluster_id = m.best_cluster""")
 def title_histogram(spark, sf):
-    m = _semantic(spark, sf).select("item_id", "query_text", "best_cluster")
-    h = PF.title_histogram(members(spark, sf)).withColumnRenamed("cluster_id", "best_cluster")
+    mem = checkpointed_members(spark, sf)
+    m = _semantic(spark, sf, mem).select("item_id", "query_text", "best_cluster")
+    h = PF.title_histogram(mem).withColumnRenamed("cluster_id", "best_cluster")
     return m.join(h, "best_cluster").select(
         "item_id", "best_cluster", "rank", "word", "count",
         (F.instr(F.lower("query_text"), F.col("word")) > 0).alias("query_match"))
@@ -563,8 +571,16 @@ TRAIN = f"""(SELECT post_id, CASE WHEN len(toks) = 0 THEN ['{L.EMPTY_TEXT}'] ELS
 VOCAB = f"(SELECT word, count(*) AS n FROM (SELECT unnest(tokens) AS word FROM {TRAIN} t1) t2 GROUP BY word HAVING count(*) >= 2)"
 
 
-def training(spark, sf):
-    return WV.training_posts(EN.enrich(TB.stored_posts(spark, sf, TB.TEXT_COLUMNS)))
+def clean_texts(spark, sf):
+    """Cleaned title/body per post, checkpointed: several branches of one query reuse it."""
+    from postmill.session import checkpoint_dir
+    checkpoint_dir(spark)
+    e = EN.enrich(TB.stored_posts(spark, sf, TB.TEXT_COLUMNS))
+    return e.select("post_id", "cleaned_title", "cleaned_selftext", "ocr_text").checkpoint(eager=True)
+
+
+def training(spark, sf, texts=None):
+    return WV.training_posts(texts if texts is not None else clean_texts(spark, sf))
 
 
 @register("vocab_min_count", f"SELECT word, n FROM {VOCAB} v")
@@ -581,22 +597,21 @@ def vocab_min_count(spark, sf):
     FROM p JOIN d USING (post_id) JOIN {VOCAB} v USING (word), tot
     WHERE ln(c * tot.nn / (d.cd * v.n)) > 0""")
 def ppmi_weights(spark, sf):
-    t = training(spark, sf)
-    return WV.ppmi(t, WV.vocabulary(t)).select("post_id", "word", "c", F.round("ppmi", 6).alias("ppmi"))
+    return WV.ppmi(training(spark, sf)).select("post_id", "word", "c", F.round("ppmi", 6).alias("ppmi"))
 
 
 # Word tables learned from the data: a word's vector is the mean stored vector of the
 # documents using it (>= 2 documents); a word's bin is the strongest dimension of that vector.
 
-def _doc_tokens(spark, sf, cased: bool):
-    e = EN.enrich(TB.stored_posts(spark, sf, TB.TEXT_COLUMNS))
+def _doc_tokens(spark, sf, cased: bool, texts=None):
+    e = texts if texts is not None else clean_texts(spark, sf)
     text = TX.join_text("cleaned_title", "cleaned_selftext", "ocr_text")
     text = F.when(text == "", F.lit(L.EMPTY_TEXT)).otherwise(text)
     return e.select("post_id", (TX.tokens_cased(text) if cased else TX.tokens(text)).alias("tokens"))
 
 
-def _word_table(spark, sf, cased: bool):
-    docs = _doc_tokens(spark, sf, cased).join(given_vectors(spark, sf), "post_id")
+def _word_table(spark, sf, cased: bool, texts=None):
+    docs = _doc_tokens(spark, sf, cased, texts).join(given_vectors(spark, sf), "post_id")
     return VO.word_table(docs, "tokens")
 
 
@@ -629,8 +644,9 @@ def _word_table_sql(cased: bool) -> str:
            round(coalesce(sqrt(list_sum(list_transform(agg.vec, lambda x : x * x))), 0.0), 6) AS vec_norm
     FROM {_doc_tokens_sql(True)} d LEFT JOIN agg ON agg.post_id = d.post_id LEFT JOIN cnt ON cnt.post_id = d.post_id""")
 def mean_word_vector(spark, sf):
-    words = _word_table(spark, sf, cased=True)
-    out = VO.mean_word_vectors(_doc_tokens(spark, sf, cased=True), "tokens", words, dim=64)
+    texts = clean_texts(spark, sf)
+    words = _word_table(spark, sf, cased=True, texts=texts)
+    out = VO.mean_word_vectors(_doc_tokens(spark, sf, cased=True, texts=texts), "tokens", words, dim=64)
     return out.select("post_id", "n_matched", F.round(V.vsum("doc_vector"), 6).alias("vec_sum"),
                       F.round(V.norm("doc_vector"), 6).alias("vec_norm"))
 
@@ -643,9 +659,10 @@ def mean_word_vector(spark, sf):
     SELECT t.post_id, per.bin, round(per.c / tot.m, 6) AS weight
     FROM {TRAIN} t LEFT JOIN per ON per.post_id = t.post_id LEFT JOIN tot ON tot.post_id = t.post_id""")
 def word_bins_histogram(spark, sf):
-    words = _word_table(spark, sf, cased=False)
+    texts = clean_texts(spark, sf)
+    words = _word_table(spark, sf, cased=False, texts=texts)
     bins = words.select("word", (F.array_position("vector", F.array_max("vector")) - 1).cast("int").alias("bin"))
-    h = VO.bin_histograms(training(spark, sf), "tokens", bins)
+    h = VO.bin_histograms(training(spark, sf, texts), "tokens", bins)
     return h.select("post_id", "bin", F.round("weight", 6).alias("weight"))
 
 

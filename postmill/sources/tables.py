@@ -23,7 +23,7 @@ ALL_COLUMNS = ("post_id", "subreddit", "title", "author", "score", "upvote_ratio
                "created_utc", "url", "selftext", "is_self", "over_18", "flair", "domain")
 
 
-def posts_view(spark: SparkSession, sf_dir: str, columns=ALL_COLUMNS) -> DataFrame:
+def posts_view(spark: SparkSession, sf_dir: str, columns=ALL_COLUMNS, where=None) -> DataFrame:
     """The posts table over the driver tables (one row per document, keyed by ``post_id``).
 
     documents is the post text, events the author/score/time, pages the link, labels the
@@ -60,12 +60,16 @@ def posts_view(spark: SparkSession, sf_dir: str, columns=ALL_COLUMNS) -> DataFra
         "flair": F.col("lang"),
         "domain": TX.url_host(F.col("url")),
     }
-    return j.select(*[exprs[c].alias(c) for c in columns])
+    out = j.select(*[exprs[c].alias(c) for c in columns])
+    return out.where(where) if where is not None else out
 
 
-def stored_posts(spark: SparkSession, sf_dir: str, columns=ALL_COLUMNS) -> DataFrame:
-    """Posts as the store keeps them: title and body light-cleaned at ingestion."""
-    v = posts_view(spark, sf_dir, columns)
+def stored_posts(spark: SparkSession, sf_dir: str, columns=ALL_COLUMNS, where=None) -> DataFrame:
+    """Posts as the store keeps them: title and body light-cleaned at ingestion.
+
+    ``where`` filters on raw columns before the cleaning, so it still reaches the scan.
+    """
+    v = posts_view(spark, sf_dir, columns, where)
     for c in ("title", "selftext"):
         if c in columns:
             v = v.withColumn(c, TX.light_clean(c))
