@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill import lexicon as L
 from postmill.functions import text as TX
 from postmill.operators import keywords as KW
+from postmill.operators import topk as TK
 
 
 def post_order(post_id="post_id"):
@@ -25,13 +26,11 @@ def cluster_keywords(posts: DataFrame, n: int = L.KEYWORDS_PER_CLUSTER, key: str
 
 def cluster_samples(posts: DataFrame, n: int = L.SAMPLE_TITLES_PER_CLUSTER, key: str = "cluster_id",
                     chars: int = L.SAMPLE_TITLE_CHARS) -> DataFrame:
-    """First ``n`` member titles per cluster in post order (a WindowGroupLimit: each task
-    keeps at most ``n`` rows per cluster before the shuffle)."""
-    w = Window.partitionBy(key).orderBy(post_order())
-    return (posts.where(F.col(key).isNotNull())
-            .select(key, "post_id", TX.prefix(TX.title_or_placeholder("cleaned_title"), chars).alias("title"),
-                    F.row_number().over(w).alias("rank"))
-            .where(F.col("rank") <= n))
+    """First ``n`` member titles per cluster in post order (skew-safe top-k per group)."""
+    src = posts.where(F.col(key).isNotNull()).select(
+        key, "post_id", TX.prefix(TX.title_or_placeholder("cleaned_title"), chars).alias("title"),
+        post_order().alias("_ord"))
+    return TK.top_k_per_group(src, key, ["_ord"], n).drop("_ord")
 
 
 def title_histogram(posts: DataFrame, n: int = 10, key: str = "cluster_id") -> DataFrame:

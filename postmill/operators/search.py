@@ -3,12 +3,13 @@ the cluster's top posts."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill import lexicon as L
 from postmill.functions import text as TX
 from postmill.functions import vectors as V
+from postmill.operators import topk as TK
 from postmill.operators import vectors as VO
 
 
@@ -56,11 +57,10 @@ def top_posts_per_cluster(posts: DataFrame, n: int = L.SEARCH_SHOWN_POSTS, key:
                           chars: int = L.SEARCH_TITLE_CHARS) -> DataFrame:
     """Each cluster's ``n`` best posts by score (ties: post order) and the cluster size."""
     p = posts.where(F.col(key).isNotNull())
-    w = Window.partitionBy(key).orderBy(F.desc("score"), F.col("post_id").cast("bigint"))
-    top = (p.select(key, "post_id", "score", "subreddit",
-                    TX.prefix(TX.title_or_placeholder("cleaned_title"), chars).alias("title"),
-                    F.row_number().over(w).alias("rank"))
-           .where(F.col("rank") <= n))
+    src = p.select(key, "post_id", "score", "subreddit",
+                   TX.prefix(TX.title_or_placeholder("cleaned_title"), chars).alias("title"),
+                   F.col("post_id").cast("bigint").alias("_ord"))
+    top = TK.top_k_per_group(src, key, [F.desc("score"), F.col("_ord")], n).drop("_ord")
     sizes = p.groupBy(key).agg(F.count(F.lit(1)).alias("cluster_size"))
     return top.join(sizes, key)
 

@@ -336,10 +336,14 @@ def _sums_sql(src: str, key: str, vcol: str) -> str:
 
 
 def members(spark, sf):
-    """Enriched posts that have a stored vector and a given cluster label."""
-    s = TB.stored_posts(spark, sf, TB.TEXT_COLUMNS + ("score", "subreddit"))
-    e = EN.enrich(s, keep=("score", "subreddit"))
-    return e.join(TB.post_vectors(spark, sf).withColumnRenamed("embedding", "vec"), "post_id")
+    """Enriched posts that have a stored vector and a given cluster label.
+
+    The vector table is joined to the raw posts first, so only members are cleaned.
+    """
+    raw = TB.posts_view(spark, sf, TB.TEXT_COLUMNS + ("score", "subreddit"))
+    joined = raw.join(given_vectors(spark, sf), "post_id")
+    stored = joined.withColumn("title", TX.light_clean("title")).withColumn("selftext", TX.light_clean("selftext"))
+    return EN.enrich(stored, keep=("score", "subreddit", "vec", "cluster_id"))
 
 
 def given_vectors(spark, sf):
@@ -514,7 +518,7 @@ def checkpointed_members(spark, sf):
 
 @register("search_semantic", f"SELECT item_id, best_cluster, round(similarity, 6) AS similarity FROM ({SEM_SQL}) s")
 def search_semantic(spark, sf):
-    return _semantic(spark, sf, checkpointed_members(spark, sf)).select("item_id", "best_cluster", F.round("similarity", 6).alias("similarity"))
+    return _semantic(spark, sf).select("item_id", "best_cluster", F.round("similarity", 6).alias("similarity"))
 
 
 @register("search_keyword", f"""

@@ -75,11 +75,9 @@ def listing_envelopes(posts: DataFrame, listing: Column, page_size: int = 100,
                       score_bump: int = 0, fetched_at: str = "2024-06-01 00:00:00") -> DataFrame:
     """Render posts as landed listing pages (``page_size`` children + one non-post child).
 
-    Used to land test listings from the given tables; the page number is a window over
-    the listing, so no listing is gathered into one row beyond one page.
+    Used to land test listings from the given tables (numeric post ids); a page gathers at
+    most ``page_size`` children.
     """
-    from pyspark.sql import Window
-    w = Window.partitionBy("listing").orderBy(F.col("post_id").cast("bigint"))
     rows = posts.select(
         listing.alias("listing"), "post_id",
         F.struct(
@@ -93,7 +91,9 @@ def listing_envelopes(posts: DataFrame, listing: Column, page_size: int = 100,
                 F.col("selftext"), F.col("is_self"), F.col("over_18"),
                 F.col("flair").alias("link_flair_text"), F.col("domain"),
             ).alias("data")).alias("child"))
-    paged = rows.withColumn("page", ((F.row_number().over(w) - 1) / page_size).cast("bigint"))
+    # Page = id // page_size: at most page_size children per page without ranking a whole
+    # listing in one task.
+    paged = rows.withColumn("page", F.floor(F.col("post_id").cast("bigint") / page_size).cast("bigint"))
     pages = paged.groupBy("listing", "page").agg(
         F.transform(F.array_sort(F.collect_list(F.struct(F.col("post_id").cast("bigint").alias("k"), "child"))),
                     lambda r: r["child"]).alias("kids"))

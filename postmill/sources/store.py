@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill import lexicon as L
@@ -21,9 +21,9 @@ def keep_first(rows: DataFrame, key: str = "post_id", order: str = "arrival") ->
 
 def cap_per_listing(rows: DataFrame, listing: str = "listing", order: str = "arrival",
                     ceiling: int = L.LISTING_CEILING) -> DataFrame:
-    """At most ``ceiling`` rows per listing in arrival order (a WindowGroupLimit)."""
-    w = Window.partitionBy(listing).orderBy(order)
-    return rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= ceiling).drop("_rn")
+    """At most ``ceiling`` rows per listing in arrival order (skew-safe top-k per group)."""
+    from postmill.operators.topk import top_k_per_group
+    return top_k_per_group(rows, listing, [F.col(order)], ceiling, rank_col="_rn").drop("_rn")
 
 
 def valid(rows: DataFrame) -> DataFrame:
