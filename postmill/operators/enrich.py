@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from postmill import lexicon as L
 from postmill.functions import text as TX
-from postmill.functions.common import let
 
 
 def enrich(posts: DataFrame, unescape: bool = True, keep=()) -> DataFrame:
@@ -26,12 +25,13 @@ def enrich(posts: DataFrame, unescape: bool = True, keep=()) -> DataFrame:
         TX.readable_date("created_utc").alias("readable_date"),
         F.lit("").alias("ocr_text"))
     combined = TX.join_text("cleaned_title", "cleaned_selftext", "ocr_text")
-    # Tokenise once; keywords and topics are both derived from the same token array.
-    both = let(TX.tokens(combined), lambda t: F.struct(
-        TX.top_terms(TX.drop_words(t), L.KEYWORDS_PER_POST).alias("keywords"),
-        TX.top_topics(t).alias("topics")))
-    return cleaned.withColumn("_kt", both).select(
-        *cleaned.columns, F.col("_kt.keywords").alias("keywords"), F.col("_kt.topics").alias("topics"))
+    # Tokens as their own column: when both keywords and topics are selected the optimizer
+    # keeps one projection for them (evaluated once); when one is unused it is pruned.
+    tok = cleaned.withColumn("_tok", TX.tokens(combined))
+    return tok.select(
+        *cleaned.columns,
+        TX.top_terms(TX.drop_words("_tok"), L.KEYWORDS_PER_POST).alias("keywords"),
+        TX.top_topics("_tok").alias("topics"))
 
 
 def pending(posts: DataFrame, enriched: DataFrame) -> DataFrame:
