@@ -147,7 +147,10 @@ def silhouette_euclidean(df: DataFrame, id_col: str, key: str = "cluster_id", ve
             s = np.where(n_own > 1, (b - a) / np.maximum(np.maximum(a, b), 1e-300), 0.0)
             yield pd.DataFrame({"s": s})
 
-    scored = sample.mapInPandas(score, "s double")
+    # limit() leaves the sample in one partition; spread its rows so the scoring (each row
+    # against the whole broadcast sample) runs in parallel tasks.
+    parts = max(1, min(64, len(rows) // 64))
+    scored = sample.repartition(parts).mapInPandas(score, "s double")
     return scored.agg(F.avg("s").alias("silhouette_euclidean"), F.count(F.lit(1)).alias("n_points"))
 
 
