@@ -149,8 +149,9 @@ def silhouette_euclidean(df: DataFrame, id_col: str, key: str = "cluster_id", ve
 
     # limit() leaves the sample in one partition; spread its rows so the scoring (each row
     # against the whole broadcast sample) runs in parallel tasks.
-    parts = max(1, min(64, len(rows) // 64))
-    scored = sample.repartition(parts).mapInPandas(score, "s double")
+    parts = max(1, -(-len(rows) // 1024))
+    src = sample.repartition(parts) if parts > 1 else sample
+    scored = src.mapInPandas(score, "s double")
     return scored.agg(F.avg("s").alias("silhouette_euclidean"), F.count(F.lit(1)).alias("n_points"))
 
 
