@@ -782,3 +782,16 @@ def stream_ingest(spark, sf):
 def stage_runner(spark, sf):
     run1, run2 = _runs(spark, sf)
     return SG.run(spark, [run1, run2])
+
+
+@register("cluster_write_back", f"""
+    SELECT s.post_id, m.cluster_id, coalesce(k.cluster_keywords, '') AS cluster_keywords
+    FROM {STORED} s LEFT JOIN {MEMBERS} m ON m.post_id = s.post_id
+    LEFT JOIN ({CLUSTER_KW_SQL}) k ON k.cluster_id = m.cluster_id""")
+def cluster_write_back(spark, sf):
+    posts = TB.posts_view(spark, sf, ("post_id",)).select(
+        "post_id", F.lit(None).cast("int").alias("cluster_id"), F.lit("").alias("cluster_keywords"))
+    m = members(spark, sf)
+    kw = PF.cluster_keywords(m).select("cluster_id", TX.list_text("cluster_keywords").alias("cluster_keywords"))
+    labelled = m.select("post_id", "cluster_id").join(kw, "cluster_id", "left")
+    return CJ.write_back(posts, labelled).select("post_id", "cluster_id", "cluster_keywords")
