@@ -235,11 +235,12 @@ def _runs(spark, sf):
     one non-post child.
     """
     v = TB.posts_view(spark, sf)
-    run1 = LS.listing_envelopes(v.where(F.col("flair") == "en"), F.concat("subreddit", F.lit("/top/all")),
-                                fetched_at="2024-06-01 00:00:00")
-    hot = LS.listing_envelopes(v, F.concat("subreddit", F.lit("/hot")), score_bump=1, fetched_at="2024-06-02 00:00:00")
-    new = LS.listing_envelopes(v, F.concat("subreddit", F.lit("/new")), score_bump=2, fetched_at="2024-06-02 00:00:00")
-    return run1, hot.unionByName(new)
+    pages = LS.listing_pages(v, [
+        ("/top/all", 0, "2024-06-01 00:00:00", F.col("flair") == "en"),
+        ("/hot", 1, "2024-06-02 00:00:00", None),
+        ("/new", 2, "2024-06-02 00:00:00", None)])
+    day1 = F.col("fetched_at") == F.to_timestamp(F.lit("2024-06-01 00:00:00"))
+    return pages.where(day1), pages.where(~day1)
 
 
 def _empty_store(spark):

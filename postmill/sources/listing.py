@@ -71,35 +71,45 @@ def to_posts(pages: DataFrame, arrival_cols=("fetched_at", "listing", "page")) -
                      *([F.col("listing")] if "listing" in ch.columns else []))
 
 
-def listing_envelopes(posts: DataFrame, listing: Column, page_size: int = 100,
-                      score_bump: int = 0, fetched_at: str = "2024-06-01 00:00:00") -> DataFrame:
-    """Render posts as landed listing pages (``page_size`` children + one non-post child).
+def listing_pages(posts: DataFrame, variants: list, page_size: int = 100) -> DataFrame:
+    """Render posts as landed listing pages, several listings in one pass.
 
-    Used to land test listings from the given tables (numeric post ids); a page gathers at
-    most ``page_size`` children.
+    ``variants`` are (listing suffix, score bump, fetch time, condition or None): each post
+    appears in every listing whose condition it meets, under ``subreddit + suffix``. A page
+    holds at most ``page_size`` children (page = id // page_size, numeric ids) plus one
+    non-post child. One scan, one shuffle for all listings.
     """
-    rows = posts.select(
-        listing.alias("listing"), "post_id",
+    opts = F.array(*[F.struct(F.lit(sfx).alias("suffix"), F.lit(bump).cast("bigint").alias("bump"),
+                              F.lit(ts).alias("fetched"),
+                              (cond if cond is not None else F.lit(True)).alias("keep"))
+                     for sfx, bump, ts, cond in variants])
+    rows = posts.select("*", F.explode(opts).alias("_v")).where(F.col("_v.keep")).select(
+        F.concat(F.col("subreddit"), F.col("_v.suffix")).alias("listing"),
+        F.to_timestamp(F.col("_v.fetched")).alias("fetched_at"), "post_id",
         F.struct(
             F.lit("t3").alias("kind"),
             F.struct(
                 F.col("post_id").alias("id"), F.col("subreddit"), F.col("title"), F.col("author"),
-                (F.col("score") + F.lit(score_bump)).alias("score"), F.col("upvote_ratio"), F.col("num_comments"),
-                F.unix_micros(F.col("created_utc").cast("timestamp")).cast("double").__truediv__(1e6).alias("created_utc"),
+                (F.col("score") + F.col("_v.bump")).alias("score"), F.col("upvote_ratio"), F.col("num_comments"),
+                (F.unix_micros(F.col("created_utc").cast("timestamp")).cast("double") / 1e6).alias("created_utc"),
                 F.col("url"),
                 F.concat(F.lit("/r/"), F.col("subreddit"), F.lit("/comments/"), F.col("post_id")).alias("permalink"),
                 F.col("selftext"), F.col("is_self"), F.col("over_18"),
                 F.col("flair").alias("link_flair_text"), F.col("domain"),
             ).alias("data")).alias("child"))
-    # Page = id // page_size: at most page_size children per page without ranking a whole
-    # listing in one task.
     paged = rows.withColumn("page", F.floor(F.col("post_id").cast("bigint") / page_size).cast("bigint"))
-    pages = paged.groupBy("listing", "page").agg(
+    pages = paged.groupBy("listing", "fetched_at", "page").agg(
         F.transform(F.array_sort(F.collect_list(F.struct(F.col("post_id").cast("bigint").alias("k"), "child"))),
                     lambda r: r["child"]).alias("kids"))
     other = F.struct(F.lit("t1").alias("kind"),
                      F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in S.POST_DATA.fields]).alias("data"))
     return pages.select(
-        "listing", "page", F.to_timestamp(F.lit(fetched_at)).alias("fetched_at"),
+        "listing", "page", "fetched_at",
         F.struct(F.lit(None).cast("string").alias("after"),
                  F.concat(F.col("kids"), F.array(other)).alias("children")).alias("data"))
+
+
+def listing_envelopes(posts: DataFrame, listing_suffix: str, page_size: int = 100, score_bump: int = 0,
+                      fetched_at: str = "2024-06-01 00:00:00") -> DataFrame:
+    """One listing (``subreddit + listing_suffix``) rendered as pages."""
+    return listing_pages(posts, [(listing_suffix, score_bump, fetched_at, None)], page_size)
