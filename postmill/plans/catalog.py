@@ -483,27 +483,82 @@ def cluster_samples(spark, sf):
 
 # ---------------------------------------------------------------- search (queries = benchmark texts)
 
-BENCH_Q = f"""(SELECT b.item_id, b.text AS query_text, e.vec AS query_vec FROM benchmark b
-              LEFT JOIN {EMB} e ON e.post_id = cast(b.item_id AS varchar))"""
+def clean_texts(spark, sf):
+    """Cleaned title/body per post, checkpointed: several branches of one query reuse it."""
+    from postmill.session import checkpoint_dir
+    checkpoint_dir(spark)
+    e = EN.enrich(TB.stored_posts(spark, sf, TB.TEXT_COLUMNS))
+    return e.select("post_id", "cleaned_title", "cleaned_selftext", "ocr_text").checkpoint(eager=True)
+
+
+def training(spark, sf, texts=None):
+    return WV.training_posts(texts if texts is not None else clean_texts(spark, sf))
+
+
+# Word tables learned from the data: a word's vector is the mean stored vector of the
+# documents using it (>= 2 documents); a word's bin is the strongest dimension of that vector.
+
+def _doc_tokens(spark, sf, cased: bool, texts=None):
+    e = texts if texts is not None else clean_texts(spark, sf)
+    text = TX.join_text("cleaned_title", "cleaned_selftext", "ocr_text")
+    text = F.when(text == "", F.lit(L.EMPTY_TEXT)).otherwise(text)
+    return e.select("post_id", (TX.tokens_cased(text) if cased else TX.tokens(text)).alias("tokens"))
+
+
+def _word_table(spark, sf, cased: bool, texts=None):
+    docs = _doc_tokens(spark, sf, cased, texts).join(given_vectors(spark, sf), "post_id")
+    return VO.word_table(docs, "tokens")
+
+
+def _doc_tokens_sql(cased: bool) -> str:
+    tok = Q.tokens_cased if cased else Q.tokens
+    txt = f"CASE WHEN {Q.join_text('cleaned_title', 'cleaned_selftext', 'ocr_text')} = '' THEN '{L.EMPTY_TEXT}' " \
+          f"ELSE {Q.join_text('cleaned_title', 'cleaned_selftext', 'ocr_text')} END"
+    return f"(SELECT post_id, {tok(txt)} AS tokens FROM {ENR} e0)"
+
+
+def _word_table_sql(cased: bool) -> str:
+    return f"""(SELECT word, list(v ORDER BY i) AS vector FROM (
+        SELECT word, i, avg(x) AS v, count(*) AS nd FROM (
+          SELECT w.word, unnest(e.vec) AS x, unnest(range(len(e.vec))) AS i
+          FROM (SELECT post_id, unnest(list_distinct(tokens)) AS word FROM {_doc_tokens_sql(cased)} d0) w
+          JOIN {EMB} e ON e.post_id = w.post_id) x0 GROUP BY word, i) x1
+        GROUP BY word HAVING min(nd) >= 2)"""
+
+
+def _bench_q_sql() -> str:
+    """Benchmark texts encoded as the mean learned word vector of their tokens (zeros if none)."""
+    txt = f"CASE WHEN {Q.py_strip('text')} = '' THEN '{L.EMPTY_TEXT}' ELSE text END"
+    return f"""(SELECT b.item_id, b.text AS query_text,
+                   coalesce(qv.vec, list_transform(range(64), lambda i : CAST(0 AS DOUBLE))) AS query_vec
+            FROM benchmark b LEFT JOIN (
+              SELECT item_id, list(v ORDER BY i) AS vec FROM (
+                SELECT item_id, i, avg(x) AS v FROM (
+                  SELECT q.item_id, unnest(t.vector) AS x, unnest(range(len(t.vector))) AS i
+                  FROM (SELECT item_id, unnest({Q.tokens_cased(txt)}) AS word FROM benchmark) q
+                  JOIN {_word_table_sql(True)} t ON t.word = q.word) a GROUP BY item_id, i) b2
+              GROUP BY item_id) qv ON qv.item_id = b.item_id)"""
 
 
 def bench_queries(spark, sf):
-    """Benchmark texts as search queries; a query's vector is the stored vector of the post
-    with the same id (no text encoder is bundled)."""
+    """Benchmark texts as search queries, encoded like posts (mean of learned word vectors
+    of their case-sensitive tokens; a text with no known word gets a zero vector)."""
     b = TB.table(spark, sf, "benchmark").select("item_id", F.col("text").alias("query_text"))
-    v = given_vectors(spark, sf).select(F.col("post_id").cast("bigint").alias("item_id"), F.col("vec").alias("query_vec"))
-    return b.join(v, "item_id", "left")
+    text = F.when(TX.py_strip("query_text") == "", F.lit(L.EMPTY_TEXT)).otherwise(F.col("query_text"))
+    toks = b.select("item_id", TX.tokens_cased(text).alias("tokens"))
+    qv = VO.mean_word_vectors(toks, "tokens", _word_table(spark, sf, cased=True), key="item_id", dim=64)
+    return b.join(qv.select("item_id", F.col("doc_vector").alias("query_vec")), "item_id")
 
 
 SEM_SQL = f"""
     WITH c AS (SELECT cluster_id, list_transform(s, lambda x : x / n) AS cen FROM {_sums_sql(f"(SELECT * FROM {MEMBERS} m0 WHERE len(vec) > 0)", 'cluster_id', 'vec')} c0),
     sc AS (SELECT q.item_id, q.query_text, c.cluster_id,
                   list_dot_product(q.query_vec, c.cen) / (sqrt(list_dot_product(q.query_vec, q.query_vec)) * sqrt(list_dot_product(c.cen, c.cen)) + 1e-10) AS sim
-           FROM {BENCH_Q} q, c),
+           FROM {_bench_q_sql()} q, c),
     best AS (SELECT item_id, arg_max(cluster_id, [sim, -cluster_id]) AS bc, max(sim) AS ms FROM sc GROUP BY item_id)
     SELECT q.item_id, CASE WHEN coalesce(b.ms, -1.0) > -1.0 THEN b.bc ELSE 0 END AS best_cluster,
            CASE WHEN coalesce(b.ms, -1.0) > -1.0 THEN b.ms ELSE -1.0 END AS similarity
-    FROM {BENCH_Q} q LEFT JOIN best b ON b.item_id = q.item_id"""
+    FROM {_bench_q_sql()} q LEFT JOIN best b ON b.item_id = q.item_id"""
 
 
 def _semantic(spark, sf, m=None):
@@ -576,18 +631,6 @@ TRAIN = f"""(SELECT post_id, CASE WHEN len(toks) = 0 THEN ['{L.EMPTY_TEXT}'] ELS
 VOCAB = f"(SELECT word, count(*) AS n FROM (SELECT unnest(tokens) AS word FROM {TRAIN} t1) t2 GROUP BY word HAVING count(*) >= 2)"
 
 
-def clean_texts(spark, sf):
-    """Cleaned title/body per post, checkpointed: several branches of one query reuse it."""
-    from postmill.session import checkpoint_dir
-    checkpoint_dir(spark)
-    e = EN.enrich(TB.stored_posts(spark, sf, TB.TEXT_COLUMNS))
-    return e.select("post_id", "cleaned_title", "cleaned_selftext", "ocr_text").checkpoint(eager=True)
-
-
-def training(spark, sf, texts=None):
-    return WV.training_posts(texts if texts is not None else clean_texts(spark, sf))
-
-
 @register("vocab_min_count", f"SELECT word, n FROM {VOCAB} v")
 def vocab_min_count(spark, sf):
     return WV.vocabulary(training(spark, sf))
@@ -605,37 +648,6 @@ def ppmi_weights(spark, sf):
     return WV.ppmi(training(spark, sf)).select("post_id", "word", "c", F.round("ppmi", 6).alias("ppmi"))
 
 
-# Word tables learned from the data: a word's vector is the mean stored vector of the
-# documents using it (>= 2 documents); a word's bin is the strongest dimension of that vector.
-
-def _doc_tokens(spark, sf, cased: bool, texts=None):
-    e = texts if texts is not None else clean_texts(spark, sf)
-    text = TX.join_text("cleaned_title", "cleaned_selftext", "ocr_text")
-    text = F.when(text == "", F.lit(L.EMPTY_TEXT)).otherwise(text)
-    return e.select("post_id", (TX.tokens_cased(text) if cased else TX.tokens(text)).alias("tokens"))
-
-
-def _word_table(spark, sf, cased: bool, texts=None):
-    docs = _doc_tokens(spark, sf, cased, texts).join(given_vectors(spark, sf), "post_id")
-    return VO.word_table(docs, "tokens")
-
-
-def _doc_tokens_sql(cased: bool) -> str:
-    tok = Q.tokens_cased if cased else Q.tokens
-    txt = f"CASE WHEN {Q.join_text('cleaned_title', 'cleaned_selftext', 'ocr_text')} = '' THEN '{L.EMPTY_TEXT}' " \
-          f"ELSE {Q.join_text('cleaned_title', 'cleaned_selftext', 'ocr_text')} END"
-    return f"(SELECT post_id, {tok(txt)} AS tokens FROM {ENR} e0)"
-
-
-def _word_table_sql(cased: bool) -> str:
-    return f"""(SELECT word, list(v ORDER BY i) AS vector FROM (
-        SELECT word, i, avg(x) AS v, count(*) AS nd FROM (
-          SELECT w.word, unnest(e.vec) AS x, unnest(range(len(e.vec))) AS i
-          FROM (SELECT post_id, unnest(list_distinct(tokens)) AS word FROM {_doc_tokens_sql(cased)} d0) w
-          JOIN {EMB} e ON e.post_id = w.post_id) x0 GROUP BY word, i) x1
-        GROUP BY word HAVING min(nd) >= 2)"""
-
-
 @register("mean_word_vector", f"""
     WITH m AS (SELECT d.post_id, t.vector FROM (SELECT post_id, unnest(tokens) AS word FROM {_doc_tokens_sql(True)} d1) d
                JOIN {_word_table_sql(True)} t ON t.word = d.word),
