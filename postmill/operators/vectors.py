@@ -155,10 +155,14 @@ def silhouette_euclidean(df: DataFrame, id_col: str, key: str = "cluster_id", ve
     return scored.agg(F.avg("s").alias("silhouette_euclidean"), F.count(F.lit(1)).alias("n_points"))
 
 
-def word_table(docs: DataFrame, tokens_col: str, vec: str = "vec", min_docs: int = 2) -> DataFrame:
+def word_table(docs: DataFrame, tokens_col: str, vec: str = "vec", min_docs: int = 2,
+               only: DataFrame | None = None) -> DataFrame:
     """A (word, vector) table learned from the data: a word's vector is the mean vector of
-    the documents that use it; words used by fewer than ``min_docs`` documents are dropped."""
+    the documents that use it; words used by fewer than ``min_docs`` documents are dropped.
+    ``only`` (a one-column ``word`` frame) restricts the table to the words needed."""
     ex = docs.select(F.explode(F.array_distinct(tokens_col)).alias("word"), V.as_double(vec).alias("v"))
+    if only is not None:
+        ex = ex.join(only.select("word").distinct(), "word", "left_semi")
     st = cluster_stats(ex, "word", "v")
     return st.where(F.col("n") >= min_docs).select("word", F.col("mean").alias("vector"))
 

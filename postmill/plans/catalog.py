@@ -540,13 +540,22 @@ def _bench_q_sql() -> str:
               GROUP BY item_id) qv ON qv.item_id = b.item_id)"""
 
 
-def bench_queries(spark, sf):
+def bench_queries(spark, sf, m=None):
     """Benchmark texts as search queries, encoded like posts (mean of learned word vectors
-    of their case-sensitive tokens; a text with no known word gets a zero vector)."""
+    of their case-sensitive tokens; a text with no known word gets a zero vector).
+
+    The word table is learned from the cluster members (only they carry vectors) and only
+    for words that occur in some query.
+    """
     b = TB.table(spark, sf, "benchmark").select("item_id", F.col("text").alias("query_text"))
     text = F.when(TX.py_strip("query_text") == "", F.lit(L.EMPTY_TEXT)).otherwise(F.col("query_text"))
     toks = b.select("item_id", TX.tokens_cased(text).alias("tokens"))
-    qv = VO.mean_word_vectors(toks, "tokens", _word_table(spark, sf, cased=True), key="item_id", dim=64)
+    m = m if m is not None else members(spark, sf)
+    mtext = TX.join_text("cleaned_title", "cleaned_selftext", "ocr_text")
+    mtext = F.when(mtext == "", F.lit(L.EMPTY_TEXT)).otherwise(mtext)
+    docs = m.select(TX.tokens_cased(mtext).alias("tokens"), "vec")
+    words = VO.word_table(docs, "tokens", only=toks.select(F.explode("tokens").alias("word")))
+    qv = VO.mean_word_vectors(toks, "tokens", words, key="item_id", dim=64)
     return b.join(qv.select("item_id", F.col("doc_vector").alias("query_vec")), "item_id")
 
 
@@ -563,7 +572,7 @@ SEM_SQL = f"""
 
 def _semantic(spark, sf, m=None):
     m = m if m is not None else members(spark, sf)
-    return SE.semantic_match(bench_queries(spark, sf), m, qvec="query_vec", vec="vec")
+    return SE.semantic_match(bench_queries(spark, sf, m), m, qvec="query_vec", vec="vec")
 
 
 def checkpointed_members(spark, sf):
