@@ -68,3 +68,14 @@ def evolve(frames: list, defaults: dict) -> DataFrame:
         elif v is not None:
             out = out.withColumn(c, F.coalesce(F.col(c), F.lit(v)))
     return out
+
+
+def write_posts(posts: DataFrame, path: str, mode: str = "append") -> None:
+    """Store layout for the posts table: one folder per source (partition pruning on the
+    source filter) and rows sorted by creation time inside each file (row-group statistics
+    skip time ranges). Repartitioning by source and a time bucket keeps files per task
+    bounded even when one source holds most rows."""
+    bucket = F.date_trunc("day", F.col("created_utc"))
+    (posts.repartition("subreddit", bucket)
+     .sortWithinPartitions("subreddit", "created_utc")
+     .write.mode(mode).partitionBy("subreddit").parquet(path))

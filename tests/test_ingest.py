@@ -85,3 +85,15 @@ def test_evolve_defaults(spark):
     b = spark.createDataFrame([("b",)], "post_id string")
     got = {r["post_id"]: r["keywords"] for r in ST.evolve([a, b], {"keywords": ""}).collect()}
     assert got == {"a": "k1", "b": ""}
+
+
+def test_store_layout_prunes_by_source(spark):
+    from postmill.sources import tables as TB
+    from conftest import SF_SMALL
+    path = scratch_path(spark, "test-store") + "/posts"
+    ST.write_posts(TB.stored_posts(spark, SF_SMALL), path)
+    back = spark.read.parquet(path)
+    assert back.count() == 200
+    q = back.where(F.col("subreddit") == "src1")
+    assert "PartitionFilters: [isnotnull(subreddit" in q._jdf.queryExecution().executedPlan().toString()
+    assert q.count() == TB.posts_view(spark, SF_SMALL).where(F.col("subreddit") == "src1").count()
