@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm import chat_format, exact_dedup, url_filter
+from postmill.llm import chat_format, exact_dedup, language_id, url_filter
 from postmill.llm.common import read
 
 
@@ -40,7 +40,15 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(read(spark, sf_dir, "pages"), rules)
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op5_chat_format, op7_url_filter)}
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.fit(docs)
+    return language_id.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", language_id.held_out("doc_id", 3).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+QUERIES = {f.__name__: f for f in (
+    op3_exact_dedup, op5_chat_format, op7_url_filter, op10_language_id)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
