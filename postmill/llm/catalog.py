@@ -5,10 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm import chat_format, exact_dedup, language_id, url_filter
+from postmill.llm import chat_format, exact_dedup, language_id, pii, url_filter
 from postmill.llm.common import read
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(read(spark, sf_dir, "documents"))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["s"], x["e"])), ",")
+
+    def n(kind):
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[n(k) for k in pii.KINDS], F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+                        joined(F.concat("base", "more")).alias("spans"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = exact_dedup.exact_dedup(read(spark, sf_dir, "documents"), digest_all=True)
     return d.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
@@ -48,7 +61,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_exact_dedup, op5_chat_format, op7_url_filter, op10_language_id)}
+    op2_pii, op3_exact_dedup, op5_chat_format, op7_url_filter, op10_language_id)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
