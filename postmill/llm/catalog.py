@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm import chat_format, exact_dedup, language_id, pii, url_filter
+from postmill.llm import chat_format, exact_dedup, language_id, pii, simhash, url_filter
 from postmill.llm.common import read
 
 
@@ -48,6 +48,10 @@ URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.
              ("org", "/fr/", "allow")]
 
 
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=4, radius=4)
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, url_filter.RULES_SCHEMA)
     return url_filter.filter_urls(read(spark, sf_dir, "pages"), rules)
@@ -61,7 +65,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_pii, op3_exact_dedup, op5_chat_format, op7_url_filter, op10_language_id)}
+    op2_pii, op3_exact_dedup, op5_chat_format, op6_simhash_near_dedup, op7_url_filter, op10_language_id)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
