@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm import chat_format, exact_dedup, language_id, pii, simhash, url_filter
+from postmill.llm import (chat_format, decontaminate, exact_dedup, language_id, packing, pii, simhash,
+                          url_filter)
 from postmill.llm.common import read
 
 
@@ -57,6 +58,15 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(read(spark, sf_dir, "pages"), rules)
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents")).withColumnRenamed("row", "copy")
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return d.drop("text_digest")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language_id.fit(docs)
@@ -65,7 +75,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_pii, op3_exact_dedup, op5_chat_format, op6_simhash_near_dedup, op7_url_filter, op10_language_id)}
+    op2_pii, op3_exact_dedup, op4_best_fit_packing, op5_chat_format, op6_simhash_near_dedup, op7_url_filter,
+    op8_decontamination, op10_language_id)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 

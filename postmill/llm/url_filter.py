@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postmill.functions.common import let
 from postmill.llm.common import ascii_lower
 
 RULES_SCHEMA = "host string, path string, verdict string"
@@ -61,13 +62,12 @@ def filter_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url
     reach = r.agg(F.max(F.size(F.split("r_host", "\\."))), F.max(F.size(F.split("r_path", "/")) - 1)).first()
     n_labels, n_slashes = int(reach[0] or 0), int(reach[1] or 0)
     one = urls.select("host", "path").distinct()
-    labels, parts = F.split("host", "\\."), F.split("path", "/")
-    suffixes = F.transform(
+    suffixes = let(F.split("host", "\\."), lambda labels: F.transform(
         F.sequence(F.lit(1), F.least(F.size(labels), F.lit(max(n_labels, 1)))),
-        lambda k: F.array_join(F.slice(labels, -k, k), "."))
-    prefixes = F.transform(
+        lambda k: F.array_join(F.slice(labels, -k, k), ".")))
+    prefixes = let(F.split("path", "/"), lambda parts: F.transform(
         F.sequence(F.lit(0), F.least(F.size(parts) - 1, F.lit(n_slashes))),
-        lambda k: F.when(k == 0, F.lit("")).otherwise(F.concat(F.array_join(F.slice(parts, 1, k), "/"), F.lit("/"))))
+        lambda k: F.when(k == 0, F.lit("")).otherwise(F.concat(F.array_join(F.slice(parts, 1, k), "/"), F.lit("/")))))
     expr = (one.withColumn("suffix", F.explode(suffixes)).withColumn("prefix", F.explode(prefixes))
             .withColumn("digest", _digest(F.col("suffix"), F.col("prefix"))))
     expr = expr.select("host", "path", "digest", F.substring("digest", 1, 8).alias("short"))
