@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm import (chat_format, decontaminate, exact_dedup, language_id, packing, pii, simhash,
+from postmill.llm import (chat_format, decontaminate, exact_dedup, language_id, lm_score, packing, pii, simhash,
                           url_filter)
 from postmill.llm.common import read
 
@@ -67,6 +67,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.drop("text_digest")
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(read(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language_id.fit(docs)
@@ -76,7 +80,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op2_pii, op3_exact_dedup, op4_best_fit_packing, op5_chat_format, op6_simhash_near_dedup, op7_url_filter,
-    op8_decontamination, op10_language_id)}
+    op8_decontamination, op9_lm_score, op10_language_id)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
