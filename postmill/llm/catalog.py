@@ -6,10 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.llm import (chat_format, decontaminate, exact_dedup, language_id, lm_score, packing, pii, simhash,
-                          url_filter)
+                          suffix_dedup, url_filter)
 from postmill.llm.common import read
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = suffix_dedup.strip_repeats(read(spark, sf_dir, "documents"))
+    return d.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                    F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(read(spark, sf_dir, "documents"))
 
@@ -79,8 +85,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_pii, op3_exact_dedup, op4_best_fit_packing, op5_chat_format, op6_simhash_near_dedup, op7_url_filter,
-    op8_decontamination, op9_lm_score, op10_language_id)}
+    op1_suffix_dedup, op2_pii, op3_exact_dedup, op4_best_fit_packing, op5_chat_format, op6_simhash_near_dedup,
+    op7_url_filter, op8_decontamination, op9_lm_score, op10_language_id)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
