@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postmill.functions.common import let
-from postmill.llm.common import cut, text_or_empty
+from postmill.llm.common import cut, settle, text_or_empty
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -113,3 +113,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return best.select(F.col("id").alias(id_col), F.col("item").alias(item_col), F.col("b.sim").alias("similarity"),
                        (-F.col("b.s")).cast("long").alias("window_start"), F.col("n").cast("long").alias("n_shingles"),
                        F.col("digest").alias("text_digest"))
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that any benchmark item contaminates; all columns stay as they were."""
+    found = contaminated(docs, benchmark, id_col, text_col)
+    drop = found.select(F.struct(F.col(id_col).alias("id"), F.col("text_digest").alias("digest")).alias("key"), F.lit(False).alias("keep"))
+    return settle(docs, drop, id_col, text_col)

@@ -11,11 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill.llm.common import ascii_lower, cut, text_or_empty
+from postmill.llm.common import ascii_lower, bitmap, cut, flagged, row_key, settle, text_or_empty
 
 PREFIX_CHARS = 64
-# Bits of the survivor bitmap: 2^22 bits are 65,536 rows of (word, bits), 1 MB, whatever the input.
-BITMAP_BITS = 1 << 22
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest_all: bool = False) -> DataFrame:
@@ -30,19 +28,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.col(id_col).alias("id"), F.octet_length(text_or_empty(text_col)).alias("len"),
                        F.xxhash64(ascii_lower(F.substring(text_or_empty(text_col), 1, PREFIX_CHARS))).alias("pre"),
                        t.alias("t"))
-    slot = F.pmod(F.xxhash64("len", "pre"), F.lit(BITMAP_BITS))
     # Levels 1 and 2: groups of equal length and prefix hash. Narrow rows, combined before the shuffle.
-    groups = rows.groupBy("len", "pre").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(slot.alias("slot"))
-    bitmap = (groups.select(F.shiftright("slot", 6).alias("word"),
-                            F.expr("shiftleft(1L, cast(slot & 63 as int))").alias("bit"))
-              .groupBy("word").agg(F.expr("bit_or(bit)").alias("bits")))
-    bitmap = cut(bitmap)
+    groups = rows.groupBy("len", "pre").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     # Level 3: full hashes of the survivors.
-    r = rows.withColumn("slot", slot).withColumn("word", F.shiftright("slot", 6))
-    r = r.join(F.broadcast(bitmap), "word", "left")
-    alive = F.coalesce(F.expr("(shiftright(bits, cast(slot & 63 as int)) & 1) = 1"), F.lit(False))
+    r = flagged(rows, bitmap(groups, "len", "pre"), "len", "pre", name="alive")
+    alive = F.col("alive")
     digest = F.sha2("t", 256)
-    r = r.select("id", alive.alias("alive"), (digest if digest_all else F.when(alive, digest)).alias("digest"))
+    r = r.select("id", "alive", (digest if digest_all else F.when(alive, digest)).alias("digest"))
     r = cut(r)
     one = r.where(~F.col("alive")).select("id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
                                           F.lit(True).alias("kept"), "digest")
@@ -58,14 +50,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns as they were."""
-    d = exact_dedup(docs, id_col, text_col)
-    # Rows are told apart by id and digest; a row repeated whole is settled apart, as ids cannot.
-    d = d.groupBy(F.col(id_col).alias("k_id"), "digest").agg(
-        F.max("kept").alias("k"), F.count(F.lit(1)).alias("n"))
-    changed = d.where("not k or n > 1").select("k_id", "digest", "k")
-    t = F.sha2(ascii_lower(text_or_empty(text_col)), 256)
-    keyed = docs.withColumn("_digest", t)
-    cond = (F.col("_digest") == F.col("digest")) & F.col(id_col).eqNullSafe(F.col("k_id"))
-    rest = keyed.join(changed, cond, "left_anti").drop("_digest")
-    again = keyed.join(changed.where("k"), cond, "left_semi").dropDuplicates([id_col, "_digest"]).drop("_digest")
-    return rest.unionByName(again)
+    keyed = docs.select(row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+    d = exact_dedup(keyed, "key", "text").groupBy("key").agg(F.max("kept").alias("keep"), F.count(F.lit(1)).alias("n"))
+    return settle(docs, d.where("not keep or n > 1"), id_col, text_col)

@@ -172,6 +172,6 @@ def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text"
         return pd.DataFrame(got, columns=["lang", "score"])
 
     letters = F.coalesce(F.col(text_col).rlike("\\p{L}"), F.lit(False))
-    d = docs.withColumn("_p", apply(F.when(letters, F.col(text_col))))
-    d = d.withColumns({lang_as: F.col("_p.lang"), score_as: F.col("_p.score")}).drop("_p")
+    d = docs.withColumn("__llm_p", apply(F.when(letters, F.col(text_col))))
+    d = d.withColumns({lang_as: F.col("__llm_p.lang"), score_as: F.col("__llm_p.score")}).drop("__llm_p")
     return d.withColumn(rejected_as, (F.col(lang_as) == UNKNOWN) | (F.col(score_as) < F.lit(model.threshold)))

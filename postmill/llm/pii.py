@@ -193,19 +193,19 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     Spans meet their rows by id and text digest, so equal ids with other texts stay apart.
     """
-    keyed = docs.withColumn("_d", F.sha2(text_or_empty(text_col), 256))
+    keyed = docs.withColumn("__llm_d", F.sha2(text_or_empty(text_col), 256))
     found = find(keyed.select(id_col, F.col(text_col).alias("text")).withColumnRenamed(id_col, "id0")
                  .withColumn("id0", F.struct(F.col("id0").cast("string").alias("i"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("d"))),
                  "id0", "text")
     found = found.where((F.size("base") > 0) | (F.size("more") > 0)).groupBy("id0").agg(
-        F.first("base").alias("_base"), F.first("more").alias("_more"))
-    found = found.select(F.col("id0.i").alias("_i"), F.col("id0.d").alias("_dd"), "_base", "_more")
+        F.first("base").alias("__llm_base"), F.first("more").alias("__llm_more"))
+    found = found.select(F.col("id0.i").alias("__llm_i"), F.col("id0.d").alias("__llm_dd"), "__llm_base", "__llm_more")
 
     @F.pandas_udf("string")
     def cleaned(t: pd.Series, b: pd.Series, m: pd.Series) -> pd.Series:
         return pd.Series([x if y is None else redact(x, [(v["kind"], v["s"], v["e"]) for v in y], [(v["kind"], v["s"], v["e"]) for v in z])
                           for x, y, z in zip(t, b, m)], dtype=object)
 
-    cond = (F.col("_d") == F.col("_dd")) & F.col(id_col).cast("string").eqNullSafe(F.col("_i"))
-    out = keyed.join(found, cond, "left").withColumn("_t", cleaned(F.col(text_col), "_base", "_more"))
-    return out.withColumn(text_col, F.col("_t")).select(*docs.columns)
+    cond = (F.col("__llm_d") == F.col("__llm_dd")) & F.col(id_col).cast("string").eqNullSafe(F.col("__llm_i"))
+    out = keyed.join(found, cond, "left").withColumn("__llm_t", cleaned(F.col(text_col), "__llm_base", "__llm_more"))
+    return out.withColumn(text_col, F.col("__llm_t")).select(*docs.columns)

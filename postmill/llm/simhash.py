@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill.llm.common import cut, text_or_empty
+from postmill.llm.common import cut, row_key, settle, text_or_empty
 from postmill.llm.components import components
 
 SEED = 42
@@ -208,3 +208,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, id_col:
     by_fp = labelled.join(roots, F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "component_id")
     out = fps.join(by_fp, F.col("fp") == F.col("f"))
     return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_representatives(docs: DataFrame, shingle: int = 4, radius: int = 4, id_col: str = "doc_id",
+                         text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near duplicates, the one with the smallest id (then text digest).
+
+    A null id is smaller than any other; a row repeated whole stays once. All columns stay as they were.
+    """
+    keyed = docs.select(row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+    d = near_duplicates(keyed, shingle, radius, "key", "text")
+    d = d.groupBy("key", "component_id").agg(F.count(F.lit(1)).alias("n"))
+    d = d.select("key", F.col("key").eqNullSafe(F.col("component_id")).alias("keep"), "n")
+    return settle(docs, d.where("not keep or n > 1"), id_col, text_col)
