@@ -153,7 +153,7 @@ def answered(blocks: Blocks, *answers: DataFrame) -> DataFrame:
     return out
 
 
-def joined(answers: list[bytes] | None, name: str, dtype) -> np.ndarray:
+def joined(answers, name: str, dtype) -> np.ndarray:
     """One array of the answers of all parts, in key order."""
-    found = [_thawed(a)[name] for a in answers or []]
+    found = [_thawed(a)[name] for a in ([] if answers is None else answers)]
     return np.concatenate(found) if found else np.empty(0, dtype)

@@ -124,8 +124,8 @@ def _scan(batches):
         for row, text in zip(pdf["row"], pdf["text"]):
             spans = base_spans(text)
             rows.append((row, [{"kind": k, "s": a, "e": b} for k, a, b, _ in spans],
-                         [{"entity": x, "term": t, "s": a, "e": b} for x, t, a, b in (near_terms(text, spans) if spans else ())]))
-        yield pd.DataFrame(rows, columns=["row", "base", "near"])
+                         sorted({f"{k}:{v}" for k, _, _, v in spans}), [{"entity": x, "term": t, "s": a, "e": b} for x, t, a, b in (near_terms(text, spans) if spans else ())]))
+        yield pd.DataFrame(rows, columns=["row", "base", "entities", "near"])
 
 
 def _term_documents(batches):
@@ -149,14 +149,14 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     scanned = texts.select("id", F.monotonically_increasing_id().alias("row"), "text")
     scanned = scanned.withColumn("ids", F.struct("id", "row")).select(F.col("ids").alias("row"), "text").mapInPandas(
         _scan, f"row struct<id:{texts.schema['id'].dataType.simpleString()},row:bigint>, "
-               "base array<struct<kind:string,s:long,e:long>>, near array<struct<entity:string,term:string,s:long,e:long>>")
+               "base array<struct<kind:string,s:long,e:long>>, entities array<string>, near array<struct<entity:string,term:string,s:long,e:long>>")
     # Row numbers are fixed by writing them out; texts stay behind.
-    scanned = cut(scanned.select("row.id", "row.row", "base", "near"))
+    scanned = cut(scanned.select("row.id", "row.row", "base", "entities", "near"))
     near = scanned.select("row", F.explode("near").alias("x")).select("row", "x.*")
     n = scanned.count()
     joint = near.select("row", "entity", "term").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te"))
     joint = joint.where(F.col("n_te") >= MIN_DOCUMENTS)
-    entities = near.select("row", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    entities = scanned.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     terms = texts.select("text").mapInPandas(_term_documents, "term string, n long")
     terms = terms.groupBy("term").agg(F.sum("n").alias("n_t"))
     wanted = joint.select("term").distinct()
