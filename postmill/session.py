@@ -54,8 +54,9 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and job outputs.
 
-    On a cluster this is ``spark.checkpoint.dir`` (a shared file system). Only when the
-    session names none (tests, local runs) is a local folder chosen and set.
+    This is ``spark.checkpoint.dir``, a shared file system. Only a single-JVM session (tests, local
+    runs) that names none gets a local folder; on a cluster it would be one machine's disk, so
+    an unset folder is an error there.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
@@ -64,6 +65,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
     if sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         local = tempfile.mkdtemp(prefix="postmill-ckpt-")
         sc.setCheckpointDir(local)
     return sc.getCheckpointDir()
