@@ -3,8 +3,6 @@ similarity, cosine and Euclidean silhouettes, word-table document vectors."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -13,9 +11,8 @@ from pyspark.sql import functions as F
 from postmill import lexicon as L
 from postmill.functions import vectors as V
 
-# Bounds on what is collected as model parameters (the clusters' statistics).
-MAX_CLUSTERS = 100_000
-MAX_SAMPLE_BYTES = 512 * 1024 * 1024
+# Bound on the caller's number of clusters, whose statistics travel as model parameters.
+MAX_CLUSTERS = 10_000
 
 
 def cluster_stats(df: DataFrame, key: str = "cluster_id", vec: str = "vec") -> DataFrame:
@@ -31,12 +28,11 @@ def centroids(df: DataFrame, key: str = "cluster_id", vec: str = "vec") -> DataF
 
 
 def collect_params(stats: DataFrame, cols: list, key: str = "cluster_id") -> list:
-    """Collect per-cluster parameters (bounded by MAX_CLUSTERS; the count is checked first)."""
-    k = stats.count()
-    if k > MAX_CLUSTERS:
-        raise ValueError(f"{k} clusters exceed the bound of {MAX_CLUSTERS}")
-    rows = stats.select(key, *cols).orderBy(key).collect()
-    return [r.asDict() for r in rows]
+    """Collect per-cluster parameters, once; more than MAX_CLUSTERS clusters are an error."""
+    rows = stats.select(key, *cols).limit(MAX_CLUSTERS + 1).collect()
+    if len(rows) > MAX_CLUSTERS:
+        raise ValueError(f"more than {MAX_CLUSTERS} clusters")
+    return sorted((r.asDict() for r in rows), key=lambda r: r[key])
 
 
 def nearest_centroid(points: DataFrame, cents: list, key: str = "cluster_id", vec: str = "vec",
@@ -68,91 +64,54 @@ def intra_similarity(df: DataFrame, key: str = "cluster_id", vec: str = "vec") -
                    F.coalesce(F.sum("n"), F.lit(0)).alias("n_members"))
 
 
+def _silhouette(points: DataFrame, stats: list, key: str, vec: str, per_cluster, out: str) -> DataFrame:
+    """Mean silhouette from each cluster's sums; ``per_cluster(x, z)`` is the sum of a point's distances to cluster z.
+
+    a = sum to the own cluster / (n - 1), b = least mean to another; a member of a singleton scores 0, and so does a
+    point at distance 0 from both. With fewer than two clusters the silhouette is -1.
+    """
+    if len(stats) < 2:
+        return points.agg(F.lit(-1.0).alias(out), F.count(F.lit(1)).alias("n_points"))
+    c = V.const([{"id": int(r[key]), "n": int(r["n"]), "q": float(r["q"]), "s": [float(x) for x in r["sum"]]} for r in stats],
+                "array<struct<id:int,n:bigint,q:double,s:array<double>>>")
+    own = F.col(key)
+    per = points.select(own, F.transform(c, lambda z: F.struct(
+        z["id"].alias("id"), z["n"].alias("n"), per_cluster(F.col(vec), z).alias("d"))).alias("t"))
+    per = per.select(F.filter("t", lambda z: z["id"] == own)[0].alias("mine"),
+                     F.array_min(F.transform(F.filter("t", lambda z: z["id"] != own), lambda z: z["d"] / z["n"])).alias("b"))
+    a = F.col("mine.d") / F.greatest(F.col("mine.n") - 1, F.lit(1))
+    top = F.greatest(a, F.col("b"))
+    s = F.when((F.col("mine.n") <= 1) | (top == 0), F.lit(0.0)).otherwise((F.col("b") - a) / F.nullif(top, F.lit(0.0)))
+    return per.select(s.alias("s")).agg(F.avg("s").alias(out), F.count(F.lit(1)).alias("n_points"))
+
+
 def silhouette_cosine(df: DataFrame, key: str = "cluster_id", vec: str = "vec") -> DataFrame:
-    """Mean cosine silhouette, closed form; -1.0 when there is a single cluster.
+    """Mean cosine silhouette of all points, closed form; -1.0 when there is a single cluster.
 
-    Distance is 1 - u.v on L2-normalised vectors (a zero vector is at distance 1 from all).
-    Needs only each cluster's sum S and size n: a(x) = (n-1 - (x.S - x.x)) / (n-1),
-    b(x) = min over other clusters (n' - x.S') / n'; a member of a singleton scores 0.
+    Distance is 1 - u.v on L2-normalised vectors (a zero vector is at distance 1 from all others), so a
+    point's distances to cluster z sum to n - u.S; its own term, 1 - u.u, is taken off.
     """
     normed = df.select(key, V.l2_normalize(vec).alias("u"))
-    stats = collect_params(cluster_stats(normed, key, "u"), ["n", "sum"], key)
-    if len(stats) < 2:
-        return df.sparkSession.range(1).select(F.lit(-1.0).alias("silhouette_cosine"),
-                                               F.lit(0).cast("bigint").alias("n_points"))
-    c = V.const([{"id": int(r[key]), "n": int(r["n"]), "s": [float(x) for x in r["sum"]]} for r in stats],
-                "array<struct<id:int,n:bigint,s:array<double>>>")
-    u = F.col("u")
+    stats = collect_params(cluster_stats(normed, key, "u").withColumn("q", F.lit(0.0)), ["n", "sum", "q"], key)
     own = F.col(key)
-    per = normed.select(
-        own, u,
-        F.transform(c, lambda z: F.struct(z["id"].alias("id"), z["n"].alias("n"), V.dot(u, z["s"]).alias("xs"))).alias("t"))
-    xx = V.dot("u", "u")
-    mine = F.filter("t", lambda z: z["id"] == own)[0]
-    others = F.filter("t", lambda z: z["id"] != own)
-    a = (mine["n"] - 1 - (mine["xs"] - xx)) / (mine["n"] - 1)
-    b = F.array_min(F.transform(others, lambda z: (z["n"] - z["xs"]) / z["n"]))
-    s = F.when(mine["n"] <= 1, F.lit(0.0)).otherwise((b - a) / F.greatest(a, b))
-    return per.select(s.alias("s")).agg(F.avg("s").alias("silhouette_cosine"),
-                                        F.count(F.lit(1)).alias("n_points"))
-
-
-def sample_points(df: DataFrame, key: str, cap: int = L.SILHOUETTE_SAMPLE) -> DataFrame:
-    """A deterministic sample of at most ``cap`` rows (ordered by a hash of the key)."""
-    return df.orderBy(F.xxhash64(F.col(key)), F.col(key)).limit(cap)
-
-
-def silhouette_euclidean(df: DataFrame, id_col: str, key: str = "cluster_id", vec: str = "vec",
-                         cap: int = L.SILHOUETTE_SAMPLE) -> DataFrame:
-    """Mean Euclidean silhouette over a sample of at most ``cap`` points.
-
-    Exact pairwise distances are needed (no closed form), so they are computed only on the
-    bounded sample: the sample's vectors are broadcast (size checked) and each task scores
-    its share of points with numpy. No pair is materialised as a row.
+    return _silhouette(normed, stats, key, "u",
+                       lambda x, z: z["n"] - V.dot(x, z["s"]) - F.when(z["id"] == own, 1 - V.dot(x, x)).otherwise(0.0),
+                       "silhouette_cosine")
+
+
+def silhouette_euclidean(df: DataFrame, key: str = "cluster_id", vec: str = "vec") -> DataFrame:
+    """Mean silhouette of all points under squared Euclidean distance, closed form; -1.0 for a single cluster.
+
+    A point's squared distances to cluster z sum to n x.x - 2 x.S + Q, with S the sum and Q the sum of squared norms
+    of its members: one aggregate and one pass over the points, no pairs and no sample.
     """
-    spark = df.sparkSession
-    sample = sample_points(df.select(id_col, key, V.as_double(vec).alias("v")), id_col, cap)
-    rows = sample.collect()
-    if not rows:
-        return spark.range(1).select(F.lit(None).cast("double").alias("silhouette_euclidean"),
-                                     F.lit(0).cast("bigint").alias("n_points"))
-    mat = np.asarray([r["v"] for r in rows], dtype=np.float64)
-    if mat.nbytes > MAX_SAMPLE_BYTES:
-        raise ValueError(f"silhouette sample of {mat.nbytes} bytes exceeds {MAX_SAMPLE_BYTES}")
-    labels = np.asarray([r[key] for r in rows])
-    uniq = np.unique(labels)
-    if len(uniq) < 2:
-        return spark.range(1).select(F.lit(-1.0).alias("silhouette_euclidean"),
-                                     F.lit(len(rows)).cast("bigint").alias("n_points"))
-    bc = spark.sparkContext.broadcast((mat, labels, uniq))
-
-    def score(batches):
-        m, lab, u = bc.value
-        onehot = (lab[:, None] == u[None, :]).astype(np.float64)
-        sizes = onehot.sum(axis=0)
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            x = np.vstack(pdf["v"].to_numpy())
-            d = np.empty((x.shape[0], m.shape[0]))
-            for lo in range(0, x.shape[0], 16):
-                blk = x[lo:lo + 16]
-                d[lo:lo + 16] = np.sqrt(((blk[:, None, :] - m[None, :, :]) ** 2).sum(axis=2))
-            own = (pdf[key].to_numpy()[:, None] == u[None, :])
-            sums = d @ onehot
-            n_own = (own * sizes).sum(axis=1)
-            a = np.where(n_own > 1, (sums * own).sum(axis=1) / np.maximum(n_own - 1, 1), 0.0)
-            means = np.where(own, np.inf, sums / sizes)
-            b = means.min(axis=1)
-            s = np.where(n_own > 1, (b - a) / np.maximum(np.maximum(a, b), 1e-300), 0.0)
-            yield pd.DataFrame({"s": s})
-
-    # limit() leaves the sample in one partition; spread its rows so the scoring (each row
-    # against the whole broadcast sample) runs in parallel tasks.
-    parts = max(1, -(-len(rows) // 1024))
-    src = sample.repartition(parts) if parts > 1 else sample
-    scored = src.mapInPandas(score, "s double")
-    return scored.agg(F.avg("s").alias("silhouette_euclidean"), F.count(F.lit(1)).alias("n_points"))
+    points = df.select(key, V.as_double(vec).alias("v"))
+    norms = points.groupBy(key).agg(F.sum(V.dot("v", "v")).alias("q"))
+    stats = collect_params(cluster_stats(points, key, "v").join(norms, key), ["n", "sum", "q"], key)
+    own = F.col(key)
+    return _silhouette(points, stats, key, "v", lambda x, z: F.when(
+        (z["id"] == own) & (z["n"] <= 1), 0.0).otherwise(
+        F.greatest(z["n"] * V.dot(x, x) - 2 * V.dot(x, z["s"]) + z["q"], F.lit(0.0))), "silhouette_euclidean")
 
 
 def word_table(docs: DataFrame, tokens_col: str, vec: str = "vec", min_docs: int = 2,
@@ -167,15 +126,23 @@ def word_table(docs: DataFrame, tokens_col: str, vec: str = "vec", min_docs: int
     return st.where(F.col("n") >= min_docs).select("word", F.col("mean").alias("vector"))
 
 
+def token_counts(docs: DataFrame, tokens_col: str, key: str = "post_id") -> DataFrame:
+    """(key, word, c): a token's occurrences per document, combined map-side; an empty document keeps one null word."""
+    ex = docs.select(key, F.explode_outer(tokens_col).alias("word"))
+    return ex.groupBy(key, "word").agg(F.count("word").alias("c"))
+
+
 def mean_word_vectors(docs: DataFrame, tokens_col: str, words: DataFrame, key: str = "post_id",
                       dim: int | None = None) -> DataFrame:
     """Document vector = mean of the vectors of its tokens found in ``words`` (with repeats);
-    a document with no known token gets a zero vector (``dim`` wide)."""
-    ex = docs.select(key, F.explode(tokens_col).alias("word"))
-    matched = ex.join(words, "word", "inner")
-    st = cluster_stats(matched.select(key, "vector"), key, "vector")
-    out = docs.select(key).join(st.select(key, F.col("n").alias("n_matched"), F.col("mean").alias("doc_vector")),
-                                key, "left")
+    a document with no known token gets a zero vector (``dim`` wide).
+
+    Occurrences are counted first; a vector then travels once per distinct (document, word).
+    """
+    m = token_counts(docs, tokens_col, key).join(words.select("word", array_to_vector(V.as_double("vector")).alias("_v")), "word")
+    st = m.groupBy(key).agg(F.sum("c").alias("n_matched"),
+                            Summarizer.metrics("mean").summary(F.col("_v"), F.col("c").cast("double")).alias("_s"))
+    out = docs.select(key).join(st.select(key, "n_matched", vector_to_array("_s.mean").alias("doc_vector")), key, "left")
     zero = F.array_repeat(F.lit(0.0), F.lit(dim)) if dim else F.array().cast("array<double>")
     return out.select(key, F.coalesce("n_matched", F.lit(0)).cast("bigint").alias("n_matched"),
                       F.coalesce("doc_vector", zero).alias("doc_vector"))
@@ -184,13 +151,15 @@ def mean_word_vectors(docs: DataFrame, tokens_col: str, words: DataFrame, key: s
 def bin_histograms(docs: DataFrame, tokens_col: str, bins: DataFrame, key: str = "post_id") -> DataFrame:
     """Long-form bag-of-bins: (key, bin, weight) with weight = count(bin) / matched tokens.
 
-    Documents without a matched token keep one row with a null bin (their vector is zero).
+    Documents without a matched token keep one row with a null bin (their vector is zero). The totals come
+    from the histogram itself; nothing is joined back.
     """
-    ex = docs.select(key, F.explode(tokens_col).alias("word")).join(bins, "word", "inner")
-    per = ex.groupBy(key, "bin").agg(F.count(F.lit(1)).alias("c"))
-    tot = per.groupBy(key).agg(F.sum("c").alias("m"))
-    w = per.join(tot, key).select(key, "bin", (F.col("c") / F.col("m")).alias("weight"))
-    return docs.select(key).join(w, key, "left")
+    per = (token_counts(docs, tokens_col, key).join(bins, "word", "left")
+           .groupBy(key, "bin").agg(F.sum("c").alias("c")))
+    known = F.when(F.col("bin").isNotNull(), F.struct("bin", "c"))
+    h = per.groupBy(key).agg(F.collect_list(known).alias("h"), F.sum(F.when(F.col("bin").isNotNull(), F.col("c"))).alias("m"))
+    return h.select(key, "m", F.explode_outer("h").alias("x")).select(
+        key, F.col("x.bin").alias("bin"), (F.col("x.c") / F.col("m")).alias("weight"))
 
 
 def densify(long: DataFrame, key: str, width: int) -> DataFrame:

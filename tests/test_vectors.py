@@ -30,6 +30,14 @@ def test_cosine_silhouette_single_label(spark):
     assert VO.silhouette_cosine(df).first()["silhouette_cosine"] == -1.0
 
 
+@pytest.mark.parametrize("score", [VO.silhouette_cosine, VO.silhouette_euclidean])
+def test_silhouette_of_equal_vectors_and_of_one_cluster(spark, score):
+    same = frame(spark, [(0, [1.0, 0.0])] * 2 + [(1, [1.0, 0.0])] * 2)
+    assert tuple(score(same).first()) == (pytest.approx(0.0), 4)
+    assert tuple(score(frame(spark, [(0, [1.0, 0.0]), (0, [0.0, 1.0])])).first()) == (-1.0, 2)
+    assert tuple(score(frame(spark, [(0, [1.0, 0.0]), (1, [0.0, 1.0])])).first()) == (0.0, 2)
+
+
 def test_intra_similarity_singletons_is_zero(spark):
     df = frame(spark, [(0, [1.0, 0.0]), (1, [0.0, 1.0])])
     assert VO.intra_similarity(df).first()["avg_intra_cluster_similarity"] == 0.0
@@ -43,7 +51,7 @@ def brute_silhouette(x, lab, metric):
         d = np.clip(1 - u @ u.T, 0, 2)
         np.fill_diagonal(d, 0)
     else:
-        d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(-1))
+        d = ((x[:, None, :] - x[None, :, :]) ** 2).sum(-1)
     s = []
     for i in range(n):
         own = lab == lab[i]
@@ -68,7 +76,7 @@ def test_silhouettes_match_brute_force(spark, metric):
     if metric == "cosine":
         got = VO.silhouette_cosine(df).first()["silhouette_cosine"]
     else:
-        got = VO.silhouette_euclidean(df, "post_id").first()["silhouette_euclidean"]
+        got = VO.silhouette_euclidean(df).first()["silhouette_euclidean"]
     assert got == pytest.approx(brute_silhouette(x, lab, metric), abs=1e-9)
 
 
