@@ -21,8 +21,9 @@ def hashing_encoder(dim: int = 384):
     def make_predict_fn():
         import re
 
+        from hashlib import blake2b
+
         import numpy as np
-        import xxhash
 
         word = re.compile(r"[^\W\d_]{2,}")
 
@@ -30,7 +31,7 @@ def hashing_encoder(dim: int = 384):
             out = np.zeros((len(texts), dim), dtype=np.float32)
             for i, t in enumerate(texts):
                 for w in word.findall(str(t).lower()):
-                    h = xxhash.xxh64_intdigest(w)
+                    h = int.from_bytes(blake2b(w.encode(), digest_size=8).digest(), "big")
                     out[i, h % dim] += 1.0 if (h >> 63) & 1 else -1.0
             n = np.linalg.norm(out, axis=1, keepdims=True)
             return np.divide(out, n, out=np.zeros_like(out), where=n > 0)

@@ -12,8 +12,8 @@ from postmill.operators import topk as TK
 
 
 def post_order(post_id="post_id"):
-    """Row order of posts: numeric id (the store has no other stable order)."""
-    return F.col(post_id).cast("bigint")
+    """Row order of posts: the id, which is text of any form (the store has no other stable order)."""
+    return F.col(post_id)
 
 
 def cluster_keywords(posts: DataFrame, n: int = L.KEYWORDS_PER_CLUSTER, key: str = "cluster_id",

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill import lexicon as L
 from postmill.functions import text as TX
 
 
@@ -32,10 +31,9 @@ def averages(posts: DataFrame) -> DataFrame:
 
 
 def top_by_score(posts: DataFrame, n: int = 5) -> DataFrame:
-    """Top ``n`` posts by score (ties by numeric id) with the cut summary title."""
-    return (posts.select("post_id", "subreddit", "score", TX.cut_title("title").alias("short_title"),
-                         F.col("post_id").cast("bigint").alias("_k"))
-            .orderBy(F.desc("score"), "_k").limit(n).drop("_k"))
+    """Top ``n`` posts by score (ties by id) with the cut summary title."""
+    return (posts.select("post_id", "subreddit", "score", TX.cut_title("title").alias("short_title"))
+            .orderBy(F.desc("score"), "post_id").limit(n))
 
 
 def cluster_sizes(posts: DataFrame, keywords: DataFrame | None = None) -> DataFrame:
@@ -52,6 +50,3 @@ def run_sql(spark, views: dict, sql: str) -> DataFrame:
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return spark.sql(sql)
-
-
-TITLE_CUTS = {"short_title": L.SUMMARY_TITLE_CHARS}

@@ -59,7 +59,7 @@ def top_posts_per_cluster(posts: DataFrame, n: int = L.SEARCH_SHOWN_POSTS, key:
     p = posts.where(F.col(key).isNotNull())
     src = p.select(key, "post_id", "score", "subreddit",
                    TX.prefix(TX.title_or_placeholder("cleaned_title"), chars).alias("title"),
-                   F.col("post_id").cast("bigint").alias("_ord"))
+                   F.col("post_id").alias("_ord"))
     top = TK.top_k_per_group(src, key, [F.desc("score"), F.col("_ord")], n).drop("_ord")
     sizes = p.groupBy(key).agg(F.count(F.lit(1)).alias("cluster_size"))
     return top.join(sizes, key)

@@ -7,6 +7,7 @@ text and floating results are rounded, so the two engines can be compared by val
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from postmill import lexicon as L
@@ -197,7 +198,7 @@ def summary_avgs(spark, sf):
 
 @register("top_posts", f"""
     SELECT post_id, subreddit, score, {Q.cut_title('title')} AS short_title FROM {STORED} s
-    ORDER BY score DESC, cast(post_id AS bigint) LIMIT 5""")
+    ORDER BY score DESC, post_id LIMIT 5""")
 def top_posts(spark, sf):
     return RP.top_by_score(TB.stored_posts(spark, sf, ("post_id", "subreddit", "score", "title")))
 
@@ -249,28 +250,41 @@ def _empty_store(spark):
 
 _RUNS_SQL = f"""
     WITH v AS ({Q.POSTS_VIEW}),
-    arr AS (SELECT post_id, subreddit, title, score, '2024-06-01' AS fetched_day, 1 AS run, 0 AS lst
-            FROM v WHERE flair = 'en'
-            UNION ALL SELECT post_id, subreddit, title, score + 1, '2024-06-02', 2, 0 FROM v
-            UNION ALL SELECT post_id, subreddit, title, score + 2, '2024-06-02', 2, 1 FROM v)"""
+    arr AS (SELECT v.*, 0 AS bump, '2024-06-01' AS fetched_day, 1 AS run, 0 AS lst FROM v WHERE flair = 'en'
+            UNION ALL SELECT v.*, 1, '2024-06-02', 2, 0 FROM v
+            UNION ALL SELECT v.*, 2, '2024-06-02', 2, 1 FROM v)"""
+
+
+def _stored_columns(store):
+    """All columns of the posts table, flags as 0/1, times as text and the body as its MD5."""
+    day = F.date_format("fetched_at", "yyyy-MM-dd").alias("fetched_day")
+    out = store.select("post_id", "subreddit", "title", "author", "score", F.round("upvote_ratio", 6).alias("upvote_ratio"),
+                       "num_comments", F.date_format("created_utc", "yyyy-MM-dd HH:mm:ss").alias("created"), "url", "permalink",
+                       F.md5("selftext").alias("selftext_md5"), "is_self", "over_18", "flair", "domain", day)
+    return TB.flags_as_numbers(out)
 
 
 @register("dedup_append", _RUNS_SQL + f"""
-    SELECT post_id, subreddit, {Q.light_clean('title')} AS title, score, fetched_day
+    SELECT post_id, subreddit, {Q.light_clean('title')} AS title, coalesce(author, '[deleted]') AS author,
+           coalesce(score + bump, 0) AS score, round(coalesce(upvote_ratio, 0.0), 6) AS upvote_ratio,
+           coalesce(num_comments, 0) AS num_comments,
+           strftime(coalesce(created_utc, TIMESTAMP '1970-01-01 00:00:00'), '%Y-%m-%d %H:%M:%S') AS created,
+           coalesce(url, '') AS url, '{L.PERMALINK_PREFIX}/r/' || subreddit || '/comments/' || post_id AS permalink,
+           md5({Q.light_clean('selftext')}) AS selftext_md5, CAST(is_self AS INT) AS is_self, CAST(over_18 AS INT) AS over_18,
+           coalesce(flair, '') AS flair, coalesce(domain, '') AS domain, fetched_day
     FROM (SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY run, lst) AS rn FROM arr) x
     WHERE rn = 1 AND post_id <> '' AND subreddit IS NOT NULL""")
 def dedup_append(spark, sf):
     run1, run2 = _runs(spark, sf)
     store = ST.append(_empty_store(spark), LS.to_posts(run1))
     store = ST.append(store, LS.to_posts(run2))
-    return store.select("post_id", "subreddit", "title", "score",
-                        F.date_format("fetched_at", "yyyy-MM-dd").alias("fetched_day"))
+    return _stored_columns(store)
 
 
 @register("listing_cap", f"""
     WITH v AS ({Q.POSTS_VIEW}),
     l AS (SELECT subreddit || '/hot' AS listing, post_id FROM v UNION ALL SELECT subreddit || '/new', post_id FROM v),
-    r AS (SELECT listing, row_number() OVER (PARTITION BY listing ORDER BY cast(post_id AS bigint)) AS rn FROM l)
+    r AS (SELECT listing, row_number() OVER (PARTITION BY listing ORDER BY post_id) AS rn FROM l)
     SELECT listing, count(*) AS n_fetched, count(*) FILTER (WHERE rn <= {L.LISTING_CEILING}) AS n_kept
     FROM r GROUP BY listing""")
 def listing_cap(spark, sf):
@@ -422,15 +436,15 @@ def silhouette_cosine(spark, sf):
 
 
 @register("silhouette_euclidean", f"""
-    WITH pd AS (SELECT a.post_id, a.cluster_id AS own, b.cluster_id AS cid, list_distance(a.vec, b.vec) AS d
+    WITH pd AS (SELECT a.post_id, a.cluster_id AS own, b.cluster_id AS cid, pow(list_distance(a.vec, b.vec), 2) AS d
                 FROM {EMB} a, {EMB} b WHERE a.post_id <> b.post_id),
     ag AS (SELECT post_id, own, cid, avg(d) AS md FROM pd GROUP BY post_id, own, cid),
     s AS (SELECT post_id, max(CASE WHEN cid = own THEN md END) AS a, min(CASE WHEN cid <> own THEN md END) AS b
           FROM ag GROUP BY post_id)
-    SELECT round(avg(CASE WHEN a IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette_euclidean,
+    SELECT round(avg(CASE WHEN a IS NULL THEN 0.0 WHEN greatest(a, b) = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette_euclidean,
            count(*) AS n_points FROM s""")
 def silhouette_euclidean(spark, sf):
-    r = VO.silhouette_euclidean(given_vectors(spark, sf), "post_id")
+    r = VO.silhouette_euclidean(given_vectors(spark, sf))
     return r.select(F.round("silhouette_euclidean", 6).alias("silhouette_euclidean"), "n_points")
 
 
@@ -443,7 +457,7 @@ def _group_topk_sql(src: str, key: str, text_expr: str, order_expr: str, n: int,
     base = f"""
     WITH t AS (SELECT {key}, {order_expr} AS ord, {Q.drop_words(Q.tokens(text_expr))} AS toks FROM {src} s0 WHERE {key} IS NOT NULL),
     u AS (SELECT {key}, ord, unnest(toks) AS tok, unnest(range(1, len(toks) + 1)) AS pos FROM t),
-    g AS (SELECT {key}, tok, count(*) AS n, min(list_concat(ord, [pos])) AS first FROM u GROUP BY {key}, tok),
+    g AS (SELECT {key}, tok, count(*) AS n, min({{'o': ord, 'p': pos}}) AS first FROM u GROUP BY {key}, tok),
     r AS (SELECT {key}, tok, n, row_number() OVER (PARTITION BY {key} ORDER BY n DESC, first) AS rk FROM g)"""
     if out_rows:
         return base + f" SELECT {key}, rk AS rank, tok AS word, n AS count FROM r WHERE rk <= {n}"
@@ -451,7 +465,7 @@ def _group_topk_sql(src: str, key: str, text_expr: str, order_expr: str, n: int,
 
 
 CLUSTER_KW_SQL = _group_topk_sql(MEMBERS, "cluster_id", Q.join_text("cleaned_title", "cleaned_selftext"),
-                                 "[cast(post_id AS bigint)]", L.KEYWORDS_PER_CLUSTER)
+                                 "post_id", L.KEYWORDS_PER_CLUSTER)
 
 
 @register("cluster_keywords", CLUSTER_KW_SQL)
@@ -475,7 +489,7 @@ def cluster_sizes(spark, sf):
     SELECT cluster_id, rank, post_id, title FROM (
       SELECT cluster_id, post_id,
              substr(CASE WHEN coalesce(cleaned_title, '') = '' THEN '{L.NO_TITLE}' ELSE cleaned_title END, 1, {L.SAMPLE_TITLE_CHARS}) AS title,
-             row_number() OVER (PARTITION BY cluster_id ORDER BY cast(post_id AS bigint)) AS rank
+             row_number() OVER (PARTITION BY cluster_id ORDER BY post_id) AS rank
       FROM {MEMBERS} m) x WHERE rank <= {L.SAMPLE_TITLES_PER_CLUSTER}""")
 def cluster_samples(spark, sf):
     return PF.cluster_samples(members(spark, sf)).select("cluster_id", "rank", "post_id", "title")
@@ -530,7 +544,7 @@ def _bench_q_sql() -> str:
     """Benchmark texts encoded as the mean learned word vector of their tokens (zeros if none)."""
     txt = f"CASE WHEN {Q.py_strip('text')} = '' THEN '{L.EMPTY_TEXT}' ELSE text END"
     return f"""(SELECT b.item_id, b.text AS query_text,
-                   coalesce(qv.vec, list_transform(range(64), lambda i : CAST(0 AS DOUBLE))) AS query_vec
+                   coalesce(qv.vec, list_transform(range((SELECT max(len(embedding)) FROM embeddings)), lambda i : CAST(0 AS DOUBLE))) AS query_vec
             FROM benchmark b LEFT JOIN (
               SELECT item_id, list(v ORDER BY i) AS vec FROM (
                 SELECT item_id, i, avg(x) AS v FROM (
@@ -555,7 +569,7 @@ def bench_queries(spark, sf, m=None):
     mtext = F.when(mtext == "", F.lit(L.EMPTY_TEXT)).otherwise(mtext)
     docs = m.select(TX.tokens_cased(mtext).alias("tokens"), "vec")
     words = VO.word_table(docs, "tokens", only=toks.select(F.explode("tokens").alias("word")))
-    qv = VO.mean_word_vectors(toks, "tokens", words, key="item_id", dim=64)
+    qv = VO.mean_word_vectors(toks, "tokens", words, key="item_id", dim=TB.vector_width(spark, sf))
     return b.join(qv.select("item_id", F.col("doc_vector").alias("query_vec")), "item_id")
 
 
@@ -604,7 +618,7 @@ def search_keyword(spark, sf):
     WITH m AS (SELECT item_id, best_cluster FROM ({SEM_SQL}) s),
     p AS (SELECT cluster_id, post_id, score, subreddit,
                  substr(CASE WHEN coalesce(cleaned_title, '') = '' THEN '{L.NO_TITLE}' ELSE cleaned_title END, 1, {L.SEARCH_TITLE_CHARS}) AS title,
-                 row_number() OVER (PARTITION BY cluster_id ORDER BY score DESC, cast(post_id AS bigint)) AS rank,
+                 row_number() OVER (PARTITION BY cluster_id ORDER BY score DESC, post_id) AS rank,
                  count(*) OVER (PARTITION BY cluster_id) AS cluster_size
           FROM {MEMBERS} m0)
     SELECT m.item_id, m.best_cluster, p.rank, p.post_id, p.score, p.subreddit, p.title, p.cluster_size,
@@ -619,7 +633,7 @@ def search_posts(spark, sf):
 @register("title_histogram", f"""
     WITH m AS (SELECT s.item_id, b.text AS query_text, s.best_cluster FROM ({SEM_SQL}) s
                JOIN benchmark b ON b.item_id = s.item_id),
-    h AS ({_group_topk_sql(MEMBERS, "cluster_id", "cleaned_title", "[-score, cast(post_id AS bigint)]", 10, out_rows=True)})
+    h AS ({_group_topk_sql(MEMBERS, "cluster_id", "cleaned_title", "{'s': -score, 'p': post_id}", 10, out_rows=True)})
     SELECT m.item_id, m.best_cluster, h.rank, h.word, h.count, instr(lower(m.query_text), h.word) > 0 AS query_match
     FROM m JOIN h ON h.cluster_id = m.best_cluster""")
 def title_histogram(spark, sf):
@@ -672,7 +686,7 @@ def ppmi_weights(spark, sf):
 def mean_word_vector(spark, sf):
     texts = clean_texts(spark, sf)
     words = _word_table(spark, sf, cased=True, texts=texts)
-    out = VO.mean_word_vectors(_doc_tokens(spark, sf, cased=True, texts=texts), "tokens", words, dim=64)
+    out = VO.mean_word_vectors(_doc_tokens(spark, sf, cased=True, texts=texts), "tokens", words, dim=TB.vector_width(spark, sf))
     return out.select("post_id", "n_matched", F.round(V.vsum("doc_vector"), 6).alias("vec_sum"),
                       F.round(V.norm("doc_vector"), 6).alias("vec_norm"))
 
@@ -706,12 +720,21 @@ from postmill.session import scratch_path  # noqa: E402
 from postmill.streaming import ingest as IG  # noqa: E402
 
 
-@register("kmeans_restarts")
+_EACH_NEAREST = "SELECT cast(vec_id AS varchar) AS post_id, true AS in_nearest FROM embeddings"
+
+
+def _in_nearest(labelled, model):
+    """Whether each point's cluster is that of the nearest centre."""
+    cents = [{"cluster_id": i, "centroid": list(c)} for i, c in enumerate(model.clusterCenters())]
+    n = VO.nearest_centroid(labelled, cents)
+    return n.select("post_id", (F.col("nearest") == F.col("cluster_id")).alias("in_nearest"))
+
+
+@register("kmeans_restarts", _EACH_NEAREST)
 def kmeans_restarts(spark, sf):
-    _, costs = CL.kmeans_restarts(given_vectors(spark, sf), L.EXPERIMENT_CLUSTERS)
-    best = min(c["training_cost"] for c in costs)
-    return spark.createDataFrame([(c["restart"], c["seed"], c["k"], c["training_cost"], c["training_cost"] == best)
-                                  for c in costs], "restart int, seed int, k int, training_cost double, is_best boolean")
+    g = given_vectors(spark, sf).drop("cluster_id")
+    model, _ = CL.kmeans_restarts(g, L.EXPERIMENT_CLUSTERS)
+    return _in_nearest(CL.assign(model, g), model)
 
 
 @register("auto_k")
@@ -751,32 +774,84 @@ def encoder_batch(spark, sf):
     return out.select("post_id", F.size("embedding").alias("dim"), F.round(V.norm("embedding"), 4).alias("norm"))
 
 
-def _experiment(spark, sf):
-    return XP.cached_results(spark, sf, lambda: training(spark, sf))
+def _compared(r):
+    """The comparison, one row per method; report lists as text."""
+    report = F.array_join(F.transform("report", lambda x: F.concat_ws(":", x["cluster_id"], x["size"])), ", ")
+    return EV.comparison(r).select("method", "family", "place", "wins_dimension", "n_posts", "n_clusters", "vector_dimension",
+                                   "silhouette_cosine", "avg_intra_cluster_similarity", report.alias("report"))
 
 
 @register("compare_embeddings")
 def compare_embeddings(spark, sf):
-    r = _experiment(spark, sf)
-    return r.select("method", EV.method_family("method").alias("family"), "n_posts", "n_clusters", "vector_dimension",
-                    "silhouette_cosine", "avg_intra_cluster_similarity", "word_bins",
-                    F.size("cluster_details").alias("n_cluster_details"))
+    return _compared(EV.results_frame(spark, XP.run(spark, training(spark, sf))))
 
 
-@register("best_config")
-def best_config(spark, sf):
-    return EV.best_config(_experiment(spark, sf)).select("method", "silhouette_cosine", "avg_intra_cluster_similarity")
+# The given vectors under three given labelings, compared like methods: (method, label column in SQL).
+LABELINGS = (("doc2vec_label", "cast(e.label AS varchar)"), ("bins_source", "d.source"), ("bins_lang", "d.lang"))
 
 
-@register("dimension_winner")
-def dimension_winner(spark, sf):
-    return EV.dimension_winner(_experiment(spark, sf))
+def _labelled_sql(expr: str) -> str:
+    return f"""(SELECT post_id, vec, cast(dense_rank() OVER (ORDER BY lab) - 1 AS int) AS cluster_id FROM (
+        SELECT cast(e.vec_id AS varchar) AS post_id, cast(e.embedding AS double[]) AS vec, {expr} AS lab
+        FROM embeddings e JOIN documents d ON d.doc_id = e.vec_id) l0)"""
 
 
-@register("results_ordered")
-def results_ordered(spark, sf):
-    return EV.results_ordered(_experiment(spark, sf)).select(
-        "family", "vector_dimension", "method", "silhouette_cosine", "avg_intra_cluster_similarity")
+def _method_sql(name: str, expr: str) -> str:
+    """One record: cosine silhouette and intra similarity of a labelling, from each cluster's sums."""
+    src = f"""(SELECT post_id, cluster_id, CASE WHEN nrm > 0 THEN list_transform(vec, lambda x : x / nrm)
+               ELSE list_transform(vec, lambda x : 0.0) END AS u
+             FROM (SELECT *, sqrt(list_sum(list_transform(vec, lambda x : x * x))) AS nrm FROM {_labelled_sql(expr)} e0) e1)"""
+    return f"""
+    SELECT '{name}' AS method, (SELECT count(*) FROM p) AS n_posts, (SELECT count(*) FROM c) AS n_clusters,
+           (SELECT max(len(u)) FROM p) AS vector_dimension,
+           (SELECT round(avg(CASE WHEN n_own <= 1 OR greatest(a, b) = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END), 4) FROM (
+              SELECT post_id, max(CASE WHEN cid = own THEN n END) AS n_own,
+                     max(CASE WHEN cid = own AND n > 1 THEN (n - 1 - (xs - xx)) / (n - 1) END) AS a,
+                     min(CASE WHEN cid <> own THEN (n - xs) / n END) AS b
+              FROM (SELECT p.post_id, p.cluster_id AS own, c.cluster_id AS cid, c.n, list_dot_product(p.u, c.s) AS xs,
+                           list_dot_product(p.u, p.u) AS xx FROM p, c) d GROUP BY post_id) a0) AS silhouette_cosine,
+           (SELECT round(coalesce(sum(list_dot_product(s, list_transform(m, lambda x : x / mn))) / sum(n), 0.0), 4) FROM (
+              SELECT *, sqrt(list_sum(list_transform(m, lambda x : x * x))) + 1e-12 AS mn FROM (
+                SELECT cluster_id, n, s, list_transform(s, lambda x : x / n) AS m FROM c WHERE n >= 2) h0) h) AS avg_intra_cluster_similarity,
+           (SELECT string_agg(cluster_id || ':' || n, ', ' ORDER BY cluster_id) FROM c WHERE cluster_id < 3) AS report
+    FROM (SELECT 1) one""", src
+
+
+def _labelings_sql() -> str:
+    parts = []
+    for i, (name, expr) in enumerate(LABELINGS):
+        body, src = _method_sql(name, expr)
+        parts.append(f"SELECT {i} AS ord, m.* FROM (WITH p AS {src}, c AS {_sums_sql('p', 'cluster_id', 'u')} {body}) m")
+    return f"""
+    WITH r AS ({' UNION ALL '.join(parts)}),
+    f AS (SELECT *, CASE WHEN method LIKE 'doc2vec%' THEN 'Doc2Vec' ELSE 'Word2Vec+Bins' END AS family FROM r),
+    firsts AS (SELECT *, row_number() OVER (PARTITION BY family, vector_dimension ORDER BY ord) AS rn FROM f),
+    w AS (SELECT CASE WHEN (a.silhouette_cosine, a.avg_intra_cluster_similarity) >= (b.silhouette_cosine, b.avg_intra_cluster_similarity)
+                      THEN a.method ELSE b.method END AS winner
+          FROM firsts a JOIN firsts b ON b.vector_dimension = a.vector_dimension
+          WHERE a.rn = 1 AND b.rn = 1 AND a.family = 'Doc2Vec' AND b.family <> 'Doc2Vec')
+    SELECT method, family, row_number() OVER (ORDER BY silhouette_cosine DESC, avg_intra_cluster_similarity DESC, ord) AS place,
+           method IN (SELECT winner FROM w) AS wins_dimension, n_posts, n_clusters, vector_dimension,
+           silhouette_cosine, avg_intra_cluster_similarity, report
+    FROM f"""
+
+
+@register("compare_labelings", _labelings_sql())
+def compare_labelings(spark, sf):
+    docs = TB.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("post_id"), "source", "lang", "text")
+    points = (given_vectors(spark, sf).withColumnRenamed("cluster_id", "label").join(docs, "post_id")
+              .withColumn("title", F.split_part("text", F.lit("\n"), F.lit(1))))
+    from postmill.session import checkpoint_dir
+    checkpoint_dir(spark)
+    points = points.checkpoint(eager=True)
+    records = []
+    for name, column in zip((n for n, _ in LABELINGS), (F.col("label").cast("string"), F.col("source"), F.col("lang"))):
+        found = points.select(column.alias("lab")).where("lab is not null").distinct()
+        ids = found.withColumn("cluster_id", F.row_number().over(Window.orderBy("lab")) - 1)  # a row per label
+        labelled = points.withColumn("lab", column).join(ids, "lab")
+        labelled = labelled.select("post_id", "vec", "cluster_id")
+        records.append(EV.evaluate_labels(name, labelled, points.select("post_id", "title", "text"), found.count()))
+    return _compared(EV.results_frame(spark, records))
 
 
 @register("cluster_job")
@@ -796,8 +871,7 @@ def stream_ingest(spark, sf):
     for pages in (run1, run2):
         IG.land(pages, landing)
         IG.run_once(spark, landing, store, ckpt)
-    return spark.read.parquet(store).select(
-        "post_id", "subreddit", "title", "score", F.date_format("fetched_at", "yyyy-MM-dd").alias("fetched_day"))
+    return _stored_columns(spark.read.parquet(store))
 
 
 @register("stage_runner")

@@ -19,8 +19,12 @@ STATUS_DDL = "stage string, ok boolean, rows bigint, error string"
 
 def run(spark: SparkSession, runs: list, k: int = L.EXPERIMENT_CLUSTERS, restarts: int = L.KMEANS_RESTARTS,
         encoder=None) -> DataFrame:
-    """``runs`` are listing-page DataFrames landed one after another. Returns stage status rows
-    plus a final 'counts' row (rows = total; error holds 'embedded=..,clustered=..')."""
+    """``runs`` are listing-page DataFrames landed one after another. Returns a status row per stage
+    (rows = rows in its table) and the rows 'posts', 'embedded' and 'clustered' of the final posts table.
+
+    All tables exist, empty, before the first stage, so a stage reads what there is and a failed read
+    is an error, not a first run. Only posts without a vector are embedded.
+    """
     base = scratch_path(spark, "stages")
     landing, store, ckpt = f"{base}/landing", f"{base}/posts", f"{base}/ingest-ckpt"
     enriched_p, embedded_p, clustered_p = f"{base}/enriched", f"{base}/embedded", f"{base}/clustered"
@@ -32,6 +36,11 @@ def run(spark: SparkSession, runs: list, k: int = L.EXPERIMENT_CLUSTERS, restart
         except Exception as e:  # noqa: BLE001 - a failing stage must not stop the others
             status.append((name, False, None, f"{type(e).__name__}: {str(e)[:300]}"))
 
+    IG.init_store(spark, store)
+    EN.enrich(spark.read.parquet(store)).withColumn("keywords", TX.list_text("keywords")).withColumn(
+        "topics", TX.list_text("topics")).limit(0).write.mode("ignore").parquet(enriched_p)
+    spark.createDataFrame([], "post_id string, embedding array<float>").write.mode("ignore").parquet(embedded_p)
+
     def ingest():
         for pages in runs:
             IG.land(pages, landing)
@@ -40,47 +49,31 @@ def run(spark: SparkSession, runs: list, k: int = L.EXPERIMENT_CLUSTERS, restart
 
     def enrich():
         posts = spark.read.parquet(store)
-        try:
-            done = spark.read.parquet(enriched_p)
-        except Exception:  # noqa: BLE001 - first run: nothing enriched yet
-            done = None
-        todo = EN.pending(posts, done) if done is not None else posts
+        todo = EN.pending(posts, spark.read.parquet(enriched_p))
         out = EN.enrich(todo).withColumn("keywords", TX.list_text("keywords")).withColumn("topics", TX.list_text("topics"))
         out.write.mode("append").parquet(enriched_p)
         return spark.read.parquet(enriched_p).count()
 
     def embed():
-        e = spark.read.parquet(enriched_p)
+        e = EN.pending(spark.read.parquet(enriched_p), spark.read.parquet(embedded_p))
         text = TX.join_text("cleaned_title", "cleaned_selftext", "ocr_text")
         EC.encode(e.select("post_id", text.alias("text")), "text", encoder) \
-            .select("post_id", "embedding").write.mode("overwrite").parquet(embedded_p)
+            .select("post_id", "embedding").write.mode("append").parquet(embedded_p)
         return spark.read.parquet(embedded_p).count()
 
     def cluster():
         e = spark.read.parquet(enriched_p).join(
             spark.read.parquet(embedded_p).withColumnRenamed("embedding", "vec"), "post_id")
         out, _, _ = CJ.run(e, k, restarts)
-        out.write.mode("overwrite").parquet(clustered_p)
-        return spark.read.parquet(clustered_p).count()
+        posts = spark.read.parquet(store).select(
+            "post_id", F.lit(None).cast("int").alias("cluster_id"), F.lit("").alias("cluster_keywords"))
+        CJ.write_back(posts, out).write.mode("overwrite").parquet(clustered_p)
+        return spark.read.parquet(clustered_p).where("cluster_id is not null").count()
 
     for name, fn in (("ingest", ingest), ("enrich", enrich), ("embed", embed), ("cluster", cluster)):
         stage(name, fn)
 
-    def counts():
-        total = spark.read.parquet(store).count()
-        try:
-            emb = spark.read.parquet(embedded_p).where(F.size("embedding") > 0).count()
-        except Exception:  # noqa: BLE001
-            emb = 0
-        try:
-            clu = spark.read.parquet(clustered_p).where(F.col("cluster_id").isNotNull()).count()
-        except Exception:  # noqa: BLE001
-            clu = 0
-        return total, f"embedded={emb},clustered={clu}"
-
-    try:
-        total, detail = counts()
-        status.append(("counts", True, total, detail))
-    except Exception as e:  # noqa: BLE001
-        status.append(("counts", False, None, str(e)[:300]))
+    stage("posts", lambda: spark.read.parquet(store).count())
+    stage("embedded", lambda: spark.read.parquet(embedded_p).where(F.size("embedding") > 0).count())
+    stage("clustered", lambda: spark.read.parquet(clustered_p).where(F.col("cluster_id").isNotNull()).count())
     return spark.createDataFrame(status, STATUS_DDL)

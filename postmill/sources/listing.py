@@ -7,7 +7,7 @@ their position, and only ``t3`` children are posts.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postmill import lexicon as L
@@ -15,18 +15,6 @@ from postmill import schema as S
 from postmill.functions import text as TX
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Batch read of landed pages (one JSON document per line)."""
-    return spark.read.schema(S.LANDED_LISTING).json(path)
-
-
-def parse_pages(df: DataFrame, json_col: str = "value") -> DataFrame:
-    """JSON text column -> page structs (same schema as a file read)."""
-    parsed = F.from_json(F.col(json_col), S.LISTING)
-    keep = [c for c in df.columns if c != json_col]
-    return df.select(*keep, parsed["data"].alias("data"))
-
-
 def children(pages: DataFrame) -> DataFrame:
     """Unwrap envelopes: one row per ``t3`` child, with its page position.
 
@@ -44,7 +32,7 @@ def project(raw: Column, fetched_at: Column) -> list:
     created = F.timestamp_seconds(F.coalesce(raw["created_utc"], F.lit(0.0))).cast("timestamp_ntz")
     return [
         F.coalesce(raw["id"], F.lit("")).alias("post_id"),
-        raw["subreddit"].alias("subreddit"),
+        F.coalesce(raw["subreddit"], F.lit("")).alias("subreddit"),
         TX.light_clean(raw["title"]).alias("title"),
         F.coalesce(raw["author"], F.lit("[deleted]")).alias("author"),
         F.coalesce(raw["score"], F.lit(0).cast("bigint")).alias("score"),
@@ -56,7 +44,7 @@ def project(raw: Column, fetched_at: Column) -> list:
         TX.light_clean(raw["selftext"]).alias("selftext"),
         F.coalesce(raw["is_self"], F.lit(False)).alias("is_self"),
         F.coalesce(raw["over_18"], F.lit(False)).alias("over_18"),
-        raw["link_flair_text"].alias("flair"),
+        F.coalesce(raw["link_flair_text"], F.lit("")).alias("flair"),
         F.coalesce(raw["domain"], F.lit("")).alias("domain"),
         fetched_at.alias("fetched_at"),
     ]
@@ -76,7 +64,7 @@ def listing_pages(posts: DataFrame, variants: list, page_size: int = 100) -> Dat
 
     ``variants`` are (listing suffix, score bump, fetch time, condition or None): each post
     appears in every listing whose condition it meets, under ``subreddit + suffix``. A page
-    holds at most ``page_size`` children (page = id // page_size, numeric ids) plus one
+    holds at most ``page_size`` children (page = id // page_size, the id read in base 36) plus one
     non-post child. One scan, one shuffle for all listings.
     """
     opts = F.array(*[F.struct(F.lit(sfx).alias("suffix"), F.lit(bump).cast("bigint").alias("bump"),
@@ -97,9 +85,9 @@ def listing_pages(posts: DataFrame, variants: list, page_size: int = 100) -> Dat
                 F.col("selftext"), F.col("is_self"), F.col("over_18"),
                 F.col("flair").alias("link_flair_text"), F.col("domain"),
             ).alias("data")).alias("child"))
-    paged = rows.withColumn("page", F.floor(F.col("post_id").cast("bigint") / page_size).cast("bigint"))
+    paged = rows.withColumn("page", F.floor(F.conv("post_id", 36, 10).cast("decimal(20,0)") / page_size).cast("bigint"))
     pages = paged.groupBy("listing", "fetched_at", "page").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct(F.col("post_id").cast("bigint").alias("k"), "child"))),
+        F.transform(F.array_sort(F.collect_list(F.struct(F.col("post_id").alias("k"), "child"))),
                     lambda r: r["child"]).alias("kids"))
     other = F.struct(F.lit("t1").alias("kind"),
                      F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in S.POST_DATA.fields]).alias("data"))
@@ -107,9 +95,3 @@ def listing_pages(posts: DataFrame, variants: list, page_size: int = 100) -> Dat
         "listing", "page", "fetched_at",
         F.struct(F.lit(None).cast("string").alias("after"),
                  F.concat(F.col("kids"), F.array(other)).alias("children")).alias("data"))
-
-
-def listing_envelopes(posts: DataFrame, listing_suffix: str, page_size: int = 100, score_bump: int = 0,
-                      fetched_at: str = "2024-06-01 00:00:00") -> DataFrame:
-    """One listing (``subreddit + listing_suffix``) rendered as pages."""
-    return listing_pages(posts, [(listing_suffix, score_bump, fetched_at, None)], page_size)

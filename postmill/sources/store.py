@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from postmill import lexicon as L
 
+# Slices of one source's day when the posts table is written.
+SALTS = 16
+
 
 def keep_first(rows: DataFrame, key: str = "post_id", order: str = "arrival") -> DataFrame:
     """One row per key: the earliest by ``order`` (first writer wins).
@@ -32,9 +35,11 @@ def valid(rows: DataFrame) -> DataFrame:
 
 
 def new_rows(store: DataFrame, batch: DataFrame, key: str = "post_id") -> DataFrame:
-    """Batch rows whose key is not yet stored (deduplicated, valid, first arrival)."""
-    fresh = keep_first(valid(batch), key)
-    return fresh.join(store.select(key), key, "left_anti")
+    """Batch rows whose key is not yet stored (deduplicated, valid, first arrival).
+
+    Stored keys are taken out first, so only new posts are compared by arrival.
+    """
+    return keep_first(valid(batch).join(store.select(key), key, "left_anti"), key)
 
 
 def append(store: DataFrame, batch: DataFrame, key: str = "post_id") -> DataFrame:
@@ -73,9 +78,9 @@ def evolve(frames: list, defaults: dict) -> DataFrame:
 def write_posts(posts: DataFrame, path: str, mode: str = "append") -> None:
     """Store layout for the posts table: one folder per source (partition pruning on the
     source filter) and rows sorted by creation time inside each file (row-group statistics
-    skip time ranges). Repartitioning by source and a time bucket keeps files per task
-    bounded even when one source holds most rows."""
-    bucket = F.date_trunc("day", F.col("created_utc"))
-    (posts.repartition("subreddit", bucket)
+    skip time ranges). Rows are dealt out by source, day and one of ``SALTS`` slices of a source's day,
+    so a hot source's day is not one task."""
+    bucket, salt = F.date_trunc("day", F.col("created_utc")), F.pmod(F.xxhash64("post_id"), F.lit(SALTS))
+    (posts.repartition("subreddit", bucket, salt)
      .sortWithinPartitions("subreddit", "created_utc")
      .write.mode(mode).partitionBy("subreddit").parquet(path))

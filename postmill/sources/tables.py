@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from postmill.functions import text as TX
 
-TABLES = ("documents", "events", "pages", "labels", "embeddings", "conversations", "benchmark")
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -80,6 +77,23 @@ TEXT_COLUMNS = ("post_id", "title", "selftext")
 ENRICH_COLUMNS = ("post_id", "title", "selftext", "author", "created_utc")
 
 
+def vector_width(spark: SparkSession, sf_dir: str) -> int:
+    """Length of the stored vectors (0 when there are none)."""
+    first = table(spark, sf_dir, "embeddings").where("embedding is not null").select(F.size("embedding").alias("n")).first()
+    return first["n"] if first else 0
+
+
+def sources(names: str) -> F.Column:
+    """Filter on a comma list of sources, blanks dropped; an empty list keeps all. It reaches the scan or the partitions."""
+    wanted = [n.strip() for n in names.split(",") if n.strip()]
+    return F.col("subreddit").isin(wanted) if wanted else F.lit(True)
+
+
+def flags_as_numbers(df: DataFrame) -> DataFrame:
+    """Boolean columns as 0/1, for outputs that carry numbers."""
+    return df.select(*[F.col(c).cast("int").alias(c) if t == "boolean" else F.col(c) for c, t in df.dtypes])
+
+
 def post_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored post embeddings with their given cluster label: (post_id, embedding, cluster_id)."""
     return table(spark, sf_dir, "embeddings").select(

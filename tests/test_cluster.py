@@ -35,3 +35,46 @@ def test_pca_ratios(spark):
     assert 0 < ratio[1] <= ratio[0] <= 1 and coords.count() == 500
     means = coords.agg(F.avg("pc1").alias("a"), F.avg("pc2").alias("b")).first()
     assert abs(means["a"]) < 1e-9 and abs(means["b"]) < 1e-9
+
+
+def test_points_are_in_their_nearest_cluster(spark):
+    from postmill.plans import catalog
+    got = catalog.QUERIES["kmeans_restarts"](spark, "/root/testdata/sf0.001")
+    assert got.count() == 500 and got.where("in_nearest").count() == 500
+
+
+def test_word_numbers_are_dense_and_fixed(spark):
+    from postmill.operators import docvec as DV
+    words = spark.createDataFrame([(f"w{i % 37}",) for i in range(200)], "word string").distinct()
+    n = sorted((r["ix"], r["word"]) for r in DV.with_index(words, "ix").collect())
+    assert [i for i, _ in n] == list(range(37)) and [w for _, w in n] == sorted(w for _, w in n)
+
+
+def test_document_and_word_vectors(spark):
+    from postmill.operators import docvec as DV
+    docs = spark.createDataFrame([(str(i), ["cat", "dog", "sun"] if i % 2 else ["tax", "law", "vote"]) for i in range(12)],
+                                 "post_id string, tokens array<string>")
+    vecs = DV.doc_vectors_als(docs, {"vector_size": 4, "sweeps": 3, "min_count": 2})
+    assert vecs.count() == 12 and {len(r["vec"]) for r in vecs.collect()} == {4}
+    dense, bins = DV.word2vec_bins(docs, {"vector_size": 4, "window": 2, "min_count": 2, "epochs": 2, "bins": 3}, restarts=2)
+    assert bins == 3 and all(abs(sum(r["vec"]) - 1) < 1e-9 for r in dense.collect())
+
+
+def test_experiment_needs_posts(spark):
+    import pytest
+    from postmill.plans import experiment
+    empty = spark.createDataFrame([], "post_id string, title string, text string, tokens array<string>")
+    with pytest.raises(ValueError, match="no usable posts"):
+        experiment.run(spark, empty)
+
+
+def test_a_failing_stage_does_not_stop_the_others(spark):
+    from postmill.plans import catalog, stages
+    runs = catalog._runs(spark, "/root/testdata/sf0.001")
+
+    def broken():
+        raise RuntimeError("no encoder")
+
+    got = {r["stage"]: (r["ok"], r["rows"]) for r in stages.run(spark, list(runs), restarts=1, encoder=broken).collect()}
+    assert got["ingest"] == (True, 200) and got["enrich"] == (True, 200) and got["posts"] == (True, 200)
+    assert got["embed"][0] is False and got["embedded"] == (True, 0)

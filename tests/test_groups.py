@@ -1,27 +1,42 @@
 """Group keywords, search and evaluation helpers against brute force."""
 
-import re
-from collections import Counter
-
 import pytest
 from pyspark.sql import functions as F
 
-from postmill import lexicon as L
 from postmill.operators import evaluate as EV
 from postmill.operators import keywords as KW
+from postmill.operators import profile as PF
+from postmill.operators import report as RP
 from postmill.operators import search as SE
 
 
-def test_group_keywords_match_counter_over_concatenated_texts(spark):
-    from conftest import SF_SMALL
-    d = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text", "source")
-    rows = d.collect()
-    got = {r["source"]: r["keywords"] for r in KW.group_keywords(d, "source", "text", "doc_id").collect()}
-    stop = set(L.STOP_WORDS)
-    for src in {r["source"] for r in rows}:
-        texts = [r["text"] for r in sorted(rows, key=lambda r: r["doc_id"]) if r["source"] == src]
-        toks = [w for w in re.findall(r"\b[a-z]{3,}\b", " ".join(texts).lower()) if w not in stop]
-        assert got[src] == [w for w, _ in Counter(toks).most_common(10)]
+def test_group_keywords_take_texts_in_order(spark):
+    rows = [("1b", "g", "zebra apple"), ("1a", "g", "melon apple zebra"), ("2", "g", "kiwi the and"), ("3", "h", "kiwi, kiwi; melon")]
+    d = spark.createDataFrame(rows, "post_id string, source string, text string")
+    got = {r["source"]: r["keywords"] for r in KW.group_keywords(d, "source", "text", "post_id", 3).collect()}
+    assert got == {"g": ["apple", "zebra", "melon"], "h": ["kiwi", "melon"]}
+
+
+def test_text_ids_of_any_form(spark):
+    """Base-36 ids in top posts, keywords, samples, title histogram, search and the report."""
+    rows = [("1abc2d", 1, 5, "alpha beta", "s"), ("zz9", 1, 5, "beta alpha", "s"), ("1abc2c", 1, 5, "gamma", "t")]
+    p = spark.createDataFrame(rows, "post_id string, cluster_id int, score int, cleaned_title string, subreddit string") \
+        .withColumn("cleaned_selftext", F.lit("")).withColumn("title", F.col("cleaned_title")).withColumn("text", F.col("cleaned_title"))
+    assert [r["post_id"] for r in RP.top_by_score(p).collect()] == ["1abc2c", "1abc2d", "zz9"]
+    assert PF.cluster_keywords(p).first()["cluster_keywords"] == ["alpha", "beta", "gamma"]
+    assert [r["post_id"] for r in PF.cluster_samples(p).orderBy("rank").collect()] == ["1abc2c", "1abc2d", "zz9"]
+    assert [(r["word"], r["count"]) for r in PF.title_histogram(p).orderBy("rank").collect()] == [("alpha", 2), ("beta", 2), ("gamma", 1)]
+    assert [r["post_id"] for r in SE.top_posts_per_cluster(p).orderBy("rank").collect()] == ["1abc2c", "1abc2d", "zz9"]
+    assert EV.cluster_descriptions(p).first()["sample_titles"] == ["gamma", "alpha beta", "beta alpha"]
+
+
+def test_report_slice_and_comparison(spark):
+    details = [{"cluster_id": i, "size": 5, "top_words": [str(w) for w in range(8)], "sample_titles": ["a", "b", "c", "d"]} for i in range(5)]
+    r = EV.results_frame(spark, [result("doc2vec_50d", 0.4, 0.9, 50) | {"cluster_details": details}, result("w2v_bins_50d", 0.5, 0.1, 50)])
+    cut = EV.report_slice(r).collect()
+    assert len(cut) == 3 and all(len(x["top_words"]) == 6 and len(x["sample_titles"]) == 3 for x in cut)
+    got = [(x["method"], x["place"], x["wins_dimension"], x["report"] and len(x["report"])) for x in EV.comparison(r).orderBy("place").collect()]
+    assert got == [("w2v_bins_50d", 1, True, None), ("doc2vec_50d", 2, False, 3)]
 
 
 def test_keyword_search_no_overlap_is_cluster_zero(spark):
