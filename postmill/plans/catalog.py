@@ -162,6 +162,7 @@ def enrich_posts(spark, sf):
 
 from postmill.operators import report as RP  # noqa: E402
 from postmill.sources import listing as LS  # noqa: E402
+from postmill.session import scratch_path  # noqa: E402
 from postmill.sources import store as ST  # noqa: E402
 from postmill import schema as SC  # noqa: E402
 
@@ -281,6 +282,20 @@ def dedup_append(spark, sf):
     return _stored_columns(store)
 
 
+WANTED = " src1, ,src2,src19,"
+
+
+@register("source_filter", f"""
+    SELECT post_id, subreddit, score FROM ({Q.POSTS_VIEW}) v WHERE subreddit IN ('src1', 'src2', 'src19')""")
+def source_filter(spark, sf):
+    """Posts of a comma list of sources from the partitioned store: a partition filter."""
+    store = scratch_path(spark, "posts")
+    v = TB.posts_view(spark, sf).withColumn("permalink", F.lit("")).withColumn(
+        "fetched_at", F.to_timestamp(F.lit("2024-06-01 00:00:00")))
+    ST.write_posts(v.select(*[F.col(f.name).cast(f.dataType) for f in SC.POSTS.fields]), store)
+    return ST.read_posts(spark, store).where(TB.sources(WANTED)).select("post_id", "subreddit", "score")
+
+
 @register("listing_cap", f"""
     WITH v AS ({Q.POSTS_VIEW}),
     l AS (SELECT subreddit || '/hot' AS listing, post_id FROM v UNION ALL SELECT subreddit || '/new', post_id FROM v),
@@ -506,7 +521,9 @@ def clean_texts(spark, sf):
 
 
 def training(spark, sf, texts=None):
-    return WV.training_posts(texts if texts is not None else clean_texts(spark, sf))
+    """Training posts; a null cleaned text falls back to the stored one."""
+    raw = TB.stored_posts(spark, sf, TB.TEXT_COLUMNS) if texts is None else None
+    return WV.training_posts(texts if texts is not None else clean_texts(spark, sf), raw)
 
 
 # Word tables learned from the data: a word's vector is the mean stored vector of the
@@ -716,7 +733,6 @@ from postmill.operators import evaluate as EV  # noqa: E402
 from postmill.plans import cluster_job as CJ  # noqa: E402
 from postmill.plans import experiment as XP  # noqa: E402
 from postmill.plans import stages as SG  # noqa: E402
-from postmill.session import scratch_path  # noqa: E402
 from postmill.streaming import ingest as IG  # noqa: E402
 
 
@@ -871,7 +887,7 @@ def stream_ingest(spark, sf):
     for pages in (run1, run2):
         IG.land(pages, landing)
         IG.run_once(spark, landing, store, ckpt)
-    return _stored_columns(spark.read.parquet(store))
+    return _stored_columns(ST.read_posts(spark, store))
 
 
 @register("stage_runner")

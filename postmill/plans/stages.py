@@ -12,6 +12,7 @@ from postmill.operators import encode as EC
 from postmill.operators import enrich as EN
 from postmill.plans import cluster_job as CJ
 from postmill.session import scratch_path
+from postmill.sources import store as ST
 from postmill.streaming import ingest as IG
 
 STATUS_DDL = "stage string, ok boolean, rows bigint, error string"
@@ -37,7 +38,7 @@ def run(spark: SparkSession, runs: list, k: int = L.EXPERIMENT_CLUSTERS, restart
             status.append((name, False, None, f"{type(e).__name__}: {str(e)[:300]}"))
 
     IG.init_store(spark, store)
-    EN.enrich(spark.read.parquet(store)).withColumn("keywords", TX.list_text("keywords")).withColumn(
+    EN.enrich(ST.read_posts(spark, store)).withColumn("keywords", TX.list_text("keywords")).withColumn(
         "topics", TX.list_text("topics")).limit(0).write.mode("ignore").parquet(enriched_p)
     spark.createDataFrame([], "post_id string, embedding array<float>").write.mode("ignore").parquet(embedded_p)
 
@@ -45,10 +46,10 @@ def run(spark: SparkSession, runs: list, k: int = L.EXPERIMENT_CLUSTERS, restart
         for pages in runs:
             IG.land(pages, landing)
             IG.run_once(spark, landing, store, ckpt)
-        return spark.read.parquet(store).count()
+        return ST.read_posts(spark, store).count()
 
     def enrich():
-        posts = spark.read.parquet(store)
+        posts = ST.read_posts(spark, store)
         todo = EN.pending(posts, spark.read.parquet(enriched_p))
         out = EN.enrich(todo).withColumn("keywords", TX.list_text("keywords")).withColumn("topics", TX.list_text("topics"))
         out.write.mode("append").parquet(enriched_p)
@@ -65,7 +66,7 @@ def run(spark: SparkSession, runs: list, k: int = L.EXPERIMENT_CLUSTERS, restart
         e = spark.read.parquet(enriched_p).join(
             spark.read.parquet(embedded_p).withColumnRenamed("embedding", "vec"), "post_id")
         out, _, _ = CJ.run(e, k, restarts)
-        posts = spark.read.parquet(store).select(
+        posts = ST.read_posts(spark, store).select(
             "post_id", F.lit(None).cast("int").alias("cluster_id"), F.lit("").alias("cluster_keywords"))
         CJ.write_back(posts, out).write.mode("overwrite").parquet(clustered_p)
         return spark.read.parquet(clustered_p).where("cluster_id is not null").count()
@@ -73,7 +74,7 @@ def run(spark: SparkSession, runs: list, k: int = L.EXPERIMENT_CLUSTERS, restart
     for name, fn in (("ingest", ingest), ("enrich", enrich), ("embed", embed), ("cluster", cluster)):
         stage(name, fn)
 
-    stage("posts", lambda: spark.read.parquet(store).count())
+    stage("posts", lambda: ST.read_posts(spark, store).count())
     stage("embedded", lambda: spark.read.parquet(embedded_p).where(F.size("embedding") > 0).count())
     stage("clustered", lambda: spark.read.parquet(clustered_p).where(F.col("cluster_id").isNotNull()).count())
     return spark.createDataFrame(status, STATUS_DDL)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill import lexicon as L
+from postmill import schema as S
 
 # Slices of one source's day when the posts table is written.
 SALTS = 16
@@ -75,6 +76,11 @@ def evolve(frames: list, defaults: dict) -> DataFrame:
     return out
 
 
+def read_posts(spark, path: str) -> DataFrame:
+    """The posts table at ``path``, in the columns of the schema (sources stay text, whatever their names)."""
+    return spark.read.schema(S.POSTS).parquet(path).select(*S.POSTS.fieldNames())
+
+
 def write_posts(posts: DataFrame, path: str, mode: str = "append") -> None:
     """Store layout for the posts table: one folder per source (partition pruning on the
     source filter) and rows sorted by creation time inside each file (row-group statistics

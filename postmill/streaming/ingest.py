@@ -19,7 +19,7 @@ from postmill.sources import store as ST
 
 
 def init_store(spark: SparkSession, path: str) -> None:
-    spark.createDataFrame([], S.POSTS).write.mode("ignore").parquet(path)
+    spark.createDataFrame([], S.POSTS).write.mode("ignore").partitionBy("subreddit").parquet(path)
 
 
 def land(pages: DataFrame, landing: str) -> None:
@@ -37,9 +37,9 @@ def start(spark: SparkSession, landing: str, store: str, checkpoint: str, availa
     pages = reader.json(landing)
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        existing = batch.sparkSession.read.parquet(store)
+        existing = ST.read_posts(batch.sparkSession, store).select("post_id")
         add = ST.new_rows(existing, LS.to_posts(batch))
-        add.select(*S.POSTS.fieldNames()).write.mode("append").parquet(store)
+        ST.write_posts(add.select(*S.POSTS.fieldNames()), store)
 
     w = pages.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")

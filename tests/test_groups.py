@@ -80,3 +80,14 @@ def test_results_ordered(spark):
 def test_method_family(spark, name, family):
     df = spark.createDataFrame([(name,)], "method string")
     assert df.select(EV.method_family("method").alias("f")).first()["f"] == family
+
+
+def test_results_are_saved_one_file_per_method(spark, tmp_path):
+    import json
+    from postmill.plans import experiment
+    experiment.save_json(spark, [result("doc2vec_50d", 0.4, 0.9, 50), result("w2v_bins_50d", 0.5, 0.1, 50)], str(tmp_path))
+    for name in ("doc2vec_50d", "w2v_bins_50d"):
+        files = list((tmp_path / "methods" / f"method={name}").glob("part-*.json"))
+        assert len(files) == 1 and json.loads(files[0].read_text())["n_posts"] == 10
+    text = next((tmp_path / "summary").glob("part-*")).read_text()
+    assert json.loads(text)["best_overall"] == "w2v_bins_50d"
