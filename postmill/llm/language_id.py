@@ -23,9 +23,10 @@ DIM = 16
 TRAIN_ROWS = 1600
 EPOCHS = 12
 RATE = 4.0
-# Of the correct answers in the calibration part, so many may score below the threshold.
+# Of the correct answers in the calibration part, so many may score below the threshold; and a score over this
+# many times chance is never rejected, so short and mixed but readable texts stay.
 REJECT_QUANTILE = 0.005
-MAX_THRESHOLD = 0.5
+MAX_OVER_CHANCE = 1.4
 # Texts are hashed in pieces of so many bytes; the pieces overlap, so no subword is lost.
 PIECE = 1 << 20
 UNKNOWN = "und"
@@ -109,7 +110,7 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Lang
         -np.log(_softmax(logits / t)[at, gold] + 1e-12).sum()))
     p = _softmax(logits / temperature) if len(gold) else np.ones((0, len(labels)))
     right = p.max(axis=1)[p.argmax(axis=1) == gold]
-    threshold = min(MAX_THRESHOLD, float(np.quantile(right, REJECT_QUANTILE))) if len(right) else 0.0
+    threshold = min(MAX_OVER_CHANCE / len(labels), float(np.quantile(right, REJECT_QUANTILE))) if len(right) else 0.0
     return LanguageModel(labels, scores, float(temperature), threshold)
 
 
@@ -163,11 +164,12 @@ def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text"
     """
     if model is None:
         return docs.withColumns({lang_as: F.lit(UNKNOWN), score_as: F.lit(0.0), rejected_as: F.lit(True)})
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain values: the class travels with the function, so workers need no installed package.
+    shipped = docs.sparkSession.sparkContext.broadcast((model.labels, model.scores, model.temperature, model.threshold))
 
     @F.pandas_udf("lang string, score double")
     def apply(texts: pd.Series) -> pd.DataFrame:
-        m = shipped.value
+        m = LanguageModel(*shipped.value)
         got = [(UNKNOWN, 0.0) if t is None else m.predict(t) for t in texts]
         return pd.DataFrame(got, columns=["lang", "score"])
 
