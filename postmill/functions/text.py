@@ -79,6 +79,7 @@ def strong_clean(c, unescape: bool = True) -> Column:
     x = F.coalesce(col(c), F.lit(""))
     if unescape:
         x = html_unescape(x)
+    # FIXED VALUES -- the cleaning patterns and their order must match, or cleaned texts change.
     x = F.regexp_replace(x, r"<[^>]+>", " ")
     x = F.regexp_replace(x, rf"(?U)https?://{U_NON_SPACE}+|www\.{U_NON_SPACE}+", "")
     x = F.regexp_replace(x, rf"/r/{WORD}+|/u/{WORD}+|u/{WORD}+", "")

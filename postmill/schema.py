@@ -55,8 +55,3 @@ POSTS = T.StructType([
     T.StructField("domain", T.StringType()),
     T.StructField("fetched_at", T.TimestampType(), False),
 ])
-
-ENRICHED_DEFAULTS = {
-    "cleaned_title": None, "cleaned_selftext": None, "masked_author": None, "readable_date": None,
-    "ocr_text": "", "keywords": "", "topics": "",
-}
