@@ -11,23 +11,23 @@ moving the texts.
 
 from __future__ import annotations
 
+import ctypes
 import io
 from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill.session import scratch_path
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 # Text bytes per bucket of the block table, on average.
 BUCKET_BYTES = 32 << 20
 # Keys that one part combines, on average.
-PART_KEYS = 2_000_000
+PART_KEYS = 1_000_000
 # The largest id stands for a null id.
 NO_ID = np.iinfo(np.int64).max
 
@@ -45,6 +45,23 @@ def _thawed(data: bytes) -> dict[str, np.ndarray]:
         return {k: z[k] for k in z.files}
 
 
+def one_by_one(batches):
+    """Rows of Arrow batches as dicts, never more than one of a batch at a time as Python objects."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield batch.slice(k, 1).to_pylist()[0]
+        give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker lives on after its task, and several share an executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 def read_block(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids, bytes of all texts one after the other, where each text begins; its end closes the list)."""
     z = _thawed(payload)
@@ -81,14 +98,13 @@ def write(docs: DataFrame, id_col: str, text_col: str) -> Blocks:
                 "block": pa.array([(task << 32) + made], pa.int64()), "payload": pa.array([_frozen(data)], pa.large_binary()).cast(pa.binary()),
                 "n_docs": pa.array([len(ids)], pa.int64())})
 
-        for batch in batches:
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids.append(NO_ID if i is None else i)
-                texts.append(b"" if t is None else t)
-                size += len(texts[-1])
-                if size >= BLOCK_BYTES:
-                    yield block()
-                    made, ids, texts, size = made + 1, [], [], 0
+        for row in one_by_one(batches):
+            ids.append(NO_ID if row["id"] is None else row["id"])
+            texts.append(row["text"] or b"")
+            size += len(texts[-1])
+            if size >= BLOCK_BYTES:
+                yield block()
+                made, ids, texts, size = made + 1, [], [], 0
         if ids:
             yield block()
 
@@ -118,23 +134,25 @@ def exchange(blocks: Blocks | DataFrame, ask: Callable, combine: Callable, n_par
     returns the answers (arrays, one per block, in the same order) and one number for the part.
     """
     def asked(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                for part, arrays in ask(row):
-                    yield pa.RecordBatch.from_pydict({
-                        "part": pa.array([part], pa.int32()), "block": pa.array([row["block"]], pa.int64()),
-                        "piece": pa.array([_frozen(arrays)], pa.binary())})
-
-    def combined(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("block")
-        answers, total = combine([_thawed(p) for p in pdf["piece"]])
-        return pd.DataFrame({"block": pdf["block"].to_numpy(), "part": pdf["part"].to_numpy(), "answer": [_frozen(a) for a in answers],
-                             "total": np.r_[total, np.zeros(len(pdf) - 1)]})
+        for row in one_by_one(batches):
+            for part, arrays in ask(row):
+                yield pa.RecordBatch.from_pydict({
+                    "part": pa.array([part], pa.int32()), "block": pa.array([row["block"]], pa.int64()),
+                    "piece": pa.array([_frozen(arrays)], pa.binary())})
+
+    def combined(group: pa.Table) -> pa.Table:
+        group = group.sort_by("block")
+        answers, total = combine([_thawed(p.as_py()) for p in group["piece"]])
+        out = pa.table({"block": group["block"], "part": group["part"], "answer": pa.array([_frozen(a) for a in answers], pa.binary()),
+                        "total": pa.array(np.r_[total, np.zeros(len(group) - 1)])})
+        del answers
+        give_back()
+        return out
 
     source = blocks.table if isinstance(blocks, Blocks) else blocks
     pieces = source.mapInArrow(asked, "part int, block long, piece binary")
     pieces = pieces.repartition(n_parts, "part")
-    out = pieces.groupBy("part").applyInPandas(combined, "block long, part int, answer binary, total double")
+    out = pieces.groupBy("part").applyInArrow(combined, "block long, part int, answer binary, total double")
     path = scratch_path(source.sparkSession, "answers")
     out.write.option("compression", "none").parquet(path)
     return source.sparkSession.read.parquet(path)

@@ -210,6 +210,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 c, p2, p1 = estimates(t, (n["un"] - n["ud"])[u], (n["bn"] - n["bd"])[b], kept, kept_ends)
                 cells = pd.DataFrame({"b": _bucket(c), "r2": _ratio(p2 * (types + 1)), "r1": _ratio(p1 * (types + 1))})
                 yield cells.groupby(["b", "r2", "r1"]).size().rename("n").reset_index()
+        B.give_back()
 
     both = B.answered(source, counts)
     cells = both.mapInPandas(heldout, "b long, r2 long, r1 long, n long").groupBy("b", "r2", "r1").agg(F.sum("n").alias("n"))
@@ -229,6 +230,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 yield pd.DataFrame({"id": _nullable(t.ids),
                                     "held_out": fold(t.ids) == HELD_OUT, "n_tokens": sums[0], "n_known": sums[1],
                                     "train_tokens": np.int64(total), "base_score": sums[2], "score": sums[3]})
+        B.give_back()
 
     out = both.mapInPandas(scored, "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                                    "base_score double, score double")
