@@ -76,14 +76,14 @@ class Blocks:
     n_bytes: int
 
 
-def write(docs: DataFrame, id_col: str, text_col: str) -> Blocks:
+def write(docs: DataFrame, id_col: str, text_col: str, block_bytes: int | None = None) -> Blocks:
     """Write the table of text blocks into the shared checkpoint folder, bucketed by block.
 
-    A block is up to ``BLOCK_BYTES`` of whole texts (one longer text is a block of its own). Null
+    A block is up to ``block_bytes`` (else ``BLOCK_BYTES``) of whole texts (one longer text is a block of its own). Null
     texts are empty, ids are longs, null ids the largest long. Blocks are numbered by the task that
     wrote them; once written, all later steps read the same blocks.
     """
-    spark = docs.sparkSession
+    spark, limit = docs.sparkSession, block_bytes or BLOCK_BYTES
 
     def gather(batches):
         from pyspark import TaskContext
@@ -102,7 +102,7 @@ def write(docs: DataFrame, id_col: str, text_col: str) -> Blocks:
             ids.append(NO_ID if row["id"] is None else row["id"])
             texts.append(row["text"] or b"")
             size += len(texts[-1])
-            if size >= BLOCK_BYTES:
+            if size >= limit:
                 yield block()
                 made, ids, texts, size = made + 1, [], [], 0
         if ids:
@@ -117,8 +117,8 @@ def write(docs: DataFrame, id_col: str, text_col: str) -> Blocks:
     return Blocks(spark.table(table), n_buckets, n_bytes)
 
 
-def parts_for(keys: float) -> int:
-    return max(1, int(-(-keys // PART_KEYS)))
+def parts_for(keys: float, part_keys: int | None = None) -> int:
+    return max(1, int(-(-keys // (part_keys or PART_KEYS))))
 
 
 def cut_by_part(keys: np.ndarray, n_parts: int) -> np.ndarray:

@@ -24,6 +24,8 @@ from postmill.llm import blocks as B
 
 FOLDS, HELD_OUT, DELETED = 5, 1, 2
 SEED = 42
+# Larger blocks and parts than elsewhere: a block repeats more of its words and bigrams the larger it is.
+BLOCK_BYTES, PART_KEYS = 8 << 20, 2_000_000
 # Context-frequency buckets: 0, 1, 2-3, 4-7, ... occurrences.
 BUCKETS = 48
 # Ratios are rounded to a quarter of an octave, within 64 octaves either side.
@@ -183,9 +185,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     counts as empty (one end token); rows with a null id are trained on; repeated rows count as often
     as they occur; without training tokens every estimate but the uniform one is zero.
     """
-    source = B.write(docs, id_col, text_col)
+    source = B.write(docs, id_col, text_col, BLOCK_BYTES)
     # Distinct keys per block are fewer than its tokens, and a token takes five bytes or more.
-    n_parts = B.parts_for(source.n_bytes / 6 * 0.9)
+    n_parts = B.parts_for(source.n_bytes / 6 * 0.9, PART_KEYS)
     counts = B.exchange(source, _ask(n_parts), _combine, n_parts)
     types = int(counts.agg(F.sum("total")).first()[0] or 0)
     sizes = source.table.mapInPandas(_sizes, "trained long, deleted long, trained_docs long, deleted_docs long").agg(

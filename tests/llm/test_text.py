@@ -11,7 +11,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from postmill.llm import blocks, chat_format, decontaminate, language_id, lm_score, packing, pii, url_filter
+from postmill.llm import chat_format, decontaminate, language_id, lm_score, packing, pii, url_filter
 from tests.llm.helpers import empty, prose, rows, table, words
 
 # --- URL filter -------------------------------------------------------------------------------------------------
@@ -322,8 +322,8 @@ def lm_brute_force(data, weights=None):
 
 def test_lm_scores_equal_brute_force(spark, monkeypatch):
     """Counts and both scores, over many blocks and parts, with the weights that EM found."""
-    monkeypatch.setattr(blocks, "BLOCK_BYTES", 4000)
-    monkeypatch.setattr(blocks, "PART_KEYS", 2000)
+    monkeypatch.setattr(lm_score, "BLOCK_BYTES", 4000)
+    monkeypatch.setattr(lm_score, "PART_KEYS", 2000)
     found = []
     learn = lm_score.learn_weights
     monkeypatch.setattr(lm_score, "learn_weights", lambda cells: found.append(learn(cells)) or found[-1])
