@@ -1,9 +1,9 @@
 """Benchmark decontamination: item-sized windows, SimHash, multi-index Hamming blocks, exact check.
 
 A document is contaminated by an item when some window of the item's length has a weighted Jaccard
-similarity (of shingle multisets) of at least ``similarity`` with it. A window without any of the
-item's shingles has similarity 0, so windows are laid wherever a shingle of the document is one of the
-item, at the start this alignment implies. Each window gets a SimHash fingerprint of its shingles.
+similarity (of shingle multisets) of at least ``similarity`` with it. Windows are laid at every start;
+left out are only those with too few positions of the item's shingles to reach the similarity in any
+order. Each window gets a SimHash fingerprint of its shingles.
 ``RADIUS + 1`` blocks of bits are the index: fingerprints within the radius agree on at least one
 block, so the join on (item, block, bits) misses none of them. Candidates within the radius are
 verified by exact weighted-shingle similarity. Only DataFrame functions are used.
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postmill.functions.common import let
-from postmill.llm.common import cut, settle, text_or_empty
+from postmill.llm.common import bitmap, cut, flagged, settle, text_or_empty
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -66,6 +66,32 @@ def blocks(fp: Column) -> Column:
     return F.transform(parts, lambda x: F.struct(x["block"].alias("block"), _bits(fp, x["shift"], x["mask"]).alias("bits")))
 
 
+def jaccard(both: Column, a: Column, b: Column) -> Column:
+    """Weighted Jaccard similarity of two multisets of sizes ``a`` and ``b`` that share ``both``."""
+    return both / (a + b - both)
+
+
+def starts(ps: Column, n: Column, m: Column, similarity: float) -> Column:
+    """Array of (lo, hi): disjoint ranges of all starts whose windows can reach ``similarity`` with an item.
+
+    ``ps`` are the ascending positions of the item's shingles in a text of ``m`` shingles, ``n`` the item's
+    length. A window shares at most the positions inside it. ``k`` of them are the least that can suffice, and
+    the windows that hold k neighbouring positions, from a to b, start from b - width + 1 to a.
+    """
+    width, last = F.least(n, m), F.greatest(m - n, F.lit(0))
+    least = F.get(F.filter(F.sequence(F.greatest(F.floor(width * similarity).cast("int"), F.lit(1)), width),
+                           lambda k: jaccard(k, width, n) >= similarity), F.lit(0))
+
+    def ranges(ps: Column, k: Column) -> Column:
+        def one(i: Column) -> Column:
+            lo = F.greatest(F.get(ps, i + k - 1) - width + 1, F.coalesce(F.get(ps, i - 1) + 1, F.lit(0)), F.lit(0))
+            return F.struct(lo.alias("lo"), F.least(F.get(ps, i), last).alias("hi"))
+
+        return F.filter(F.transform(F.sequence(F.lit(0), F.size(ps) - k), one), lambda r: r["lo"] <= r["hi"])
+
+    return let(F.struct(ps.alias("ps"), least.alias("k")), lambda x: F.when(F.size(x["ps"]) >= x["k"], ranges(x["ps"], x["k"])))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """Contaminated rows by item: (id, item id, similarity, window_start, n_shingles, text_digest).
@@ -78,24 +104,30 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("t")).distinct()
     items = items.select("item", shingles(words("t")).alias("ish")).where(F.size("ish") > 0).distinct()
     # Items are numbered by content, so that null and repeated item ids stay apart.
-    items = cut(items.select("item", "ish", F.xxhash64("item", "ish").alias("ikey"), F.size("ish").alias("n"),
-                             simhash(F.col("ish")).alias("ifp")))
-    seeds = items.select("ikey", "n", F.posexplode("ish").alias("offset", "h"))
-    # A shingle that an item repeats seeds each of its alignments.
-    if seeds.count() <= BROADCAST_ROWS:
-        seeds = F.broadcast(seeds)
-    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"),
-                    shingles(words(text_col)).alias("sh"))
-    at = d.select("id", "row", "text", "sh", F.posexplode("sh").alias("p", "h")).join(seeds, "h")
-    start = F.greatest(F.least(F.col("p") - F.col("offset"), F.size("sh") - F.col("n")), F.lit(0))
-    win = at.select("id", "row", "ikey", start.alias("start"), F.slice("sh", start + 1, F.col("n")).alias("wsh"),
-                    F.sha2(text_or_empty("text"), 256).alias("digest"))
-    win = win.dropDuplicates(["row", "ikey", "start"])
-    win = cut(win.withColumn("wfp", simhash(F.col("wsh"))))
+    items = cut(items.select("item", F.xxhash64("item", "ish").alias("ikey"), F.size("ish").alias("n"), "ish", simhash(F.col("ish")).alias("ifp")))
+    seeds = items.select("ikey", "n", F.explode(F.array_distinct("ish")).alias("h"))
+    held = F.broadcast if seeds.count() <= BROADCAST_ROWS else (lambda df: df)
+    # Positions of an item's shingles in a text, without the text; equal rows have equal ones.
+    digest = F.sha2(text_or_empty(text_col), 256)
+    d = docs.select(F.col(id_col).alias("id"), digest.alias("digest"), shingles(words(text_col)).alias("sh"))
+    at = d.select("id", "digest", F.size("sh").alias("m"), F.posexplode("sh").alias("p", "h")).join(held(seeds), "h")
+    laid = at.groupBy("id", "digest", "ikey", "n", "m").agg(F.sort_array(F.collect_set("p")).alias("ps"))
+    laid = laid.select(F.col("id").alias("l_id"), F.col("digest").alias("l_digest"), "ikey", "n",
+                       starts(F.col("ps"), F.col("n"), F.col("m"), similarity).alias("starts"))
+    laid = cut(laid.where(F.size("starts") > 0))
+    # Only texts with a window to lay are shingled again, row by row.
+    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), digest.alias("digest"), F.monotonically_increasing_id().alias("row"))
+    d = flagged(d, bitmap(laid, "l_digest"), "digest").where("__llm_maybe")
+    d = d.join(laid, (F.col("digest") == F.col("l_digest")) & F.col("id").eqNullSafe(F.col("l_id")))
+    d = d.select("id", "row", "digest", "ikey", "n", "starts", shingles(words("text")).alias("sh"))
+    d = d.select("id", "row", "digest", "ikey", "n", "sh", F.inline("starts"))
+    win = d.select("id", "row", "digest", "ikey", "n", "sh", F.explode(F.sequence("lo", "hi")).alias("start"))
+    win = win.select("id", "row", "digest", "ikey", "start", F.slice("sh", F.col("start") + 1, F.col("n")).alias("wsh"))
+    win = cut(win.withColumn("wfp", let(F.col("wsh"), simhash)))
     # Multi-index join, then the radius.
     index = items.select("ikey", "ifp", F.inline(blocks(F.col("ifp"))))
     probe = win.select("row", "ikey", "start", "wfp", F.inline(blocks(F.col("wfp"))))
-    near = (probe.join(index, ["ikey", "block", "bits"])
+    near = (probe.join(held(index), ["ikey", "block", "bits"])
             .where(F.bit_count(F.col("wfp").bitwiseXOR(F.col("ifp"))) <= RADIUS)
             .select("row", "ikey", "start").distinct())
     # Exact weighted similarity of the survivors.
@@ -103,11 +135,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     weights = (survivors.select("row", "ikey", "start", F.explode("wsh").alias("h"))
                .groupBy("row", "ikey", "start", "h").agg(F.count(F.lit(1)).alias("cw")))
     item_weights = items.select("ikey", F.explode("ish").alias("h")).groupBy("ikey", "h").agg(F.count(F.lit(1)).alias("ci"))
-    shared = (weights.join(item_weights, ["ikey", "h"]).groupBy("row", "ikey", "start")
+    shared = (weights.join(held(item_weights), ["ikey", "h"]).groupBy("row", "ikey", "start")
               .agg(F.sum(F.least("cw", "ci")).alias("both")))
-    scored = survivors.join(shared, ["row", "ikey", "start"]).join(items.select("ikey", "item", "n"), "ikey")
-    sim = F.col("both") / (F.size("wsh") + F.col("n") - F.col("both"))
-    scored = scored.withColumn("sim", sim).where(F.col("sim") >= similarity)
+    scored = survivors.join(shared, ["row", "ikey", "start"]).join(held(items.select("ikey", "item", "n")), "ikey")
+    scored = scored.withColumn("sim", jaccard(F.col("both"), F.size("wsh"), F.col("n"))).where(F.col("sim") >= similarity)
     best = scored.groupBy("id", "row", "item", "ikey", "n", "digest").agg(
         F.max(F.struct(F.col("sim"), (-F.col("start")).alias("s"))).alias("b"))
     return best.select(F.col("id").alias(id_col), F.col("item").alias(item_col), F.col("b.sim").alias("similarity"),

@@ -225,6 +225,25 @@ def test_contaminated_equals_brute_force(spark, monkeypatch, limit):
     assert bad and Counter((r.doc_id, r.text) for r in clean.collect()) == Counter(d for d in docs if d not in gone)
 
 
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_reordered_copies_equal_brute_force(spark, monkeypatch, limit):
+    """Copies whose halves or sentences change places, alone and inside longer documents."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", limit)
+    rng = random.Random(11)
+    items = [(k, prose(rng, 60 + 20 * k)) for k in range(5)]
+    docs = []
+    for k, (_, t) in enumerate(items):
+        w = t.split()
+        half, third = len(w) // 2, len(w) // 3
+        for j, x in enumerate((w[half:] + w[:half], w[2 * third:] + w[third:2 * third] + w[:third], w[5:] + w[:5])):
+            docs += [(10 * k + j, " ".join(x)), (100 + 10 * k + j, prose(rng, 100) + " " + " ".join(x) + " " + prose(rng, 100))]
+    docs += [docs[1], docs[1]]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contaminated(table(spark, docs), bench).collect()
+    assert Counter((r.doc_id, r.item_id, round(r.similarity, 9)) for r in got) == leaks(docs, items)
+    assert any(100 <= r.doc_id and r.doc_id % 10 == 0 for r in got)
+
+
 def test_simhash_expression(spark):
     rng = np.random.default_rng(4)
     h = rng.integers(-2 ** 63, 2 ** 63, (20, 7)).tolist()
