@@ -3,7 +3,8 @@
 A document is contaminated by an item when some window of the item's length has a weighted Jaccard
 similarity (of shingle multisets) of at least ``similarity`` with it. Windows are laid at every start;
 left out are only those with too few positions of the item's shingles to reach the similarity in any
-order. Each window gets a SimHash fingerprint of its shingles.
+order. Each window gets a SimHash fingerprint of its shingles, each with the number of its occurrence, so
+that equal similarity means equal distance whether or not shingles repeat.
 ``RADIUS + 1`` blocks of bits are the index: fingerprints within the radius agree on at least one
 block, so the join on (item, block, bits) misses none of them. Candidates within the radius are
 verified by exact weighted-shingle similarity. Only DataFrame functions are used.
@@ -58,6 +59,20 @@ def simhash(hashes: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.lit(BITS - 1)), F.lit(0).cast("long"), add)
 
 
+def numbered(hashes: Column) -> Column:
+    """Each hash with the number of its occurrence, hashed again: as a set, what the array is as a multiset."""
+    def hashed(hs: Column) -> Column:
+        nth = F.transform(hs, lambda h, i: F.xxhash64(h, i - F.array_position(hs, h).cast("int") + 2))
+        return F.when(F.size(F.array_distinct(hs)) == F.size(hs), F.transform(hs, lambda h: F.xxhash64(h, F.lit(1)))).otherwise(nth)
+
+    return let(F.sort_array(hashes), hashed)
+
+
+def fingerprint(hashes: Column) -> Column:
+    """SimHash of a multiset: repeats count as elements of their own, as they do in the weighted similarity."""
+    return let(numbered(hashes), simhash)
+
+
 def blocks(fp: Column) -> Column:
     """Array of (block, bits): ``RADIUS + 1`` blocks that part the fingerprint."""
     cuts = [round(BITS * k / (RADIUS + 1)) for k in range(RADIUS + 2)]
@@ -104,7 +119,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("t")).distinct()
     items = items.select("item", shingles(words("t")).alias("ish")).where(F.size("ish") > 0).distinct()
     # Items are numbered by content, so that null and repeated item ids stay apart.
-    items = cut(items.select("item", F.xxhash64("item", "ish").alias("ikey"), F.size("ish").alias("n"), "ish", simhash(F.col("ish")).alias("ifp")))
+    items = cut(items.select("item", F.xxhash64("item", "ish").alias("ikey"), F.size("ish").alias("n"), "ish", fingerprint(F.col("ish")).alias("ifp")))
     seeds = items.select("ikey", "n", F.explode(F.array_distinct("ish")).alias("h"))
     held = F.broadcast if seeds.count() <= BROADCAST_ROWS else (lambda df: df)
     # Positions of an item's shingles in a text, without the text; equal rows have equal ones.
@@ -123,7 +138,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     d = d.select("id", "row", "digest", "ikey", "n", "sh", F.inline("starts"))
     win = d.select("id", "row", "digest", "ikey", "n", "sh", F.explode(F.sequence("lo", "hi")).alias("start"))
     win = win.select("id", "row", "digest", "ikey", "start", F.slice("sh", F.col("start") + 1, F.col("n")).alias("wsh"))
-    win = cut(win.withColumn("wfp", let(F.col("wsh"), simhash)))
+    win = cut(win.withColumn("wfp", fingerprint(F.col("wsh"))))
     # Multi-index join, then the radius.
     index = items.select("ikey", "ifp", F.inline(blocks(F.col("ifp"))))
     probe = win.select("row", "ikey", "start", "wfp", F.inline(blocks(F.col("wfp"))))

@@ -244,6 +244,35 @@ def test_reordered_copies_equal_brute_force(spark, monkeypatch, limit):
     assert any(100 <= r.doc_id and r.doc_id % 10 == 0 for r in got)
 
 
+def test_repeated_words_equal_brute_force(spark):
+    """Items copied but for a run of one filler word, whose shingles repeat in the window or in the item."""
+    rng = random.Random(12)
+    items, docs = [], []
+    for k in range(12):
+        w = prose(rng, 208 if k < 8 else 458).split()
+        n = 16 + k % 4 if k < 8 else 30
+        filled = w[:-n] + ["filler"] * n
+        copy, item = (filled, w) if k % 2 else (w, filled)
+        items.append((k, " ".join(item)))
+        docs += [(k, prose(rng, 40) + " " + " ".join(copy) + " " + prose(rng, 40))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = leaks(docs, items)
+    got = decontaminate.contaminated(table(spark, docs), bench).collect()
+    assert len(want) == 12 and Counter((r.doc_id, r.item_id, round(r.similarity, 9)) for r in got) == want
+
+
+def test_fingerprint_numbers_repeats(spark):
+    rng = np.random.default_rng(5)
+    h = [rng.choice(rng.integers(-2 ** 63, 2 ** 63, 6), 20).tolist() for _ in range(10)]
+    df = spark.createDataFrame([(x,) for x in h], "h array<bigint>").select("h", decontaminate.numbered(F.col("h")).alias("s"))
+    pairs = {}
+    for r in df.collect():
+        want = sorted((x, sum(y == x for y in r.h[:i + 1])) for i, x in enumerate(r.h))
+        assert len(set(r.s)) == 20
+        for x, y in zip(want, r.s):
+            assert pairs.setdefault(x, y) == y
+
+
 def test_simhash_expression(spark):
     rng = np.random.default_rng(4)
     h = rng.integers(-2 ** 63, 2 ** 63, (20, 7)).tolist()
