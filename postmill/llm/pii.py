@@ -1,11 +1,11 @@
 """Personal data: pattern spans, then information-theoretic sanitisation of what gives them away.
 
-Patterns find the protected entities (e-mail addresses, IP addresses, card and phone numbers). Terms
-that stand near a mention may still reveal the entity once the mention is masked. How strongly is
+Patterns find the protected entities (e-mail addresses, IP addresses, card and phone numbers). Other terms
+of a document may still reveal an entity that it mentions, once the mention is masked. How strongly is
 estimated from the corpus: over all documents, ``PMI(t; e) / IC(e)`` with ``PMI = log(N n_te / (n_t n_e))``
 and ``IC(e) = log(N / n_e)``, where ``n_t`` documents hold term t, ``n_e`` mention entity e and ``n_te``
-mention e with t near it. The ratio is 1 when t occurs only with e, about 0 when they are independent.
-Occurrences of a term near e are generalised (replaced by their word shape) from one threshold on and
+do both. The ratio is 1 when t occurs only with e, about 0 when they are independent. Every occurrence of
+a term in a document that mentions e is generalised (replaced by its word shape) from one threshold on and
 removed from a higher one. Pattern spans are never changed by this.
 """
 
@@ -19,15 +19,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill.llm.common import cut, text_or_empty
+from postmill.llm.common import bitmap, cut, flagged, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 GENERALISE_AT = 0.9
 REMOVE_AT = 0.98
-# Documents that must hold a term near the entity: one is no evidence of a link.
+# Documents that must hold a term and the entity: one is no evidence of a link.
 MIN_DOCUMENTS = 2
-# Terms considered on either side of a mention.
-CONTEXT_TERMS = 8
+# Terms of rows are handed back in frames of about so many.
+ROWS_OUT = 50_000
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -84,9 +84,9 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
     return out
 
 
-def near_terms(text: str, spans: list, context: int = CONTEXT_TERMS) -> list[tuple[str, str, int, int]]:
-    """(entity, term, start, end) for the terms next to each mention, outside all pattern spans."""
-    out, starts, ends = [], [], []
+def free_terms(text: str, spans: list) -> list[tuple[str, int, int]]:
+    """(term, start, end) of every term outside all pattern spans."""
+    starts, ends = [], []
     for a, b in sorted((a, b) for _, a, b, _ in spans):
         if ends and a <= ends[-1]:
             ends[-1] = max(ends[-1], b)
@@ -98,24 +98,7 @@ def near_terms(text: str, spans: list, context: int = CONTEXT_TERMS) -> list[tup
         k = bisect_left(starts, e) - 1  # the last masked run that begins before e
         return k < 0 or ends[k] <= s
 
-    for kind, a, b, value in spans:
-        # Terms are read outwards from the mention, in growing pieces of the text around it.
-        for side in (-1, 1):
-            reach, found = 40 * context, []
-            while True:
-                lo, hi = (max(0, a - reach), a) if side < 0 else (b, min(len(text), b + reach))
-                found = [(m.start(), m.end()) for m in _TERM.finditer(text, lo, hi)
-                         if free(m.start(), m.end())]
-                if side < 0 and lo > 0 and found and found[0][0] == lo:
-                    found = found[1:]  # may be the rest of a longer word
-                if side > 0 and hi < len(text) and found and found[-1][1] == hi:
-                    found = found[:-1]
-                if len(found) >= context or (lo == 0 if side < 0 else hi == len(text)):
-                    break
-                reach *= 4
-            for s, e in (found[-context:] if side < 0 else found[:context]):
-                out.append((f"{kind}:{value}", text[s:e].lower(), s, e))
-    return out
+    return [(m[0].lower(), m.start(), m.end()) for m in _TERM.finditer(text) if free(m.start(), m.end())]
 
 
 def _scan(batches):
@@ -124,8 +107,30 @@ def _scan(batches):
         for row, text in zip(pdf["row"], pdf["text"]):
             spans = base_spans(text)
             rows.append((row, [{"kind": k, "s": a, "e": b} for k, a, b, _ in spans],
-                         sorted({f"{k}:{v}" for k, _, _, v in spans}), [{"entity": x, "term": t, "s": a, "e": b} for x, t, a, b in (near_terms(text, spans) if spans else ())]))
-        yield pd.DataFrame(rows, columns=["row", "base", "entities", "near"])
+                         sorted({f"{k}:{v}" for k, _, _, v in spans}), text if spans else None))
+        yield pd.DataFrame(rows, columns=["row", "base", "entities", "text"])
+
+
+def _terms_of_rows(batches):
+    """(row, term), distinct, of texts with a mention."""
+    for pdf in batches:
+        rows = []
+        for row, text in zip(pdf["row"], pdf["text"]):
+            rows += [(row, t) for t in {t for t, _, _ in free_terms(text, base_spans(text))}]
+            if len(rows) > ROWS_OUT:
+                yield pd.DataFrame(rows, columns=["row", "term"])
+                rows = []
+        yield pd.DataFrame(rows, columns=["row", "term"])
+
+
+def _marks(batches):
+    """(row, more): every occurrence of the row's disclosing terms, by start."""
+    for pdf in batches:
+        out = []
+        for row, text, terms in zip(pdf["row"], pdf["text"], pdf["terms"]):
+            kinds = {x["term"]: x["kind"] for x in terms}
+            out.append((row, [{"kind": kinds[t], "s": a, "e": b} for t, a, b in free_terms(text, base_spans(text)) if t in kinds]))
+        yield pd.DataFrame(out, columns=["row", "more"])
 
 
 def _term_documents(batches):
@@ -149,26 +154,39 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     scanned = texts.select("id", F.monotonically_increasing_id().alias("row"), "text")
     scanned = scanned.withColumn("ids", F.struct("id", "row")).select(F.col("ids").alias("row"), "text").mapInPandas(
         _scan, f"row struct<id:{texts.schema['id'].dataType.simpleString()},row:bigint>, "
-               "base array<struct<kind:string,s:long,e:long>>, entities array<string>, near array<struct<entity:string,term:string,s:long,e:long>>")
-    # Row numbers are fixed by writing them out; texts stay behind.
-    scanned = cut(scanned.select("row.id", "row.row", "base", "entities", "near"))
-    near = scanned.select("row", F.explode("near").alias("x")).select("row", "x.*")
+               "base array<struct<kind:string,s:long,e:long>>, entities array<string>, text string")
+    # Row numbers are fixed by writing them out; texts without a mention stay behind.
+    scanned = cut(scanned.select("row.id", "row.row", "base", "entities", "text"))
     n = scanned.count()
-    joint = near.select("row", "entity", "term").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te"))
-    joint = joint.where(F.col("n_te") >= MIN_DOCUMENTS)
-    entities = scanned.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    mentions = scanned.select("row", F.explode("entities").alias("entity"))
+    entities = mentions.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    # An entity of fewer documents has no term in MIN_DOCUMENTS of them; one of all documents has no information.
+    entities = cut(entities.where((F.col("n_e") >= MIN_DOCUMENTS) & (F.col("n_e") < n)))
+    most = entities.agg(F.max("n_e").alias("n")).first()["n"] or 0
     terms = texts.select("text").mapInPandas(_term_documents, "term string, n long")
     terms = terms.groupBy("term").agg(F.sum("n").alias("n_t"))
-    wanted = joint.select("term").distinct()
-    terms = cut(terms.join(wanted, "term", "left_semi"))
+    # As n_te is at most n_e, the ratio is below the threshold for n_t > n^(1 - threshold) * n_e^threshold.
+    bound = float(max(n, 1)) ** (1 - generalise_at) * float(most) ** generalise_at
+    terms = terms.where((F.col("n_t") >= MIN_DOCUMENTS) & (F.col("n_t") <= bound * (1 + 1e-9)))
+    # Bitmaps of both tell, without a shuffle, the pairs of a document that no link can concern.
+    mentions = flagged(mentions, bitmap(entities, "entity"), "entity").where("__llm_maybe").select("row", "entity")
+    held = scanned.where(F.size("entities") > 0).select("row", "text").join(mentions.select("row").distinct(), "row", "left_semi")
+    held = held.mapInPandas(_terms_of_rows, "row long, term string")
+    terms = cut(terms.join(held.select("term").distinct(), "term", "left_semi"))
+    held = flagged(held, bitmap(terms, "term"), "term").where("__llm_maybe").select("row", "term")
+    pairs = held.join(mentions, "row")
+    joint = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te")).where(F.col("n_te") >= MIN_DOCUMENTS)
     ratio = F.log(F.lit(float(max(n, 1))) * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) / F.log(
         F.lit(float(max(n, 2))) / F.col("n_e"))
-    links = (joint.join(entities, "entity").join(terms, "term").where(F.col("n_e") < n)
-             .withColumn("ratio", ratio).where(F.col("ratio") >= generalise_at).select("entity", "term", "ratio"))
-    spans = (near.join(links, ["entity", "term"]).groupBy("row", "s", "e").agg(F.max("ratio").alias("r"))
+    links = cut(joint.join(entities, "entity").join(terms, "term").withColumn("ratio", ratio)
+                .where(F.col("ratio") >= generalise_at).select("entity", "term", "ratio"))
+    found = (flagged(pairs, bitmap(links, "entity", "term"), "entity", "term").where("__llm_maybe").join(links, ["entity", "term"])
+             .groupBy("row", "term").agg(F.max("ratio").alias("r"))
              .withColumn("kind", F.when(F.col("r") >= remove_at, "remove").otherwise("generalise"))
-             .groupBy("row").agg(F.array_sort(F.collect_list(F.struct("s", "e", "kind"))).alias("more")))
-    spans = spans.select("row", F.transform("more", lambda x: F.struct(x["kind"].alias("kind"), x["s"].alias("s"), x["e"].alias("e"))).alias("more"))
+             .groupBy("row").agg(F.collect_list(F.struct("term", "kind")).alias("terms")))
+    spans = (scanned.select("row", "text").join(found, "row")
+             .mapInPandas(_marks, "row long, more array<struct<kind:string,s:long,e:long>>"))
+    scanned = scanned.drop("text")
     out = scanned.join(spans, "row", "left")
     none = F.expr("cast(array() as array<struct<kind:string,s:long,e:long>>)")
     return out.select(F.col("id").alias(id_col), "base", F.coalesce("more", none).alias("more"))

@@ -125,6 +125,45 @@ def test_disclosing_terms(spark):
     assert pii.find(empty(spark)).count() == 0
 
 
+def links_brute_force(data):
+    """(id, start, end, kind) of every term to hide, counted over whole documents."""
+    parts = []
+    for _, t in data:
+        base = plain_spans(t or "")
+        ent = {(k, (t[a:b].lower() if k == "email" else t[a:b])) for k, a, b in base}
+        terms = [(m[0].lower(), m.start(), m.end()) for m in re.finditer(r"[^\W\d_]{3,}", t or "")]
+        parts.append((ent, {x for x, _, _ in terms}, [x for x in terms if all(x[2] <= a or b <= x[1] for _, a, b in base)]))
+    n, n_t, n_e, n_te = len(data), Counter(), Counter(), Counter()
+    for ent, terms, free in parts:
+        n_t.update(terms)
+        n_e.update(ent)
+        n_te.update((e, t) for e in ent for t in {x for x, _, _ in free})
+    ratio = {(e, t): math.log(n * c / (n_t[t] * n_e[e])) / math.log(n / n_e[e]) for (e, t), c in n_te.items() if c >= 2 and n_e[e] < n}
+    out = Counter()
+    for (i, _), (ent, _, free) in zip(data, parts):
+        for t, a, b in free:
+            r = max((ratio.get((e, t), -9.0) for e in ent), default=-9.0)
+            if r >= 0.9:
+                out[i, a, b, "remove" if r >= 0.98 else "generalise"] += 1
+    return out
+
+
+def test_disclosing_terms_anywhere_in_the_document(spark):
+    """A name far from the address, and standing again after it; several entities in a document; equal to brute force."""
+    rng = random.Random(6)
+    data = [(i, prose(rng, 30)) for i in range(80)]
+    data += [(100 + i, "Zorbane wrote " + prose(rng, 25) + " me@ex.org " + prose(rng, 40) + " zorbane, Wukasi") for i in range(3)]
+    data += [(200 + i, "near one@ex.org and 1.2.3.4 " + prose(rng, 12) + " farword" + " quelle" * (i % 2)) for i in range(5)]
+    data += [(300, "farword " + prose(rng, 9)), (301, None), (302, ""), (303, "quelle me@ex.org")]
+    got = Counter()
+    for r in pii.find(table(spark, data)).collect():
+        got.update((r.doc_id, x.s, x.e, x.kind) for x in r.more)
+    assert got == links_brute_force(data)
+    text = data[80][1]
+    hidden = [text[a:b] for i, a, b, _ in got if i == 100]
+    assert hidden.count("Zorbane") == hidden.count("zorbane") == hidden.count("Wukasi") == 1
+
+
 def test_sanitise(spark):
     data = [(100 + i, "note: zorbane of me@ex.org is Wukasi") for i in range(3)] + [(i, "plain words") for i in range(50)] + [(7, None)]
     out = pii.sanitise(table(spark, data))
