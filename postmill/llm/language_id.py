@@ -4,7 +4,8 @@ A text is its bytes, ASCII letters lower-cased and everything in ASCII that is n
 subwords are its 2-, 3- and 4-grams, hashed into buckets. A document's vector is the mean embedding
 of its subwords and a linear softmax over that gives the label (numpy SGD, on a bounded sample of
 labelled rows). The softmax is calibrated by a temperature on the part of the sample kept out of the
-fit, and the rejection threshold is a low quantile of the calibrated scores of correct answers there.
+fit, and the rejection threshold is a low quantile of the calibrated scores of correct answers there,
+over whole texts, short pieces of them and pieces of two labels joined.
 Prediction reads whole texts, in the executors.
 """
 
@@ -23,10 +24,10 @@ DIM = 16
 TRAIN_ROWS = 1600
 EPOCHS = 12
 RATE = 4.0
-# Of the correct answers in the calibration part, so many may score below the threshold; and a score over this
-# many times chance is never rejected, so short and mixed but readable texts stay.
+# Of the correct answers in the calibration part, so many may score below the threshold.
 REJECT_QUANTILE = 0.005
-MAX_OVER_CHANCE = 1.4
+# The calibration part also has pieces of its texts, of so many characters, and each joined to one of another label.
+PIECE_CHARS = (24, 48, 96)
 # Texts are hashed in pieces of so many bytes; the pieces overlap, so no subword is lost.
 PIECE = 1 << 20
 UNKNOWN = "und"
@@ -58,6 +59,17 @@ def counts(text: str) -> np.ndarray:
     return total
 
 
+def pieces(text: str) -> list[np.ndarray]:
+    """Subword counts of the piece of each length in the middle of a longer text, without cut words."""
+    out = []
+    for n in PIECE_CHARS:
+        at = (len(text) - n) // 2
+        x = text[at:at + n] if at >= 0 else ""
+        words = x.split(" ")
+        out.append(counts(" ".join(words[1:-1]) if len(words) > 3 else x))
+    return out
+
+
 @dataclass
 class LanguageModel:
     """``scores``: label weights by bucket (embedding times output layer); mean over subwords gives logits."""
@@ -82,14 +94,39 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def train(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> LanguageModel | None:
-    """SGD over (label, buckets, counts); every fifth row calibrates. No rows: no model."""
+def threshold_of(model: LanguageModel, held: list, parts: list) -> float:
+    """Low quantile of the scores of right answers: whole texts, their pieces, and pieces of two labels joined.
+
+    ``held`` has (label number, buckets, weights); ``parts`` per text a (buckets, counts) for each piece length. A
+    joined piece is answered right by either label.
+    """
+    cases = [({y}, idx, w) for y, idx, w in held]
+    for k in range(len(PIECE_CHARS)):
+        short = [(y, *p[k]) for (y, _, _), p in zip(held, parts) if p and len(p[k][0])]
+        cases += [({y}, idx, c / c.sum()) for y, idx, c in short]
+        for i, (y, idx, c) in enumerate(short):
+            other = next((s for s in short[i + 1:] + short[:i] if s[0] != y), None)
+            if other:
+                both, at = np.unique(np.concatenate([idx, other[1]]), return_inverse=True)
+                w = np.bincount(at, np.concatenate([c, other[2]]))
+                cases.append(({y, other[0]}, both, w / w.sum()))
+    right = []
+    for ys, idx, w in cases:
+        p = _softmax(w @ model.scores[idx] / model.temperature)
+        if int(p.argmax()) in ys:
+            right.append(float(p.max()))
+    return float(np.quantile(right, REJECT_QUANTILE)) if right else 0.0
+
+
+def train(rows: list[tuple], seed: int = 7) -> LanguageModel | None:
+    """SGD over (label, buckets, counts, pieces); every fifth row calibrates. No rows: no model."""
     labels = sorted({r[0] for r in rows})
     if not labels:
         return None
     rng = np.random.default_rng(seed)
     emb, out = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)), np.zeros((DIM, len(labels)))
-    data = [(labels.index(r[0]), r[1], r[2] / r[2].sum()) for r in rows if len(r[1])]
+    rows = [r for r in rows if len(r[1])]
+    data = [(labels.index(r[0]), r[1], r[2] / r[2].sum()) for r in rows]
     fit, held = [d for i, d in enumerate(data) if i % 5], data[::5]
     fit = fit or held
     for epoch in range(EPOCHS):
@@ -108,10 +145,9 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Lang
     at = np.arange(len(gold))
     temperature = min(np.geomspace(0.05, 20, 60), default=1.0, key=lambda t: float(
         -np.log(_softmax(logits / t)[at, gold] + 1e-12).sum()))
-    p = _softmax(logits / temperature) if len(gold) else np.ones((0, len(labels)))
-    right = p.max(axis=1)[p.argmax(axis=1) == gold]
-    threshold = min(MAX_OVER_CHANCE / len(labels), float(np.quantile(right, REJECT_QUANTILE))) if len(right) else 0.0
-    return LanguageModel(labels, scores, float(temperature), threshold)
+    model = LanguageModel(labels, scores, float(temperature), 0.0)
+    model.threshold = threshold_of(model, held, [r[3] for r in rows[::5]])
+    return model
 
 
 def held_out(id_col: str, folds: int) -> Column:
@@ -138,20 +174,25 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
     share = F.create_map(*[x for y, n in sizes.items() for x in (F.lit(y), F.lit(min(1.0, 1.5 * (quota + 20) / n)))])
     d = d.where(F.pmod("o", F.lit(1 << 30)) < share[F.col("y")] * (1 << 30))
 
+    def packed(c: np.ndarray) -> dict:
+        i = np.flatnonzero(c).astype(np.uint16)
+        return {"i": i.tobytes(), "c": c[i].astype(np.uint32).tobytes()}
+
+    def unpacked(r) -> tuple[np.ndarray, np.ndarray]:
+        return np.frombuffer(r["i"], np.uint16).astype(np.int64), np.frombuffer(r["c"], np.uint32).astype(float)
+
     def features(batches):
         for pdf in batches:
-            c = [counts(t) for t in pdf["t"]]
-            idx = [np.flatnonzero(x).astype(np.uint16) for x in c]
-            yield pd.DataFrame({"y": pdf["y"], "o": pdf["o"], "i": [i.tobytes() for i in idx],
-                                "c": [x[i].astype(np.uint32).tobytes() for x, i in zip(c, idx)]})
+            whole = [packed(counts(t)) for t in pdf["t"]]
+            yield pd.DataFrame({"y": pdf["y"], "o": pdf["o"], "i": [x["i"] for x in whole], "c": [x["c"] for x in whole],
+                                "p": [[packed(c) for c in pieces(t)] for t in pdf["t"]]})
 
-    rows = d.mapInPandas(features, "y string, o long, i binary, c binary").collect()
+    rows = d.mapInPandas(features, "y string, o long, i binary, c binary, p array<struct<i:binary,c:binary>>").collect()
     rows.sort(key=lambda r: (r["y"], r["o"], bytes(r["i"])))
     taken: dict[str, list] = {}
     for r in rows:
         if len(mine := taken.setdefault(r["y"], [])) < quota:
-            mine.append((r["y"], np.frombuffer(r["i"], np.uint16).astype(np.int64),
-                         np.frombuffer(r["c"], np.uint32).astype(float)))
+            mine.append((r["y"], *unpacked(r), [unpacked(x) for x in r["p"]]))
     return train([x for y in sorted(taken) for x in taken[y]])
 
 

@@ -201,6 +201,22 @@ def test_language_held_out_accuracy(spark):
     assert sum(r.rejected for r in held) <= 0.05 * len(held)
 
 
+UNLEARNED = ["это предложение на русском языке которого модель не видела", "zxqv kjwq xzzq vvkq " * 8, "qwrtp zxcvb ghjkl mnbvc qwrtp " * 5]
+
+
+def test_language_rejects_what_was_not_learned(spark):
+    """The threshold comes from the calibration texts: another language and gibberish below it go, clean short rows stay."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    model = language_id.fit(docs)
+    assert all(model.predict(t)[1] < model.threshold for t in UNLEARNED)
+    assert all(model.predict(t)[1] > 0.35 for t in UNLEARNED)
+    held = [r.text.split() for r in docs.where(language_id.held_out("doc_id", 3)).collect()]
+    short = [" ".join(w[len(w) // 2:len(w) // 2 + 6]) for w in held if len(w) > 12]
+    mixed = [a + " " + b for a, b in zip(short, short[1:])]
+    for texts in (short, mixed):
+        assert sum(model.predict(t)[1] >= model.threshold for t in texts) >= 0.97 * len(texts) > 200
+
+
 def test_language_without_training(spark):
     e = empty(spark)
     assert language_id.fit(e) is None and language_id.predict(e, None).count() == 0
