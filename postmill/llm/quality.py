@@ -10,13 +10,14 @@ Only DataFrame functions are used, and the documents themselves are never shuffl
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postmill.functions.common import let
-from postmill.llm.common import BLANKS, LOWER, ascii_lower, cut, text_or_empty
+from postmill.llm.common import BLANKS, ascii_lower, cut, text_or_empty
 
 # Base rule: fewest words, largest share of words in repeated windows (percent), words in a window.
 MIN_WORDS, MAX_REPEATED, WINDOW = 20, 30, 8
@@ -30,15 +31,9 @@ WORD_BUCKETS = 1 << 14
 MIN_CLASS_CHARS, MIN_COMMON_WORDS = 200, 60
 MAX_CLASS, MAX_COMMON = 0.25, 0.39
 
-SYMBOLS = "#*$%&|<>"
-BLANK_CHARS = " \t\n\x0b\f\r"
-# Lower-case, upper-case, digits, beyond ASCII, blanks, symbols; what is left is other punctuation.
-CLASSES = ("lower", "upper", "digit", "wide", "blank", "symbol", "other")
-
-
-def _n_without(text: Column, chars: str) -> Column:
-    """Code points of ``text`` other than ``chars``."""
-    return F.char_length(F.translate(text, chars, ""))
+# Character classes and what they hold, as inside the brackets of a pattern; the rest is other punctuation.
+PATTERNS = {"lower": "a-z", "upper": "A-Z", "digit": "0-9", "wide": "\\x{80}-\\x{10FFFF}", "blank": "\\x20\\x09-\\x0D", "symbol": "#*$%&|<>"}
+CLASSES = (*PATTERNS, "other")
 
 
 def _n_of(text: Column, pattern: str) -> Column:
@@ -106,12 +101,17 @@ def learn_words(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     return Reference(langs, dict(sorted(shares.items())))
 
 
-def _term(p: Column, q: Column) -> Column:
-    """One bin's part of the Jensen-Shannon divergence in bits."""
-    def part(x, m):
-        return F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
+def _entropy(x: float) -> float:
+    return x * math.log2(x) if x > 0 else 0.0
+
+
+def _x_log_x(x: Column) -> Column:
+    return F.when(x > 0, x * F.log2(x)).otherwise(0.0)
+
 
-    return (part(p, (p + q) / 2) + part(q, (p + q) / 2)) / 2
+def _term(p: Column, q: float) -> Column:
+    """One bin's part of the Jensen-Shannon divergence in bits; the logarithms of the mean are split off."""
+    return (p + q + _x_log_x(p) + _entropy(q) - _x_log_x(p + q)) / 2
 
 
 def _distance(divergence: Column) -> Column:
@@ -123,41 +123,41 @@ def common_distances(ws: Column, ref: Reference) -> Column:
     if not ref.shares:
         return F.array(*[F.lit(1.0) for _ in ref.langs]).cast("array<double>")
     known = F.filter(ws, lambda w: w.isin(list(ref.shares)))
-    shares = F.create_map(*[x for w, q in ref.shares.items() for x in (F.lit(w), F.array(*map(F.lit, q)))])
+    # Per word its shares in the languages, then their x log x.
+    shares = F.create_map(*[x for w, q in ref.shares.items() for x in (F.lit(w), F.array(*[F.lit(v) for v in (*q, *map(_entropy, q))]))])
     hist = let(known, lambda k: F.transform(F.array_distinct(k), lambda w: F.struct(
         (F.size(k) - F.size(F.array_remove(k, w))).alias("c"), F.element_at(shares, w).alias("q"))))
+    hist = let(F.struct(hist.alias("h"), F.size(ws).alias("n")), lambda x: F.transform(x["h"], lambda y: let(y["c"] / x["n"], lambda p: F.struct(
+        p.alias("p"), (p + p * F.log2(p)).alias("own"), y["q"].alias("q")))))
 
-    def one(k: int, h: Column, n: Column) -> Column:
+    def one(k: int, h: Column) -> Column:
         total = sum(q[k] for q in ref.shares.values())
         start = F.struct(F.lit(0.0).alias("d"), F.lit(0.0).alias("p"), F.lit(0.0).alias("q"))
         # Bins that the document lacks add half their share each.
         return F.aggregate(h, start, lambda a, x: F.struct(
-            (a["d"] + _term(x["c"] / n, x["q"][k])).alias("d"), (a["p"] + x["c"] / n).alias("p"), (a["q"] + x["q"][k]).alias("q")),
-            lambda a: _distance(a["d"] + _term(F.greatest(1 - a["p"], F.lit(0.0)), F.lit(max(1 - total, 0.0))) + (F.lit(total) - a["q"]) / 2))
+            (a["d"] + x["own"] + x["q"][len(ref.langs) + k] - (x["p"] + x["q"][k]) * F.log2(x["p"] + x["q"][k])).alias("d"),
+            (a["p"] + x["p"]).alias("p"), (a["q"] + x["q"][k]).alias("q")),
+            lambda a: _distance((a["d"] + total) / 2 + _term(F.greatest(1 - a["p"], F.lit(0.0)), max(1 - total, 0.0))))
 
-    return let(F.struct(hist.alias("h"), F.size(ws).alias("n")), lambda x: F.array(*[one(k, x["h"], x["n"]) for k in range(len(ref.langs))]))
+    return let(hist, lambda h: F.array(*[one(k, h) for k in range(len(ref.langs))]))
 
 
 def class_distance(counts: list[Column], shares: list[float]) -> Column:
     """Distance of the character-class histogram to one language's reference."""
     n = sum(counts[1:], counts[0])
-    return _distance(sum((_term(c / n, F.lit(q)) for c, q in zip(counts, shares)), F.lit(0.0)))
+    return _distance(sum((_term(c / n, q) for c, q in zip(counts, shares)), F.lit(0.0)))
 
 
 def features(docs: DataFrame, ref: Reference, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One narrow row per document: id, language, the base counts, characters by class, common-word distances."""
     text = text_or_empty(text_col)
     d = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), text.alias("text"))
-    n, n_word, n_symbol = F.char_length("text"), _n_without(F.col("text"), BLANK_CHARS), F.char_length("text") - _n_without(F.col("text"), SYMBOLS)
     counted = let(words(F.col("text")), lambda w: F.struct(
         F.size(w).alias("n_words"), repeated_words(w).alias("n_repeat_words"),
         common_distances(F.transform(w, ascii_lower), ref).alias("common")))
-    d = d.select("id", "lang", counted.alias("x"), n.alias("n"), n_word.alias("word_chars"), n_symbol.alias("symbol"),
-                 duplicate_lines(F.col("text")).alias("n_dup_lines"), 
-                 (n - _n_without(F.col("text"), LOWER)).alias("lower"), *[_n_of(F.col("text"), p).alias(c) for c, p in (
-                     ("upper", "A-Z"), ("digit", "0-9"), ("wide", "\\x{80}-\\x{10FFFF}"))])
-    d = d.withColumn("blank", F.col("n") - F.col("word_chars"))
-    d = d.withColumn("other", F.col("n") - sum((F.col(c) for c in CLASSES[:-1]), F.lit(0)))
+    d = d.select("id", "lang", counted.alias("x"), F.char_length("text").alias("n"), duplicate_lines(F.col("text")).alias("n_dup_lines"),
+                 *[_n_of(F.col("text"), p).alias(c) for c, p in PATTERNS.items()])
+    d = d.withColumn("other", F.col("n") - sum((F.col(c) for c in PATTERNS), F.lit(0))).withColumn("word_chars", F.col("n") - F.col("blank"))
     return d.select("id", "lang", *[F.col(c).cast("long").alias(c) for c in CLASSES], *[F.col(c).cast("long").alias(c) for c in ("n", "word_chars", "n_dup_lines")],
                     F.col("x.n_words").cast("long").alias("n_words"), F.col("x.n_repeat_words").cast("long").alias("n_repeat_words"), "x.common")
 
