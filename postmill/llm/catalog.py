@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm import (chat_format, decontaminate, exact_dedup, language_id, lm_score, merkle, packing, pii, quality,
+from postmill.llm import (align, chat_format, decontaminate, exact_dedup, language_id, lm_score, merkle, packing, pii, quality,
                           simhash, suffix_dedup, url_filter)
 from postmill.llm.common import read
 
@@ -84,6 +84,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", language_id.held_out("doc_id", 3).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align_corpus(read(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(read(spark, sf_dir, "documents")).select(
         "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
@@ -97,7 +101,7 @@ def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_pii, op3_exact_dedup, op4_best_fit_packing, op5_chat_format, op6_simhash_near_dedup,
     op7_url_filter, op8_decontamination, op9_lm_score, op10_language_id,
-    op12_merkle_manifest, op13_quality_rules)}
+    op11_tokenizer_alignment, op12_merkle_manifest, op13_quality_rules)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
