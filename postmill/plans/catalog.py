@@ -451,8 +451,9 @@ def silhouette_cosine(spark, sf):
 
 
 @register("silhouette_euclidean", f"""
-    WITH pd AS (SELECT a.post_id, a.cluster_id AS own, b.cluster_id AS cid, pow(list_distance(a.vec, b.vec), 2) AS d
-                FROM {EMB} a, {EMB} b WHERE a.post_id <> b.post_id),
+    WITH e AS (SELECT * FROM {EMB} e0 ORDER BY md5('{L.KMEANS_SEED}:' || post_id), post_id LIMIT {L.SILHOUETTE_SAMPLE}),
+    pd AS (SELECT a.post_id, a.cluster_id AS own, b.cluster_id AS cid, list_distance(a.vec, b.vec) AS d
+                FROM e a, e b WHERE a.post_id <> b.post_id),
     ag AS (SELECT post_id, own, cid, avg(d) AS md FROM pd GROUP BY post_id, own, cid),
     s AS (SELECT post_id, max(CASE WHEN cid = own THEN md END) AS a, min(CASE WHEN cid <> own THEN md END) AS b
           FROM ag GROUP BY post_id)
@@ -755,7 +756,7 @@ def kmeans_restarts(spark, sf):
 
 @register("auto_k")
 def auto_k(spark, sf):
-    best, rows = CL.auto_k(given_vectors(spark, sf), "post_id")
+    best, rows, _ = CL.auto_k(given_vectors(spark, sf), "post_id")
     return spark.createDataFrame([(r["k"], r["silhouette"], r["training_cost"], r["k"] == best) for r in rows],
                                  "k int, silhouette double, training_cost double, is_best boolean")
 
@@ -860,14 +861,14 @@ def compare_labelings(spark, sf):
     from postmill.session import checkpoint_dir
     checkpoint_dir(spark)
     points = points.checkpoint(eager=True)
-    records = []
+    named, k = None, {}
     for name, column in zip((n for n, _ in LABELINGS), (F.col("label").cast("string"), F.col("source"), F.col("lang"))):
-        found = points.select(column.alias("lab")).where("lab is not null").distinct()
-        ids = found.withColumn("cluster_id", F.row_number().over(Window.orderBy("lab")) - 1)  # a row per label
-        labelled = points.withColumn("lab", column).join(ids, "lab")
-        labelled = labelled.select("post_id", "vec", "cluster_id")
-        records.append(EV.evaluate_labels(name, labelled, points.select("post_id", "title", "text"), found.count()))
-    return _compared(EV.results_frame(spark, records))
+        # Labels are few (the evaluation checks their number) and numbered in order.
+        found = sorted(r[0] for r in points.select(column.alias("lab")).where("lab is not null").distinct().limit(VO.MAX_CLUSTERS + 1).collect())
+        ids = spark.createDataFrame(list(enumerate(found)), "cluster_id int, lab string")
+        one = points.withColumn("lab", column).join(ids, "lab").select(F.lit(name).alias("method"), "post_id", "vec", "cluster_id")
+        named, k[name] = one if named is None else named.unionByName(one), len(found)
+    return _compared(EV.results_frame(spark, EV.evaluate_labelings(named, points.select("post_id", "title", "text"), k)))
 
 
 @register("cluster_job")
@@ -876,6 +877,13 @@ def cluster_job(spark, sf):
     return out
 
 
+@register("cluster_job_auto")
+def cluster_job_auto(spark, sf):
+    """The automatic path: K chosen by silhouette."""
+    out, k, _ = CJ.run(members(spark, sf), k=0)
+    return out.withColumn("k", F.lit(k))
+
+
 _DEDUP_SQL = ORACLES["dedup_append"]
 
 

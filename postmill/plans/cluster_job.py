@@ -21,8 +21,10 @@ def run(posts: DataFrame, k: int = 0, restarts: int = L.KMEANS_RESTARTS, k_range
     members = posts.drop("cluster_id", "cluster_keywords").where(F.col(vec).isNotNull() & (F.size(vec) > 0))
     k_rows = []
     if k <= 0:
-        k, k_rows = CL.auto_k(members.select("post_id", vec), "post_id", k_range, restarts, vec=vec)
-    model, _ = CL.kmeans_restarts(members, k, restarts, vec=vec)
+        k, k_rows, models = CL.auto_k(members.select("post_id", vec), "post_id", k_range, restarts, vec=vec)
+        model = models.get(k) or CL.kmeans_restarts(members, k, restarts, vec=vec)[0]
+    else:
+        model, _ = CL.kmeans_restarts(members, k, restarts, vec=vec)
     labelled = CL.assign(model, members, vec)
     kw = PF.cluster_keywords(labelled)
     out = labelled.join(kw, "cluster_id", "left").select(

@@ -1,8 +1,12 @@
 """MLlib steps: invariants (labels, costs, repeatability, variance ratios)."""
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from postmill.operators import cluster as CL
+from postmill.operators import lloyd as LL
+from postmill.operators import vectors as VO
 
 
 def vectors(spark):
@@ -11,11 +15,45 @@ def vectors(spark):
         F.col("vec_id").cast("string").alias("post_id"), F.col("embedding").alias("vec"))
 
 
+def plain_lloyd(x, centres, tol=LL.TOL, max_iter=LL.MAX_ITER):
+    """Textbook Lloyd iterations from given centres: (centres, cost)."""
+    limit = tol * x.var(axis=0, ddof=1).mean()
+    for _ in range(max_iter):
+        at = ((x[:, None] - centres) ** 2).sum(-1).argmin(1)
+        new = np.array([x[at == j].mean(0) if (at == j).any() else c for j, c in enumerate(centres)])
+        moved, centres = ((new - centres) ** 2).sum(), new
+        if moved <= limit:
+            break
+    return centres, ((x[:, None] - centres) ** 2).sum(-1).min(1).sum()
+
+
+def test_every_restart_and_k_equals_a_plain_fit(spark):
+    df = vectors(spark)
+    x = np.array(sorted(r["vec"] for r in df.select(F.col("vec").cast("array<double>").alias("vec")).collect()))
+    points = df.select(F.lit("a").alias("set"), "vec").unionByName(df.limit(60).select(F.lit("b").alias("set"), F.slice("vec", 1, 3).alias("vec")))
+    models = LL.fit(points.repartition(7), [("a", k, 42 + r) for k in (2, 5) for r in range(3)] + [("b", 4, 1)])
+    for m in models[:-1]:
+        centres, cost = plain_lloyd(x, LL._seeded_start(x, m.k, m.seed))
+        assert m.cost == pytest.approx(cost, rel=1e-6) and np.allclose(m.centres, centres, atol=1e-4)
+    assert models[-1].centres.shape == (4, 3)
+    assert LL.best(models[:3]).cost == min(m.cost for m in models[:3])
+
+
+def test_one_pass_over_the_points_per_iteration(spark, monkeypatch):
+    """All models share each scan: as many passes as the slowest model has iterations, and one for the costs."""
+    passes = []
+    step = LL._step
+    monkeypatch.setattr(LL, "_step", lambda *a: passes.append(len(a[1])) or step(*a))
+    models = LL.fit(vectors(spark).select(F.lit("").alias("set"), "vec"), [("", k, r) for k in (2, 3, 7) for r in range(4)])
+    assert len(passes) == max(m.iterations for m in models) + 1
+    assert passes[0] == 12 and passes[-2] < 12
+
+
 def test_restarts_keep_lowest_cost_and_repeat(spark):
     v = vectors(spark)
     m1, costs = CL.kmeans_restarts(v, 4, restarts=3)
     m2, _ = CL.kmeans_restarts(v, 4, restarts=3)
-    assert abs(m1.summary.trainingCost - min(c["training_cost"] for c in costs)) < 1e-9
+    assert m1.cost == min(c["training_cost"] for c in costs)
     labels = CL.assign(m1, v).select("cluster_id").distinct().collect()
     assert {r["cluster_id"] for r in labels} <= set(range(4))
     a = CL.assign(m1, v).orderBy("post_id").select("cluster_id").collect()
@@ -23,11 +61,36 @@ def test_restarts_keep_lowest_cost_and_repeat(spark):
     assert a == b
 
 
+def test_fewer_distinct_points_than_centres_and_no_points(spark):
+    same = spark.createDataFrame([("s", [1.0, 2.0])] * 5 + [("s", [0.0, 2.0])], "set string, vec array<double>")
+    m, = LL.fit(same, [("s", 4, 42)])
+    assert len(m.centres) == 2 and m.cost == pytest.approx(0)
+    with pytest.raises(ValueError, match="no points"):
+        LL.fit(same, [("t", 2, 42)])
+
+
 def test_auto_k_range_and_choice(spark):
-    best, rows = CL.auto_k(vectors(spark), "post_id", k_range=(2, 4), restarts=2)
+    v = vectors(spark)
+    best, rows, models = CL.auto_k(v, "post_id", k_range=(2, 4), restarts=2)
     assert [r["k"] for r in rows] == [2, 3, 4]
     top = max(r["silhouette"] for r in rows)
     assert best == min(r["k"] for r in rows if r["silhouette"] == top)
+    for r in rows:
+        labelled = CL.assign(models[r["k"]], v)
+        assert VO.silhouette_euclidean(labelled).first()["silhouette_euclidean"] == pytest.approx(r["silhouette"], abs=1e-9)
+    assert CL.auto_k(v.limit(2), "post_id") == (2, [], {})
+
+
+def test_cluster_job_chooses_k(spark):
+    from postmill.plans import cluster_job
+    far = [(f"p{i}", "t", f"alpha{'xyz'[i % 3]} common", [float(i % 3 * 10), float(i % 7) / 10]) for i in range(60)]
+    posts = spark.createDataFrame(far, "post_id string, cleaned_title string, cleaned_selftext string, vec array<double>")
+    out, k, rows = cluster_job.run(posts, 0, restarts=3)
+    assert k == 3 and [r["k"] for r in rows] == list(range(2, 11))
+    groups = {}
+    for r in out.collect():
+        groups.setdefault(r["cluster_id"], set()).add(int(r["post_id"][1:]) % 3)
+    assert sorted(len(g) for g in groups.values()) == [1, 1, 1]
 
 
 def test_pca_ratios(spark):
@@ -60,6 +123,35 @@ def test_document_and_word_vectors(spark):
     assert bins == 3 and all(abs(sum(r["vec"]) - 1) < 1e-9 for r in dense.collect())
 
 
+def test_bins_of_several_word_tables_are_one_fit(spark):
+    from postmill.operators import docvec as DV
+    rng = np.random.default_rng(1)
+    tables = {n: spark.createDataFrame([(f"w{i}", [float(v) for v in rng.normal(size=d)]) for i in range(20)], "word string, vec array<double>")
+              for n, d in (("x", 3), ("y", 5))}
+    found, bins = DV.word_bins(tables, {"x": {"bins": 4}, "y": {"bins": 50}}, restarts=2)
+    assert bins == {"x": 4, "y": 20}
+    by = {(r["name"], r["n"], r["words"]) for r in found.groupBy("name").agg(F.countDistinct("bin").alias("n"), F.count("*").alias("words")).collect()}
+    assert by == {("x", 4, 20), ("y", 20, 20)}
+
+
+def test_experiment_of_two_small_configurations(spark, tmp_path):
+    from postmill.operators import evaluate as EV
+    from postmill.plans import experiment
+    rows = [(f"p{i:03}", f"title {i}", " ".join(t), t) for i in range(40)
+            for t in [["cat", "dog", "sun", f"zoo{'ab'[i % 2]}"] * 3 if i % 2 else ["tax", "law", "vote", "poll"] * 3]]
+    train = spark.createDataFrame(rows, "post_id string, title string, text string, tokens array<string>")
+    found = experiment.run(spark, train, 2, 2, [{"name": "doc2vec_4d", "vector_size": 4, "sweeps": 3, "min_count": 2}],
+                           [{"name": "w2v_bins_4d", "vector_size": 4, "epochs": 5, "min_count": 2, "window": 2, "bins": 4}], str(tmp_path / "out"))
+    assert [r["method"] for r in found] == ["doc2vec_4d", "w2v_bins_4d"] and found[1]["word_bins"] == 4 and found[0]["word_bins"] is None
+    for r in found:
+        assert r["n_posts"] == 40 and r["vector_dimension"] == 4 and sum(d["size"] for d in r["cluster_details"]) == 40
+        assert all(1 <= len(d["top_words"]) <= 8 and len(d["sample_titles"]) == 4 for d in r["cluster_details"])
+    pets = [d for d in found[0]["cluster_details"] if "cat" in d["top_words"]]
+    assert len(pets) == 1 and pets[0]["top_words"][:3] == ["cat", "dog", "sun"] and pets[0]["sample_titles"][0] == "title 1"
+    assert EV.comparison(EV.results_frame(spark, found)).count() == 2
+    assert spark.read.json(str(tmp_path / "out" / "methods")).count() == 2
+
+
 def test_experiment_needs_posts(spark):
     import pytest
     from postmill.plans import experiment

@@ -30,7 +30,7 @@ def test_cosine_silhouette_single_label(spark):
     assert VO.silhouette_cosine(df).first()["silhouette_cosine"] == -1.0
 
 
-@pytest.mark.parametrize("score", [VO.silhouette_cosine, VO.silhouette_euclidean])
+@pytest.mark.parametrize("score", [VO.silhouette_cosine, VO.silhouette_squared, VO.silhouette_euclidean])
 def test_silhouette_of_equal_vectors_and_of_one_cluster(spark, score):
     same = frame(spark, [(0, [1.0, 0.0])] * 2 + [(1, [1.0, 0.0])] * 2)
     assert tuple(score(same).first()) == (pytest.approx(0.0), 4)
@@ -52,6 +52,7 @@ def brute_silhouette(x, lab, metric):
         np.fill_diagonal(d, 0)
     else:
         d = ((x[:, None, :] - x[None, :, :]) ** 2).sum(-1)
+        d = np.sqrt(d) if metric == "euclidean" else d
     s = []
     for i in range(n):
         own = lab == lab[i]
@@ -64,7 +65,7 @@ def brute_silhouette(x, lab, metric):
     return float(np.mean(s))
 
 
-@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+@pytest.mark.parametrize("metric", ["cosine", "euclidean", "squared"])
 def test_silhouettes_match_brute_force(spark, metric):
     from conftest import SF_SMALL
     e = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
@@ -73,13 +74,30 @@ def test_silhouettes_match_brute_force(spark, metric):
     lab = np.array([r["label"] for r in rows])
     df = e.select(F.col("vec_id").cast("string").alias("post_id"), F.col("label").alias("cluster_id"),
                   F.col("embedding").alias("vec"))
-    if metric == "cosine":
-        got = VO.silhouette_cosine(df).first()["silhouette_cosine"]
-    else:
-        got = VO.silhouette_euclidean(df).first()["silhouette_euclidean"]
+    got = getattr(VO, f"silhouette_{metric}")(df).first()[f"silhouette_{metric}"]
     assert got == pytest.approx(brute_silhouette(x, lab, metric), abs=1e-9)
 
 
+def test_sampled_silhouette_scores_the_hashed_sample(spark):
+    from hashlib import md5
+
+    from conftest import SF_SMALL
+    e = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
+    rows = sorted(e.collect(), key=lambda r: (md5(f"42:{r['vec_id']}".encode()).hexdigest(), str(r["vec_id"])))
+    df = e.select(F.col("vec_id").cast("string").alias("post_id"), F.col("label").alias("cluster_id"), (F.col("vec_id") % 3).alias("third"),
+                  F.col("embedding").alias("vec")).repartition(5)
+    x, lab = np.array([r["embedding"] for r in rows], float), np.array([r["label"] for r in rows])
+    got = VO.silhouette_euclidean(df, sample=120).first()
+    assert got["silhouette_euclidean"] == pytest.approx(brute_silhouette(x[:120], lab[:120], "euclidean"), abs=1e-9) and got["n_points"] == 120
+    # Every point against the sample: close to all pairs, and all points are scored.
+    every = VO.silhouette_euclidean(df, sample=250, score_all=True).first()
+    assert every["n_points"] == 500 and abs(every["silhouette_euclidean"] - brute_silhouette(x, lab, "euclidean")) < 0.02
+    both = {r["labelling"]: r for r in VO.sampled_silhouettes(df, ["cluster_id", "third"], id_col="post_id").collect()}
+    third = np.array([r["vec_id"] % 3 for r in rows])
+    assert both["third"]["silhouette_euclidean"] == pytest.approx(brute_silhouette(x, third, "euclidean"), abs=1e-9)
+    assert VO.sampled_silhouettes(df.limit(0), ["cluster_id"], id_col="post_id").first()["n_points"] == 0
+
+
 def test_intra_similarity_matches_numpy(spark):
     from conftest import SF_SMALL
     e = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
