@@ -5,13 +5,19 @@ similarity (of shingle multisets) of at least ``similarity`` with it. Windows ar
 left out are only those with too few positions of the item's shingles to reach the similarity in any
 order. Each window gets a SimHash fingerprint of its shingles, each with the number of its occurrence, so
 that equal similarity means equal distance whether or not shingles repeat.
-``RADIUS + 1`` blocks of bits are the index: fingerprints within the radius agree on at least one
-block, so the join on (item, block, bits) misses none of them. Candidates within the radius are
-verified by exact weighted-shingle similarity. Only DataFrame functions are used.
+The radius follows the item's length: a short item's fingerprint differs by more bits at the same
+similarity. It is the distance that a window of sufficient similarity exceeds with a probability below
+``LOSS``, whatever the window's length. An item has one block of bits more than its radius as index:
+fingerprints within the radius agree on at least one block, so the join on (item, block, bits) misses
+none of them. Candidates within the radius are verified by exact weighted-shingle similarity. Only
+DataFrame functions are used.
 """
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,9 +26,10 @@ from postmill.llm.common import bitmap, cut, flagged, settle, text_or_empty
 
 SHINGLE = 5
 SIMILARITY = 0.8
-# At similarity 0.8 a ninth of the shingles differ: 9.7 of 64 bits on average, deviation 2.9.
-RADIUS = 20
 BITS = 64
+# The chance that a true match lies beyond the radius, and the length from which on the radius stays.
+LOSS = 1e-7
+LONGEST = 512
 # The shingles of the benchmark are broadcast up to this many rows of three longs (48 MB); beyond it they
 # are shuffled to the documents' shingles.
 BROADCAST_ROWS = 1_000_000
@@ -73,12 +80,52 @@ def fingerprint(hashes: Column) -> Column:
     return let(numbered(hashes), simhash)
 
 
-def blocks(fp: Column) -> Column:
-    """Array of (block, bits): ``RADIUS + 1`` blocks that part the fingerprint."""
-    cuts = [round(BITS * k / (RADIUS + 1)) for k in range(RADIUS + 2)]
-    parts = F.array(*[F.struct(F.lit(k).alias("block"), F.lit(a).alias("shift"), F.lit((1 << (b - a)) - 1).cast("long").alias("mask"))
-                      for k, (a, b) in enumerate(zip(cuts, cuts[1:]))])
-    return F.transform(parts, lambda x: F.struct(x["block"].alias("block"), _bits(fp, x["shift"], x["mask"]).alias("bits")))
+def _binomial(n: int, p: float = 0.5) -> np.ndarray:
+    """Probabilities of 0 to n successes."""
+    k = np.arange(n + 1)
+    if p in (0.0, 1.0):
+        return (k == n * p).astype(float)
+    logs = np.array([math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) for i in range(n + 1)])
+    return np.exp(logs + k * math.log(p) + (n - k) * math.log1p(-p))
+
+
+def bit_difference(shared: int, own: int, other: int) -> float:
+    """The chance that one fingerprint bit of two sets differs: ``shared`` elements in both, the others in one of them."""
+    ones, chance = np.arange(shared + 1), []
+    for more in (own, other):
+        above = np.r_[np.cumsum(_binomial(more)[::-1])[::-1], 0.0]
+        # Set when over half of the set's bits are: the least number of further ones that suffices.
+        least = np.floor((shared + more) / 2).astype(int) + 1 - ones
+        chance.append(np.where(least <= 0, 1.0, above[np.clip(least, 0, more + 1)]))
+    a, b = chance
+    return float((_binomial(shared) * (a * (1 - b) + (1 - a) * b)).sum())
+
+
+def radius(n: int, similarity: float = SIMILARITY, loss: float = LOSS) -> int:
+    """The distance that a window similar enough to an item of ``n`` shingles exceeds with a probability below ``loss``.
+
+    Bits are independent, so the distance is binomial; of all window lengths the one that differs most is taken.
+    """
+    worst = 0.0
+    for width in range(1, n + 1):
+        shared = next((s for s in range(1, width + 1) if s >= similarity * (width + n - s) - 1e-9), None)
+        if shared:
+            worst = max(worst, bit_difference(shared, width - shared, n - shared))
+    beyond = 1 - np.cumsum(_binomial(BITS, min(worst, 1.0)))
+    return int(np.argmax(beyond < loss))
+
+
+def blocks(fp: Column, r: Column) -> Column:
+    """Array of (block, bits): ``r`` + 1 blocks that part the fingerprint."""
+    def cut_at(k: Column) -> Column:
+        return F.floor(k * BITS / (r + 1)).cast("int")
+
+    def one(k: Column) -> Column:
+        width = cut_at(k + 1) - cut_at(k)
+        mask = F.when(width >= BITS, F.lit(-1).cast("long")).otherwise(F.call_function("shiftleft", F.lit(1).cast("long"), width) - 1)
+        return F.struct(k.alias("block"), _bits(fp, cut_at(k), mask).alias("bits"))
+
+    return F.transform(F.sequence(F.lit(0), r), one)
 
 
 def jaccard(both: Column, a: Column, b: Column) -> Column:
@@ -120,30 +167,34 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     items = items.select("item", shingles(words("t")).alias("ish")).where(F.size("ish") > 0).distinct()
     # Items are numbered by content, so that null and repeated item ids stay apart.
     items = cut(items.select("item", F.xxhash64("item", "ish").alias("ikey"), F.size("ish").alias("n"), "ish", fingerprint(F.col("ish")).alias("ifp")))
-    seeds = items.select("ikey", "n", F.explode(F.array_distinct("ish")).alias("h"))
+    lengths = [x[0] for x in items.select(F.least("n", F.lit(LONGEST))).distinct().collect()]
+    reach = F.create_map(*[F.lit(v) for n in lengths for v in (n, radius(n, similarity))]) if lengths else F.lit(None).cast("map<int,int>")
+    items = items.withColumn("r", reach[F.least("n", F.lit(LONGEST))])
+    seeds = items.select("ikey", "n", "r", F.explode(F.array_distinct("ish")).alias("h"))
     held = F.broadcast if seeds.count() <= BROADCAST_ROWS else (lambda df: df)
     # Positions of an item's shingles in a text, without the text; equal rows have equal ones.
     digest = F.sha2(text_or_empty(text_col), 256)
     d = docs.select(F.col(id_col).alias("id"), digest.alias("digest"), shingles(words(text_col)).alias("sh"))
     at = d.select("id", "digest", F.size("sh").alias("m"), F.posexplode("sh").alias("p", "h")).join(held(seeds), "h")
-    laid = at.groupBy("id", "digest", "ikey", "n", "m").agg(F.sort_array(F.collect_set("p")).alias("ps"))
-    laid = laid.select(F.col("id").alias("l_id"), F.col("digest").alias("l_digest"), "ikey", "n",
+    laid = at.groupBy("id", "digest", "ikey", "n", "r", "m").agg(F.sort_array(F.collect_set("p")).alias("ps"))
+    laid = laid.select(F.col("id").alias("l_id"), F.col("digest").alias("l_digest"), "ikey", "n", "r",
                        starts(F.col("ps"), F.col("n"), F.col("m"), similarity).alias("starts"))
     laid = cut(laid.where(F.size("starts") > 0))
     # Only texts with a window to lay are shingled again, row by row.
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), digest.alias("digest"), F.monotonically_increasing_id().alias("row"))
     d = flagged(d, bitmap(laid, "l_digest"), "digest").where("__llm_maybe")
     d = d.join(laid, (F.col("digest") == F.col("l_digest")) & F.col("id").eqNullSafe(F.col("l_id")))
-    d = d.select("id", "row", "digest", "ikey", "n", "starts", shingles(words("text")).alias("sh"))
-    d = d.select("id", "row", "digest", "ikey", "n", "sh", F.inline("starts"))
-    win = d.select("id", "row", "digest", "ikey", "n", "sh", F.explode(F.sequence("lo", "hi")).alias("start"))
-    win = win.select("id", "row", "digest", "ikey", "start", F.slice("sh", F.col("start") + 1, F.col("n")).alias("wsh"))
+    d = d.select("id", "row", "digest", "ikey", "n", "r", "starts", shingles(words("text")).alias("sh"))
+    d = d.select("id", "row", "digest", "ikey", "n", "r", "sh", F.inline("starts"))
+    win = d.select("id", "row", "digest", "ikey", "n", "r", "sh", F.explode(F.sequence("lo", "hi")).alias("start"))
+    win = win.select("id", "row", "digest", "ikey", "r", "start", F.slice("sh", F.col("start") + 1, F.col("n")).alias("wsh"))
     win = cut(win.withColumn("wfp", fingerprint(F.col("wsh"))))
     # Multi-index join, then the radius.
-    index = items.select("ikey", "ifp", F.inline(blocks(F.col("ifp"))))
-    probe = win.select("row", "ikey", "start", "wfp", F.inline(blocks(F.col("wfp"))))
-    near = (probe.join(held(index), ["ikey", "block", "bits"])
-            .where(F.bit_count(F.col("wfp").bitwiseXOR(F.col("ifp"))) <= RADIUS)
+    index = items.select("ikey", "ifp", F.inline(blocks(F.col("ifp"), F.col("r"))))
+    probe = win.select("row", "ikey", "start", "wfp", "r", F.inline(blocks(F.col("wfp"), F.col("r"))))
+    small = (items.agg(F.sum(F.col("r") + 1)).first()[0] or 0) <= BROADCAST_ROWS
+    near = (probe.join(F.broadcast(index) if small else index, ["ikey", "block", "bits"])
+            .where(F.bit_count(F.col("wfp").bitwiseXOR(F.col("ifp"))) <= F.col("r"))
             .select("row", "ikey", "start").distinct())
     # Exact weighted similarity of the survivors.
     survivors = win.join(near, ["row", "ikey", "start"])

@@ -316,6 +316,42 @@ def test_repeated_words_equal_brute_force(spark):
     assert len(want) == 12 and Counter((r.doc_id, r.item_id, round(r.similarity, 9)) for r in got) == want
 
 
+def test_no_short_match_is_lost(spark):
+    """Thousands of copies just at the similarity, of short items: the radius grows as items get shorter."""
+    rng = random.Random(13)
+    items, docs = [], []
+    for k in range(3000):
+        w = [f"w{rng.randrange(10 ** 9)}" for _ in range((9, 9, 14, 19)[k % 4])]
+        items.append((k, " ".join(w)))
+        # The copy lacks as many words at the end as similarity 0.8 allows.
+        n = len(w) - 4
+        docs.append((k, " ".join(w[:len(w) - (n - math.ceil(0.8 * n - 1e-9))])))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench)
+    assert got.where("doc_id = item_id").count() == 3000
+
+
+def test_radius_bounds_the_loss():
+    rng = np.random.default_rng(14)
+    for n in (2, 5, 9, 15, 60, 300):
+        shared = math.ceil(0.8 * n - 1e-9) if n > 4 else n
+        h = rng.integers(0, 2, (4000, n, decontaminate.BITS))
+        a, b = h.sum(1) * 2 > n, h[:, :shared].sum(1) * 2 > shared
+        far = (a != b).sum(1)
+        assert abs(far.mean() - 64 * decontaminate.bit_difference(shared, 0, n - shared)) < 0.4
+        assert far.max() <= decontaminate.radius(n)
+    assert decontaminate.radius(5) > decontaminate.radius(60) >= decontaminate.radius(512) > 15
+
+
+def test_very_long_documents_and_items_are_searched_whole(spark):
+    rng = random.Random(15)
+    item, long = prose(rng, 3000), prose(rng, 15_000)
+    docs = [(1, long + " " + item + " " + prose(rng, 4000)), (2, long), (3, item)]
+    got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
+                                     spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id, r.similarity, r.window_start) for r in got) == [(1, 7, 1.0, 15_000), (3, 7, 1.0, 0)]
+
+
 def test_fingerprint_numbers_repeats(spark):
     rng = np.random.default_rng(5)
     h = [rng.choice(rng.integers(-2 ** 63, 2 ** 63, 6), 20).tolist() for _ in range(10)]
