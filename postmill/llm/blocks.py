@@ -39,6 +39,11 @@ def _frozen(arrays: dict[str, np.ndarray]) -> bytes:
     return pa.compress(sink.getvalue(), codec="zstd", asbytes=True) + len(sink.getvalue()).to_bytes(8, "little")
 
 
+def thawed(data: bytes) -> dict[str, np.ndarray]:
+    """The arrays of a block."""
+    return _thawed(data)
+
+
 def _thawed(data: bytes) -> dict[str, np.ndarray]:
     raw = pa.decompress(data[:-8], int.from_bytes(data[-8:], "little"), codec="zstd", asbytes=True)
     with np.load(io.BytesIO(raw)) as z:
@@ -76,12 +81,14 @@ class Blocks:
     n_bytes: int
 
 
-def write(docs: DataFrame, id_col: str, text_col: str, block_bytes: int | None = None) -> Blocks:
+def write(docs: DataFrame, id_col: str, text_col: str, block_bytes: int | None = None,
+          shape: Callable[[dict], dict] | None = None) -> Blocks:
     """Write the table of text blocks into the shared checkpoint folder, bucketed by block.
 
     A block is up to ``block_bytes`` (else ``BLOCK_BYTES``) of whole texts (one longer text is a block of its own). Null
     texts are empty, ids are longs, null ids the largest long. Blocks are numbered by the task that
-    wrote them; once written, all later steps read the same blocks.
+    wrote them; once written, all later steps read the same blocks. ``shape`` turns a block's arrays (ids, text, at)
+    into those to be kept; ``read_block`` reads blocks without it, ``thawed`` all.
     """
     spark, limit = docs.sparkSession, block_bytes or BLOCK_BYTES
 
@@ -95,7 +102,7 @@ def write(docs: DataFrame, id_col: str, text_col: str, block_bytes: int | None =
             np.cumsum([len(t) for t in texts], out=at[1:])
             data = {"ids": np.array(ids, np.int64), "text": np.frombuffer(b"".join(texts), np.uint8), "at": at}
             return pa.RecordBatch.from_pydict({
-                "block": pa.array([(task << 32) + made], pa.int64()), "payload": pa.array([_frozen(data)], pa.large_binary()).cast(pa.binary()),
+                "block": pa.array([(task << 32) + made], pa.int64()), "payload": pa.array([_frozen(shape(data) if shape else data)], pa.large_binary()).cast(pa.binary()),
                 "n_docs": pa.array([len(ids)], pa.int64())})
 
         for row in one_by_one(batches):

@@ -46,18 +46,21 @@ def fold(ids: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Tokens:
-    """Tokens of a block: hash by token, where each document's tokens begin, and the document of each token."""
+    """Tokens of a block: the sorted hashes of its words, each token's place among them, where each document's tokens begin,
+    and the document of each token."""
     ids: np.ndarray
-    word: np.ndarray
+    words: np.ndarray
+    at: np.ndarray
     begin: np.ndarray
     doc: np.ndarray
 
     @property
     def bigram(self) -> np.ndarray:
         """Hash of (previous token, token); a document's first token follows an end token."""
-        before = np.r_[np.uint64(END), self.word[:-1]]
-        before[self.begin] = np.uint64(END)
-        x = before * _MIX[0] + (self.word ^ _MIX[1])
+        first, second = self.words * _MIX[0], self.words ^ _MIX[1]
+        before = np.r_[np.uint64(0), first[self.at[:-1]]]
+        before[self.begin] = np.uint64(END) * _MIX[0]
+        x = before + second[self.at]
         x ^= x >> np.uint64(29)
         x *= np.uint64(0xBF58476D1CE4E5B9)
         return x ^ (x >> np.uint64(32))
@@ -67,32 +70,29 @@ class Tokens:
 END = 0x2545F4914F6CDD1D
 
 
-def tokens(payload: bytes, only: int | None = None) -> Tokens:
-    """Tokens of all documents of a block, or of those in fold ``only``: A-Z lower-cased words, then one end."""
+def numbered(z: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """A block of texts as numbered tokens: ``u`` the sorted hashes of its words (A-Z lower-cased) and the end token,
+    ``w`` the place in it of each token, ``n`` the tokens of each document. Done once; later passes only index."""
     from xxhash import xxh64_intdigest
 
-    ids, text, at = B.read_block(payload)
-    text = _FOLD[text].tobytes()
+    text, at = _FOLD[z["text"]].tobytes(), z["at"].tolist()
     known: dict[bytes, int] = {}
     local, sizes = [], []
-    keep = np.arange(len(ids)) if only is None else np.flatnonzero(fold(ids) == only)
-    for k in keep.tolist():
+    for s, e in zip(at, at[1:]):
         # bytes.split() parts at exactly the six blanks of the word rule.
-        words = text[at[k]:at[k + 1]].split()
+        words = text[s:e].split()
         local += [known.setdefault(w, len(known)) for w in words]
         local.append(-1)
         sizes.append(len(words) + 1)
-    table = np.fromiter((xxh64_intdigest(w, SEED) for w in known), np.uint64, len(known))
-    table = np.r_[table, np.uint64(END)]
-    sizes = np.array(sizes, np.int64)
-    begin = np.cumsum(sizes) - sizes
-    return Tokens(ids[keep], table[np.array(local, np.int64)], begin, np.repeat(np.arange(len(keep)), sizes))
+    hashes = np.r_[np.fromiter((xxh64_intdigest(w, SEED) for w in known), np.uint64, len(known)), np.uint64(END)]
+    u, place = np.unique(hashes, return_inverse=True)
+    return {"ids": z["ids"], "u": u, "w": place[np.array(local, np.int64)].astype(np.int32), "n": np.array(sizes, np.int64)}
 
 
-def _distinct(keys: np.ndarray, trained: np.ndarray, deleted: np.ndarray):
-    """Sorted distinct keys with their occurrences in training and in the deleted fold."""
-    u, inverse = np.unique(keys, return_inverse=True)
-    return u, np.bincount(inverse, trained, len(u)).astype(np.int64), np.bincount(inverse, deleted, len(u)).astype(np.int64)
+def tokens(payload: bytes) -> Tokens:
+    z = B.thawed(payload)
+    n = z["n"]
+    return Tokens(z["ids"], z["u"], z["w"], np.cumsum(n) - n, np.repeat(np.arange(len(n)), n))
 
 
 def _ask(n_parts: int):
@@ -100,13 +100,14 @@ def _ask(n_parts: int):
         t = tokens(row["payload"])
         f = fold(t.ids)[t.doc]
         trained, deleted = f != HELD_OUT, f == DELETED
-        both = [_distinct(k, trained, deleted) for k in (t.word, t.bigram)]
+        bigrams, b = np.unique(t.bigram, return_inverse=True)
+        both = [(k, *(np.bincount(at, of, len(k)).astype(np.uint32) for of in (trained, deleted))) for k, at in ((t.words, t.at), (bigrams, b))]
         cuts = [B.cut_by_part(k, n_parts) for k, _, _ in both]
         for p in range(n_parts):
             piece = {}
             for name, (k, n, d), c in zip("ub", both, cuts):
                 s = slice(c[p], c[p + 1])
-                piece |= {f"{name}k": k[s], f"{name}n": n[s].astype(np.uint32), f"{name}d": d[s].astype(np.uint32)}
+                piece |= {f"{name}k": k[s], f"{name}n": n[s], f"{name}d": d[s]}
             yield p, piece
 
     return ask
@@ -185,7 +186,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     counts as empty (one end token); rows with a null id are trained on; repeated rows count as often
     as they occur; without training tokens every estimate but the uniform one is zero.
     """
-    source = B.write(docs, id_col, text_col, BLOCK_BYTES)
+    source = B.write(docs, id_col, text_col, BLOCK_BYTES, numbered)
     # Distinct keys per block are fewer than its tokens, and a token takes five bytes or more.
     n_parts = B.parts_for(source.n_bytes / 6 * 0.9, PART_KEYS)
     counts = B.exchange(source, _ask(n_parts), _combine, n_parts)
@@ -195,21 +196,22 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     total, ends = sizes["trained"], sizes["trained_docs"]
     kept, kept_ends = total - sizes["deleted"], ends - sizes["deleted_docs"]
 
-    def estimates(t: Tokens, u: np.ndarray, b: np.ndarray, n: int, end: int):
-        """(context counts, bigram and unigram estimates) of every token."""
-        c = _context(t, u, end)
+    def estimates(c: np.ndarray, u: np.ndarray, b: np.ndarray, n: int):
+        """(context counts, bigram and unigram estimates) of tokens."""
         return c, b / np.maximum(c, 1), u / max(n, 1)
 
     def heldout(batches):
         for pdf in batches:
             for payload, answer in zip(pdf["payload"], pdf["a0"]):
-                t = tokens(payload, DELETED)
-                if not len(t.word):
+                t = tokens(payload)
+                held = (fold(t.ids) == DELETED)[t.doc]
+                if not held.any():
                     continue
-                whole = tokens(payload)
-                u, b = (np.searchsorted(np.unique(x), y) for x, y in ((whole.word, t.word), (whole.bigram, t.bigram)))
+                bigrams = t.bigram
+                b = np.searchsorted(np.unique(bigrams), bigrams[held])
                 n = {k: B.joined(answer, k, np.int64) for k in ("un", "ud", "bn", "bd")}
-                c, p2, p1 = estimates(t, (n["un"] - n["ud"])[u], (n["bn"] - n["bd"])[b], kept, kept_ends)
+                u = (n["un"] - n["ud"])[t.at]
+                c, p2, p1 = estimates(_context(t, u, kept_ends)[held], u[held], (n["bn"] - n["bd"])[b], kept)
                 cells = pd.DataFrame({"b": _bucket(c), "r2": _ratio(p2 * (types + 1)), "r1": _ratio(p1 * (types + 1))})
                 yield cells.groupby(["b", "r2", "r1"]).size().rename("n").reset_index()
         B.give_back()
@@ -222,9 +224,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         for pdf in batches:
             for payload, answer in zip(pdf["payload"], pdf["a0"]):
                 t = tokens(payload)
-                u, b = (np.unique(x, return_inverse=True)[1] for x in (t.word, t.bigram))
-                u, b = B.joined(answer, "un", np.int64)[u], B.joined(answer, "bn", np.int64)[b]
-                c, p2, p1 = estimates(t, u, b, total, ends)
+                u = B.joined(answer, "un", np.int64)[t.at]
+                b = B.joined(answer, "bn", np.int64)[np.unique(t.bigram, return_inverse=True)[1]]
+                c, p2, p1 = estimates(_context(t, u, ends), u, b, total)
                 w = weights[_bucket(c)]
                 p = np.log10(w[:, 0] * p2 + w[:, 1] * p1 + w[:, 2] / (types + 1))
                 base = np.log10((u + 0.5) / (total + 0.5 * (types + 1)))
@@ -249,12 +251,7 @@ def _sizes(batches):
     """Tokens and documents of a block in training and in the deleted fold."""
     for pdf in batches:
         for payload in pdf["payload"]:
-            ids, text, at = B.read_block(payload)
-            blank = (text == 32) | ((text >= 9) & (text <= 13))
-            starts = ~blank & np.r_[True, blank[:-1]] if len(text) else np.zeros(0, bool)
-            inner = at[:-1][(at[:-1] < len(text))]
-            starts[inner] = ~blank[inner]
-            before = np.r_[0, np.cumsum(starts)]
-            n, f = before[at[1:]] - before[at[:-1]] + 1, fold(ids)
+            z = B.thawed(payload)
+            n, f = z["n"], fold(z["ids"])
             yield pd.DataFrame([(n[f != HELD_OUT].sum(), n[f == DELETED].sum(), (f != HELD_OUT).sum(), (f == DELETED).sum())],
                                columns=["trained", "deleted", "trained_docs", "deleted_docs"])
