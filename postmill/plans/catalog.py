@@ -282,6 +282,38 @@ def dedup_append(spark, sf):
     return _stored_columns(store)
 
 
+REQUESTED = 250
+
+
+@register("requested_total", _RUNS_SQL + f"""
+    SELECT post_id, score + bump AS score, fetched_day FROM (
+        SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY run, lst) AS rn,
+               subreddit || CASE WHEN run = 1 THEN '/top/all' WHEN lst = 0 THEN '/hot' ELSE '/new' END AS listing,
+               list_reduce(list_transform(string_split(post_id, ''), lambda c: CAST(c AS BIGINT)), lambda a, b: a * 36 + b) // 100 AS page
+        FROM arr) x
+    WHERE rn = 1 AND post_id <> '' AND subreddit IS NOT NULL
+    ORDER BY run, listing, page, post_id LIMIT {REQUESTED}""")
+def requested_total(spark, sf):
+    """The posts that an ingestion of a requested total adds: its cap counts over all listings, in arrival order."""
+    run1, run2 = _runs(spark, sf)
+    new = ST.requested_total(_empty_store(spark), LS.to_posts(run1.unionByName(run2)), REQUESTED)
+    return new.select("post_id", "score", F.date_format("fetched_at", "yyyy-MM-dd").alias("fetched_day"))
+
+
+@register("index_append", ORACLES["dedup_append"])
+def index_append(spark, sf):
+    """Insert-or-ignore through the key index: the second run reads only the buckets it may collide with."""
+    from postmill.sources.keyindex import KeyIndex
+    base = scratch_path(spark, "indexed")
+    index = KeyIndex(spark, f"{base}/index")
+    index.build(_empty_store(spark))
+    for pages in _runs(spark, sf):
+        new = ST.keep_first(index.unseen(ST.valid(LS.to_posts(pages)))).checkpoint(eager=True)
+        ST.write_posts(new.select(*SC.POSTS.fieldNames()), f"{base}/posts")
+        index.add(new)
+    return _stored_columns(ST.read_posts(spark, f"{base}/posts"))
+
+
 WANTED = " src1, ,src2,src19,"
 
 
@@ -898,7 +930,9 @@ def stream_ingest(spark, sf):
     return _stored_columns(ST.read_posts(spark, store))
 
 
-@register("stage_runner")
+@register("stage_runner", f"""
+    SELECT stage, true AS ok, n AS rows, CAST(NULL AS VARCHAR) AS error
+    FROM (SELECT count(*) AS n FROM ({_DEDUP_SQL}) p) x, (VALUES ('ingest'), ('enrich'), ('embed'), ('cluster'), ('posts'), ('embedded'), ('clustered')) s(stage)""")
 def stage_runner(spark, sf):
     run1, run2 = _runs(spark, sf)
     return SG.run(spark, [run1, run2])
@@ -915,3 +949,17 @@ def cluster_write_back(spark, sf):
     kw = PF.cluster_keywords(m).select("cluster_id", TX.list_text("cluster_keywords").alias("cluster_keywords"))
     labelled = m.select("post_id", "cluster_id").join(kw, "cluster_id", "left")
     return CJ.write_back(posts, labelled).select("post_id", "cluster_id", "cluster_keywords")
+
+
+@register("cluster_merge", ORACLES["cluster_write_back"])
+def cluster_merge(spark, sf):
+    """The write-back into the stored table: only sources with a changed row are rewritten."""
+    base = scratch_path(spark, "merged")
+    TB.posts_view(spark, sf, ("post_id", "subreddit")).select(
+        "post_id", "subreddit", F.lit(None).cast("int").alias("cluster_id"), F.lit("").alias("cluster_keywords")
+    ).write.partitionBy("subreddit").parquet(f"{base}/posts")
+    m = members(spark, sf)
+    kw = PF.cluster_keywords(m).select("cluster_id", TX.list_text("cluster_keywords").alias("cluster_keywords"))
+    labelled = m.select("post_id", "cluster_id").join(kw, "cluster_id", "left").select("post_id", "cluster_id", "cluster_keywords")
+    ST.merge(spark, f"{base}/posts", labelled, f"{base}/staging", "subreddit")
+    return spark.read.parquet(f"{base}/posts").select("post_id", "cluster_id", "cluster_keywords")

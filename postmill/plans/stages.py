@@ -3,7 +3,7 @@ failing stage is reported and the next stages still run on what exists."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from postmill import lexicon as L
@@ -21,7 +21,8 @@ STATUS_DDL = "stage string, ok boolean, rows bigint, error string"
 def run(spark: SparkSession, runs: list, k: int = L.EXPERIMENT_CLUSTERS, restarts: int = L.KMEANS_RESTARTS,
         encoder=None) -> DataFrame:
     """``runs`` are listing-page DataFrames landed one after another. Returns a status row per stage
-    (rows = rows in its table) and the rows 'posts', 'embedded' and 'clustered' of the final posts table.
+    (rows = rows that it added or wrote) and the totals 'posts', 'embedded' and 'clustered' of this run. All numbers are
+    observed while the rows are written.
 
     All tables exist, empty, before the first stage, so a stage reads what there is and a failed read
     is an error, not a first run. Only posts without a vector are embedded.
@@ -37,30 +38,39 @@ def run(spark: SparkSession, runs: list, k: int = L.EXPERIMENT_CLUSTERS, restart
         except Exception as e:  # noqa: BLE001 - a failing stage must not stop the others
             status.append((name, False, None, f"{type(e).__name__}: {str(e)[:300]}"))
 
+    totals = {"posts": 0, "embedded": 0, "clustered": 0}
+
+    def written(df, mode, path, counted=F.lit(True), total=None):
+        """Write and return the rows written, counted on the way (nothing is read again)."""
+        seen = Observation()
+        df.observe(seen, F.coalesce(F.sum(F.when(counted, 1)), F.lit(0)).alias("rows")).write.mode(mode).parquet(path)
+        if total:
+            totals[total] += seen.get["rows"]
+        return seen.get["rows"]
+
     IG.init_store(spark, store)
     EN.enrich(ST.read_posts(spark, store)).withColumn("keywords", TX.list_text("keywords")).withColumn(
         "topics", TX.list_text("topics")).limit(0).write.mode("ignore").parquet(enriched_p)
     spark.createDataFrame([], "post_id string, embedding array<float>").write.mode("ignore").parquet(embedded_p)
 
     def ingest():
+        added = 0
         for pages in runs:
             IG.land(pages, landing)
-            IG.run_once(spark, landing, store, ckpt)
-        return ST.read_posts(spark, store).count()
+            added += IG.run_once(spark, landing, store, ckpt)["added"]
+        return added
 
     def enrich():
         posts = ST.read_posts(spark, store)
         todo = EN.pending(posts, spark.read.parquet(enriched_p))
         out = EN.enrich(todo).withColumn("keywords", TX.list_text("keywords")).withColumn("topics", TX.list_text("topics"))
-        out.write.mode("append").parquet(enriched_p)
-        return spark.read.parquet(enriched_p).count()
+        return written(out, "append", enriched_p)
 
     def embed():
         e = EN.pending(spark.read.parquet(enriched_p), spark.read.parquet(embedded_p))
         text = TX.join_text("cleaned_title", "cleaned_selftext", "ocr_text")
-        EC.encode(e.select("post_id", text.alias("text")), "text", encoder) \
-            .select("post_id", "embedding").write.mode("append").parquet(embedded_p)
-        return spark.read.parquet(embedded_p).count()
+        out = EC.encode(e.select("post_id", text.alias("text")), "text", encoder).select("post_id", "embedding")
+        return written(out, "append", embedded_p, F.size("embedding") > 0, "embedded")
 
     def cluster():
         e = spark.read.parquet(enriched_p).join(
@@ -68,13 +78,11 @@ def run(spark: SparkSession, runs: list, k: int = L.EXPERIMENT_CLUSTERS, restart
         out, _, _ = CJ.run(e, k, restarts)
         posts = ST.read_posts(spark, store).select(
             "post_id", F.lit(None).cast("int").alias("cluster_id"), F.lit("").alias("cluster_keywords"))
-        CJ.write_back(posts, out).write.mode("overwrite").parquet(clustered_p)
-        return spark.read.parquet(clustered_p).where("cluster_id is not null").count()
+        return written(CJ.write_back(posts, out), "overwrite", clustered_p, F.col("cluster_id").isNotNull(), "clustered")
 
     for name, fn in (("ingest", ingest), ("enrich", enrich), ("embed", embed), ("cluster", cluster)):
         stage(name, fn)
 
-    stage("posts", lambda: ST.read_posts(spark, store).count())
-    stage("embedded", lambda: spark.read.parquet(embedded_p).where(F.size("embedding") > 0).count())
-    stage("clustered", lambda: spark.read.parquet(clustered_p).where(F.col("cluster_id").isNotNull()).count())
+    totals["posts"] = next(r[2] or 0 for r in status if r[0] == "ingest")
+    status += [(name, True, n, None) for name, n in totals.items()]
     return spark.createDataFrame(status, STATUS_DDL)

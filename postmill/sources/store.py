@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill import lexicon as L
 from postmill import schema as S
+from postmill.session import checkpoint_dir
 
 # Slices of one source's day when the posts table is written.
 SALTS = 16
@@ -63,6 +65,72 @@ def write_back(base: DataFrame, update: DataFrame, key: str = "post_id") -> Data
     return j.select(*out)
 
 
+def merge(spark, path: str, update: DataFrame, staging: str, part: str, key: str = "post_id") -> list:
+    """Keyed update of the stored table at ``path`` (partitioned by ``part``) that rewrites only partitions with a
+    row that changes; returns those partitions' values.
+
+    Only the key, partition and updated columns are read to find them. Their new content is staged whole under
+    ``staging`` first and then takes the place of the old partitions; files of other partitions are not touched. After a
+    failure in between, ``resume`` (which the next ``merge`` calls) finishes the staged work. Columns of ``update`` must be the
+    table's; keys that it does not hold are ignored.
+    """
+    resume(spark, path, staging, part)
+    base = spark.read.parquet(path)
+    cols = [c for c in update.columns if c != key]
+    u = update.select(key, *[F.col(c).cast(base.schema[c].dataType).alias(f"_new_{c}") for c in cols])
+    # As in ``write_back``, a null update keeps the old value.
+    changed = ~F.lit(True)
+    for c in cols:
+        changed = changed | (F.col(f"_new_{c}").isNotNull() & ~F.col(f"_new_{c}").eqNullSafe(F.col(c)))
+    touched = sorted((r[0] for r in base.select(key, part, *cols).join(u, key).where(changed).select(part).distinct().collect()), key=str)
+    if touched:
+        here = F.col(part).isin([t for t in touched if t is not None])
+        here = here | F.col(part).isNull() if None in touched else here
+        write_back(base.where(here), update, key).write.mode("overwrite").partitionBy(part).parquet(staging)
+        resume(spark, path, staging, part)
+    return touched
+
+
+def resume(spark, path: str, staging: str, part: str) -> bool:
+    """Put completely staged partitions in place and empty the staging table; whether there were any.
+
+    Doing it again after a failure replaces the same partitions by the same rows.
+    """
+    table = spark.read.parquet(path)
+    try:
+        staged = spark.read.schema(table.schema).parquet(staging)
+    except AnalysisException:  # nothing was ever staged
+        return False
+    if staged.isEmpty():
+        return False
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
+    table.limit(0).drop(part).write.mode("overwrite").parquet(staging)
+    return True
+
+
+def first_in_order(rows: DataFrame, n: int, order: str = "arrival") -> DataFrame:
+    """The first ``n`` rows by ``order`` (a total order), whatever ``n`` is.
+
+    Rows are sorted by range; only the sizes of the ranges come together. Ranges before the cut stay whole, the one at
+    the cut keeps its first rows: no task holds the others.
+    """
+    checkpoint_dir(rows.sparkSession)
+    at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    fixed = rows.orderBy(order).withColumn("_part", F.spark_partition_id()).withColumn("_at", at).checkpoint(eager=True)
+    left, keep = n, F.lit(False)
+    for r in sorted(fixed.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: r["_part"]):
+        if left <= 0:
+            break
+        keep = keep | ((F.col("_part") == r["_part"]) & (F.col("_at") < left) if r["n"] > left else F.col("_part") == r["_part"])
+        left -= r["n"]
+    return fixed.where(keep).drop("_part", "_at")
+
+
+def requested_total(store: DataFrame, batch: DataFrame, n: int, key: str = "post_id") -> DataFrame:
+    """The first ``n`` new posts over all listings in arrival order: the rows an ingestion of ``n`` posts adds."""
+    return first_in_order(new_rows(store, batch, key), n)
+
+
 def evolve(frames: list, defaults: dict) -> DataFrame:
     """Union frames with different column sets; missing columns take their defaults."""
     out = frames[0]

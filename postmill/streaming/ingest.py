@@ -1,21 +1,32 @@
 """Incremental ingestion of landed listing pages with Structured Streaming.
 
-New JSON page files in a landing folder are read with an explicit schema; each micro-batch
-keeps the first arrival of every key and appends only keys the store does not hold yet.
-Because the append is an anti-join against the store, a retried batch adds nothing twice,
-so a lost executor or a restarted query cannot duplicate rows.
+New JSON page files in a landing folder are read with an explicit schema. Duplicates are suppressed twice:
 
-Duplicates are not dropped with a watermark on event time: 'top' listings return old
-posts, which such a watermark would discard as late. State is the store itself.
+* A state store holds the keys seen lately. Of a micro-batch's rows of a key, the first arrival goes on if the key is
+  not in state. Entries expire ``STATE_HOURS`` after they were last seen. The watermark is on the time of processing: one
+  on fetch or creation time would drop pages that land late with all their new posts, and nothing may be lost here.
+* What goes on meets the key index beside the store (``sources/keyindex``), which knows all older keys and reads only
+  the buckets that may hold one of the batch. The store itself is not read.
+
+A micro-batch writes its posts, then its keys, between two marks. If a mark is missing after a failure, the
+batch that comes again is compared with the store once, so nothing is added twice or lost.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from postmill import schema as S
+from postmill.session import checkpoint_dir
 from postmill.sources import listing as LS
 from postmill.sources import store as ST
+from postmill.sources.keyindex import KeyIndex
+
+STATE_HOURS = 48
+_ORDER = ("_fetched", "_listing", "_page", "_position")
 
 
 def init_store(spark: SparkSession, path: str) -> None:
@@ -27,26 +38,90 @@ def land(pages: DataFrame, landing: str) -> None:
     pages.write.mode("append").json(landing)
 
 
+def index_path(store: str) -> str:
+    return store.rstrip("/") + "_index"
+
+
+def first_arrivals(rows: DataFrame, hours: float = STATE_HOURS) -> DataFrame:
+    """Streaming rows with an ``arrival`` struct -> per key its first arrival, unless its key is in state."""
+    names = S.POSTS.fieldNames()
+    flat = rows.select(*names, F.col("arrival.fetched_at").alias("_fetched"), F.col("arrival.listing").alias("_listing"),
+                       F.col("arrival.page").alias("_page"), F.col("arrival.position").alias("_position"), F.current_timestamp().alias("_seen")).withWatermark("_seen", "1 hour")
+
+    def pick(key, frames, state):
+        first = None
+        for pdf in frames:
+            # One row at a time is kept, however often a key occurs.
+            pdf = pdf if first is None else pd.concat([first, pdf])
+            first = pdf.sort_values(list(_ORDER), na_position="first", kind="stable").head(1)
+            seen = pdf["_seen"].max()
+        if state.hasTimedOut:
+            state.remove()
+            return
+        known = state.exists
+        state.update((True,))
+        state.setTimeoutTimestamp(int(seen.timestamp() * 1000 + hours * 3_600_000))
+        if not known and first is not None:
+            yield first[names]
+
+    return flat.groupBy("post_id").applyInPandasWithState(pick, S.POSTS, "seen boolean", "append", "EventTimeTimeout")
+
+
+def _mark(spark: SparkSession, store: str, checkpoint: str, epoch: int, done: bool) -> None:
+    (spark.createDataFrame([(checkpoint, epoch, done)], "checkpoint string, epoch bigint, done boolean").coalesce(1)
+     .write.mode("overwrite").parquet(f"{index_path(store)}/mark"))
+
+
+def _finished(spark: SparkSession, store: str) -> bool:
+    """Whether the last micro-batch came to its end, so that the index holds all keys of the store."""
+    try:
+        r = spark.read.parquet(f"{index_path(store)}/mark").first()
+    except AnalysisException:
+        return False
+    return bool(r and r["done"])
+
+
 def start(spark: SparkSession, landing: str, store: str, checkpoint: str, available_now: bool = True,
-          max_files: int | None = None):
-    """Start the ingestion query; returns the StreamingQuery."""
+          max_files: int | None = None, added: list | None = None):
+    """Start the ingestion query; returns the StreamingQuery. ``added`` receives the rows that each micro-batch adds."""
     init_store(spark, store)
+    checkpoint_dir(spark)
     reader = spark.readStream.schema(S.LANDED_LISTING)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    pages = reader.json(landing)
+    rows = first_arrivals(ST.valid(LS.to_posts(reader.json(landing))))
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        existing = ST.read_posts(batch.sparkSession, store).select("post_id")
-        add = ST.new_rows(existing, LS.to_posts(batch))
-        ST.write_posts(add.select(*S.POSTS.fieldNames()), store)
+        session = batch.sparkSession
+        # Read once, so that the state is updated once.
+        batch = batch.checkpoint(eager=True)
+        index = KeyIndex(session, index_path(store))
+        finished = _finished(session, store)
+        if not finished:
+            # The first batch over a store, or the one after a failure: the index is made anew from the store.
+            index.build(ST.read_posts(session, store).select("post_id"))
+        _mark(session, store, checkpoint, epoch_id, False)
+        seen = Observation()
+        new = index.unseen(batch).observe(seen, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+        ST.write_posts(new.select(*S.POSTS.fieldNames()), store)
+        index.add(new.select("post_id"))
+        _mark(session, store, checkpoint, epoch_id, True)
+        if added is not None:
+            added.append(seen.get["rows"])
 
-    w = pages.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    w = rows.writeStream.outputMode("append").foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
 
 
-def run_once(spark: SparkSession, landing: str, store: str, checkpoint: str) -> None:
-    """Process everything landed so far, then stop (a scheduled incremental run)."""
-    q = start(spark, landing, store, checkpoint, available_now=True)
+def run_once(spark: SparkSession, landing: str, store: str, checkpoint: str) -> dict:
+    """Process everything landed so far, then stop (a scheduled incremental run).
+
+    Returns the run's counters, taken from the query itself: micro-batches, pages read, posts added, keys in state.
+    """
+    added: list = []
+    q = start(spark, landing, store, checkpoint, available_now=True, added=added)
     q.awaitTermination()
+    progress = [p for p in q.recentProgress if p["numInputRows"]]
+    state = [s["numRowsTotal"] for p in progress[-1:] for s in p["stateOperators"]]
+    return {"batches": len(added), "pages": sum(p["numInputRows"] for p in progress), "added": sum(added), "state": sum(state)}

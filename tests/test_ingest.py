@@ -97,3 +97,108 @@ def test_store_layout_prunes_by_source(spark):
     q = back.where(F.col("subreddit") == "src1")
     assert "PartitionFilters: [isnotnull(subreddit" in q._jdf.queryExecution().executedPlan().toString()
     assert q.count() == TB.posts_view(spark, SF_SMALL).where(F.col("subreddit") == "src1").count()
+
+
+def run_pages(spark, base, docs):
+    IG.land(spark.createDataFrame([(d,) for d in docs], "value string").select(
+        F.from_json("value", S.LANDED_LISTING).alias("j")).select("j.*"), f"{base}/landing")
+    return IG.run_once(spark, f"{base}/landing", f"{base}/posts", f"{base}/ckpt")
+
+
+def stored(spark, base):
+    return sorted((r["post_id"], r["score"]) for r in ST.read_posts(spark, f"{base}/posts").collect())
+
+
+def test_stream_state_late_pages_and_restart(spark, monkeypatch):
+    base = scratch_path(spark, "test-state")
+    first = run_pages(spark, base, [page("python/hot", 0, "2024-06-05T00:00:00Z", [child("a", 1), child("b", 2), child("a", 9)])])
+    assert (first["added"], first["state"], first["pages"]) == (2, 2, 1)
+    # A page that lands late: its known post is ignored, its new post is not lost.
+    late = run_pages(spark, base, [page("python/new", 0, "2024-01-01T00:00:00Z", [child("a", 50), child("c", 3)])])
+    assert (late["added"], late["state"]) == (1, 3)
+    assert stored(spark, base) == [("a", 1), ("b", 2), ("c", 3)]
+    # The keys are written, but not the closing mark: the batch that comes again adds nothing twice.
+    mark = IG._mark
+    monkeypatch.setattr(IG, "_mark", lambda sp, st, ck, e, done: 1 / 0 if done else mark(sp, st, ck, e, done))
+    try:
+        run_pages(spark, base, [page("python/new", 1, "2024-06-06T00:00:00Z", [child("d", 4), child("b", 60)])])
+        raise AssertionError("the run should have failed")
+    except Exception as e:  # noqa: BLE001
+        assert "ZeroDivision" in str(e)
+    monkeypatch.setattr(IG, "_mark", mark)
+    assert IG.run_once(spark, f"{base}/landing", f"{base}/posts", f"{base}/ckpt")["added"] == 0
+    assert stored(spark, base) == [("a", 1), ("b", 2), ("c", 3), ("d", 4)]
+    # A query without the old state: the index knows the older keys.
+    IG.land(spark.read.schema(S.LANDED_LISTING).json(f"{base}/landing"), f"{base}/again")
+    again = IG.run_once(spark, f"{base}/again", f"{base}/posts", f"{base}/ckpt2")
+    assert again["added"] == 0 and again["state"] == 4
+
+
+def test_key_index_reads_only_buckets_that_may_collide(spark):
+    from postmill.sources import keyindex as KI
+    index = KI.KeyIndex(spark, scratch_path(spark, "test-index"))
+    old = spark.range(2000).selectExpr("concat('k', id) as post_id")
+    index.build(old)
+    index.add(spark.createDataFrame([("late",)], "post_id string"))
+    fresh = spark.range(300).selectExpr("concat('n', id) as post_id", "id as v")
+    assert index.unseen(fresh).count() == 300 and len(index.read) <= 3
+    some = spark.createDataFrame([("k7", 1), ("k7", 2), ("late", 3), ("new", 4)], "post_id string, v int")
+    assert [tuple(r) for r in index.unseen(some).collect()] == [("new", 4)]
+    assert len(index.read) == 2
+    held = index._table(index.keys_path, "post_id string", index.read)
+    assert {f.split("bucket=")[1].split("/")[0] for f in (r[0] for r in held.select(F.input_file_name()).distinct().collect())} == set(map(str, index.read))
+    assert "PartitionFilters: [bucket" in held._jdf.queryExecution().executedPlan().toString().replace("isnotnull(bucket", "bucket")
+
+
+def test_a_full_filter_loses_nothing(spark, monkeypatch):
+    from postmill.sources import keyindex as KI
+    monkeypatch.setattr(KI, "BLOOM_BITS", 64)
+    index = KI.KeyIndex(spark, scratch_path(spark, "test-full"))
+    index.build(spark.range(3000).selectExpr("concat('k', id) as post_id"))
+    batch = spark.range(2900, 3100).selectExpr("concat('k', id) as post_id")
+    assert sorted(r[0] for r in index.unseen(batch).collect()) == sorted(f"k{i}" for i in range(3000, 3100))
+
+
+def test_merge_rewrites_only_changed_partitions(spark):
+    base = scratch_path(spark, "test-merge")
+    path, staging = f"{base}/posts", f"{base}/staging"
+    rows = [(f"p{i}", f"s{i % 4}" if i % 4 else None, i, "old") for i in range(40)]
+    spark.createDataFrame(rows, "post_id string, sub string, cluster_id int, kw string").write.partitionBy("sub").parquet(path)
+
+    def files():
+        return {r["sub"]: {x["f"] for x in spark.read.parquet(path).select("sub", F.input_file_name().alias("f")).distinct().collect() if x["sub"] == r["sub"]}
+                for r in spark.read.parquet(path).select("sub").distinct().collect()}
+
+    before = files()
+    update = spark.createDataFrame([("p1", 100, "new"), ("p2", 2, "old"), ("p3", None, None), ("none", 1, "x")], "post_id string, cluster_id int, kw string")
+    assert ST.merge(spark, path, update, staging, "sub") == ["s1"]  # p2's values do not change, p3's are null
+    after = files()
+    assert {k for k in before if before[k] != after[k]} == {"s1"}
+    want = {(i, s, 100 if i == "p1" else c, "new" if i == "p1" else k) for i, s, c, k in rows}
+
+    def table():
+        return {(r["post_id"], r["sub"], r["cluster_id"], r["kw"]) for r in spark.read.parquet(path).collect()}
+
+    assert table() == want
+    assert ST.merge(spark, path, spark.createDataFrame([("p4", 7)], "post_id string, cluster_id int"), staging, "sub") == [None]
+    want = {(i, s, 7 if i == "p4" else c, k) for i, s, c, k in want}
+    assert table() == want
+    # A failure after staging: the next call puts the staged partitions in place first.
+    staged = spark.read.parquet(path).where("sub = 's2'").withColumn("kw", F.lit("staged"))
+    staged.write.mode("overwrite").partitionBy("sub").parquet(staging)
+    assert ST.merge(spark, path, update.limit(0), staging, "sub") == []
+    assert table() == {(i, s, c, "staged" if s == "s2" else k) for i, s, c, k in want}
+    assert ST.resume(spark, path, staging, "sub") is False
+
+
+def test_first_in_order_cuts_inside_a_range(spark):
+    rows = spark.range(1000).selectExpr("id", "struct(id * 37 % 1000 as x) as arrival").repartition(9)
+    for n in (0, 1, 250, 999, 1000, 5000):
+        got = sorted(r["arrival"]["x"] for r in ST.first_in_order(rows, n).collect())
+        assert got == list(range(min(n, 1000)))
+
+
+def test_page_without_fetch_time_takes_the_present(spark):
+    pages = pages_df(spark, [page("python/hot", 0, "2024-06-01T00:00:00Z", [child("a", 1)])]).drop("fetched_at")
+    r = LS.to_posts(pages).select(F.col("fetched_at") > F.current_timestamp() - F.expr("interval 1 hour")).first()
+    assert r[0] is True
