@@ -125,8 +125,11 @@ def common_distances(ws: Column, ref: Reference) -> Column:
     known = F.filter(ws, lambda w: w.isin(list(ref.shares)))
     # Per word its shares in the languages, then their x log x.
     shares = F.create_map(*[x for w, q in ref.shares.items() for x in (F.lit(w), F.array(*[F.lit(v) for v in (*q, *map(_entropy, q))]))])
-    hist = let(known, lambda k: F.transform(F.array_distinct(k), lambda w: F.struct(
-        (F.size(k) - F.size(F.array_remove(k, w))).alias("c"), F.element_at(shares, w).alias("q"))))
+    # In order, equal words follow each other: a word's count is the distance to where the next one begins.
+    begins = let(F.sort_array(known), lambda k: F.struct(F.size(k).alias("n"), F.transform(F.array_distinct(k), lambda w: F.struct(
+        w.alias("w"), F.array_position(k, w).alias("at"))).alias("b")))
+    hist = let(begins, lambda x: F.transform(x["b"], lambda y, i: F.struct(
+        (F.coalesce(F.get(x["b"], i + 1)["at"], x["n"] + 1) - y["at"]).alias("c"), F.element_at(shares, y["w"]).alias("q"))))
     hist = let(F.struct(hist.alias("h"), F.size(ws).alias("n")), lambda x: F.transform(x["h"], lambda y: let(y["c"] / x["n"], lambda p: F.struct(
         p.alias("p"), (p + p * F.log2(p)).alias("own"), y["q"].alias("q")))))
 
@@ -155,9 +158,13 @@ def features(docs: DataFrame, ref: Reference, id_col: str = "doc_id", text_col:
     counted = let(words(F.col("text")), lambda w: F.struct(
         F.size(w).alias("n_words"), repeated_words(w).alias("n_repeat_words"),
         common_distances(F.transform(w, ascii_lower), ref).alias("common")))
+    # The frequent classes are taken off once; the others are counted in the little that is left.
+    rest = F.regexp_replace("text", f"[{PATTERNS['lower']}{PATTERNS['blank']}]+", "")
     d = d.select("id", "lang", counted.alias("x"), F.char_length("text").alias("n"), duplicate_lines(F.col("text")).alias("n_dup_lines"),
-                 *[_n_of(F.col("text"), p).alias(c) for c, p in PATTERNS.items()])
-    d = d.withColumn("other", F.col("n") - sum((F.col(c) for c in PATTERNS), F.lit(0))).withColumn("word_chars", F.col("n") - F.col("blank"))
+                 _n_of(F.col("text"), PATTERNS["blank"]).alias("blank"), rest.alias("rest"))
+    d = d.select("*", *[_n_of(F.col("rest"), PATTERNS[c]).alias(c) for c in ("upper", "digit", "wide", "symbol")])
+    d = d.withColumn("word_chars", F.col("n") - F.col("blank")).withColumn("lower", F.col("word_chars") - F.char_length("rest"))
+    d = d.withColumn("other", F.col("n") - sum((F.col(c) for c in PATTERNS), F.lit(0)))
     return d.select("id", "lang", *[F.col(c).cast("long").alias(c) for c in CLASSES], *[F.col(c).cast("long").alias(c) for c in ("n", "word_chars", "n_dup_lines")],
                     F.col("x.n_words").cast("long").alias("n_words"), F.col("x.n_repeat_words").cast("long").alias("n_repeat_words"), "x.common")
 
