@@ -91,13 +91,14 @@ ENCODER_BATCH = 64
 INTRA_EPS = 1e-12
 COSINE_EPS = 1e-10
 
-# Document-vector configurations. Names, dimensions and least counts are FIXED VALUES; a factorisation has no
-# window or epochs, so these name its alternating sweeps instead.
+# FIXED VALUES -- document-vector configurations (name, dimension, epochs, window, least count).
 DOC_VECTOR_CONFIGS = (
-    {"name": "doc2vec_50d", "vector_size": 50, "min_count": 2, "sweeps": 10},
-    {"name": "doc2vec_100d", "vector_size": 100, "min_count": 2, "sweeps": 10},
-    {"name": "doc2vec_200d", "vector_size": 200, "min_count": 2, "sweeps": 10},
+    {"name": "doc2vec_50d", "vector_size": 50, "epochs": 30, "min_count": 2, "window": 8},
+    {"name": "doc2vec_100d", "vector_size": 100, "epochs": 40, "min_count": 2, "window": 10},
+    {"name": "doc2vec_200d", "vector_size": 200, "epochs": 50, "min_count": 2, "window": 10},
 )
+# Alternating sweeps of the factorisation that can stand in for paragraph vectors (``docvec.doc_vectors_als``).
+ALS_SWEEPS = 10
 # FIXED VALUES -- word-bin configurations of the comparison (name, dimension, epochs, window, bins).
 WORD2VEC_CONFIGS = (
     {"name": "w2v_bins_50d", "vector_size": 50, "epochs": 20, "min_count": 2, "window": 5, "bins": 50},

@@ -807,6 +807,12 @@ def w2v_bins_vectors(spark, sf):
                        F.round(V.vsum("vec"), 6).alias("weight_sum"))
 
 
+@register("paragraph_vectors")
+def paragraph_vectors(spark, sf):
+    vecs = PV.doc_vectors(training(spark, sf), L.DOC_VECTOR_CONFIGS[0])
+    return vecs.select("post_id", F.size("vec").alias("dim"), V.norm("vec").alias("norm"))
+
+
 @register("doc_vectors_als")
 def doc_vectors_als(spark, sf):
     from postmill.session import checkpoint_dir

@@ -134,14 +134,15 @@ def test_bins_of_several_word_tables_are_one_fit(spark):
     assert by == {("x", 4, 20), ("y", 20, 20)}
 
 
-def test_experiment_of_two_small_configurations(spark, tmp_path):
+@pytest.mark.parametrize("paragraph", [False, True])
+def test_experiment_of_two_small_configurations(spark, tmp_path, paragraph):
     from postmill.operators import evaluate as EV
     from postmill.plans import experiment
     rows = [(f"p{i:03}", f"title {i}", " ".join(t), t) for i in range(40)
             for t in [["cat", "dog", "sun", f"zoo{'ab'[i % 2]}"] * 3 if i % 2 else ["tax", "law", "vote", "poll"] * 3]]
     train = spark.createDataFrame(rows, "post_id string, title string, text string, tokens array<string>")
-    found = experiment.run(spark, train, 2, 2, [{"name": "doc2vec_4d", "vector_size": 4, "sweeps": 3, "min_count": 2}],
-                           [{"name": "w2v_bins_4d", "vector_size": 4, "epochs": 5, "min_count": 2, "window": 2, "bins": 4}], str(tmp_path / "out"))
+    found = experiment.run(spark, train, 2, 2, [{"name": "doc2vec_4d", "vector_size": 4, "epochs": 20, "window": 3, "min_count": 2, "sweeps": 3, "rate": 0.1}],
+                           [{"name": "w2v_bins_4d", "vector_size": 4, "epochs": 5, "min_count": 2, "window": 2, "bins": 4}], str(tmp_path / "out"), paragraph)
     assert [r["method"] for r in found] == ["doc2vec_4d", "w2v_bins_4d"] and found[1]["word_bins"] == 4 and found[0]["word_bins"] is None
     for r in found:
         assert r["n_posts"] == 40 and r["vector_dimension"] == 4 and sum(d["size"] for d in r["cluster_details"]) == 40
