@@ -9,19 +9,27 @@ from pyspark.sql import functions as F
 from postmill import lexicon as L
 from postmill.functions import text as TX
 from postmill.functions import vectors as V
+from postmill.operators import centres as CE
 from postmill.operators import topk as TK
 from postmill.operators import vectors as VO
+from postmill.session import checkpoint_dir
 
 
 def semantic_match(queries: DataFrame, members: DataFrame, key: str = "cluster_id",
-                   qvec: str = "query_vec", vec: str = "vec") -> DataFrame:
+                   qvec: str = "query_vec", vec: str = "vec", qid: str = "item_id") -> DataFrame:
     """Per query: the cluster whose mean vector is most cosine-similar.
 
-    Centroids are one aggregate over the members; they are model parameters (bounded by the
-    number of clusters) and travel as a constant, so queries are scored without a join.
+    Centroids are one aggregate over the members; they travel as a constant, so queries are scored without a join.
+    Too many for a constant, they meet the queries in blocks (``centres.nearest``; ids in ``qid`` are unique then).
     Ties go to the lower cluster id; with no clusters the answer is cluster 0 at -1.
     """
-    cents = VO.collect_params(VO.centroids(members.where(F.size(vec) > 0), key, vec), ["centroid"], key)
+    checkpoint_dir(members.sparkSession)
+    table = VO.centroids(members.where(F.size(vec) > 0), key, vec).checkpoint(eager=True)
+    cents = VO.few_params(table, ["centroid"], key)
+    if cents is None:
+        best = CE.nearest(queries, table, "cosine", qid, qvec, key).select(
+            qid, F.col("nearest").cast("int").alias("best_cluster"), (-F.col("value")).alias("similarity"))
+        return queries.join(best, qid, "left").fillna({"best_cluster": 0, "similarity": -1.0})
     if not cents:
         return queries.withColumn("best_cluster", F.lit(0)).withColumn("similarity", F.lit(-1.0))
     c = V.const([{"id": int(r[key]), "v": [float(x) for x in r["centroid"]]} for r in cents],

@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 
 from postmill import lexicon as L
 from postmill.functions import vectors as V
+from postmill.operators import centres as CE
 from postmill.operators import lloyd as LL
 from postmill.operators.lloyd import _matrix
 from postmill.session import checkpoint_dir
 
-# Bound on the caller's number of clusters, whose statistics travel as model parameters.
+# Up to this many clusters (and ``V.MAX_CONST_VALUES`` numbers) statistics travel as model parameters; beyond, they stay a
+# table (``operators/centres.py``), with the same results.
 MAX_CLUSTERS = 10_000
 
 
@@ -40,13 +42,28 @@ def collect_params(stats: DataFrame, cols: list, key: str = "cluster_id") -> lis
     return sorted((r.asDict() for r in rows), key=lambda r: r[key])
 
 
-def nearest_centroid(points: DataFrame, cents: list, key: str = "cluster_id", vec: str = "vec",
-                     out: str = "nearest") -> DataFrame:
+def few_params(stats: DataFrame, cols: list, key: str = "cluster_id") -> list | None:
+    """``collect_params``, or None where the clusters are too many to travel as one constant."""
+    widths = [F.sum(F.size(c) if stats.schema[c].dataType.typeName() == "array" else F.lit(1)) for c in cols]
+    n, values = stats.agg(F.count(F.lit(1)), F.coalesce(sum(widths, F.lit(0)), F.lit(0)) + F.count(F.lit(1))).first()
+    return collect_params(stats, cols, key) if n <= MAX_CLUSTERS and values <= V.MAX_CONST_VALUES else None
+
+
+def nearest_centroid(points: DataFrame, cents: list | DataFrame, key: str = "cluster_id", vec: str = "vec",
+                     out: str = "nearest", id_col: str = "post_id") -> DataFrame:
     """Assign each point to the closest centroid (squared Euclidean; ties -> lower id).
 
-    ``cents`` are model parameters: a list of {key, centroid}. They travel as one constant;
-    the points are not shuffled.
+    ``cents`` are model parameters: a list of {key, centroid}. They travel as one constant; the points are not
+    shuffled. A DataFrame (key, centroid) may hold any number of centroids: too many for a constant meet the points in
+    blocks (``centres.nearest``; ids in ``id_col`` are unique then).
     """
+    if isinstance(cents, DataFrame):
+        checkpoint_dir(points.sparkSession)
+        table = cents.select(key, "centroid").checkpoint(eager=True)
+        cents = few_params(table, ["centroid"], key)
+        if cents is None:
+            best = CE.nearest(points, table, "euclidean", id_col, vec, key)
+            return points.join(best.select(id_col, F.col("nearest").cast("int").alias(out), F.col("value").alias(f"{out}_sq_dist")), id_col, "left")
     c = V.const([{"id": int(r[key]), "v": [float(x) for x in r["centroid"]]} for r in cents],
                 "array<struct<id:int,v:array<double>>>")
     x = V.as_double(vec)
@@ -90,6 +107,10 @@ def _silhouette(points: DataFrame, stats: list, key: str, vec: str, per_cluster,
     return per.select(s.alias("s")).agg(F.avg("s").alias(out), F.count(F.lit(1)).alias("n_points"))
 
 
+def _numbered(points: DataFrame, key: str, vec: str) -> DataFrame:
+    return points.select(F.monotonically_increasing_id().alias("id"), key, F.col(vec).alias("x"))
+
+
 def silhouette_cosine(df: DataFrame, key: str = "cluster_id", vec: str = "vec") -> DataFrame:
     """Mean cosine silhouette of all points, closed form; -1.0 when there is a single cluster.
 
@@ -97,7 +118,12 @@ def silhouette_cosine(df: DataFrame, key: str = "cluster_id", vec: str = "vec")
     point's distances to cluster z sum to n - u.S; its own term, 1 - u.u, is taken off.
     """
     normed = df.select(key, V.l2_normalize(vec).alias("u"))
-    stats = collect_params(cluster_stats(normed, key, "u").withColumn("q", F.lit(0.0)), ["n", "sum", "q"], key)
+    table = cluster_stats(normed, key, "u").withColumn("q", F.lit(0.0))
+    stats = few_params(table, ["n", "sum", "q"], key)
+    if stats is None:
+        to_own = (F.col("n") - V.dot("x", "sum") - (1 - V.dot("x", "x"))) / F.greatest(F.col("n") - 1, F.lit(1))
+        return CE.silhouette(_numbered(normed, key, "u"), table.withColumn("centroid", F.col("mean")), to_own, F.lit(1.0), "dot",
+                             "silhouette_cosine", key)
     own = F.col(key)
     return _silhouette(normed, stats, key, "u",
                        lambda x, z: z["n"] - V.dot(x, z["s"]) - F.when(z["id"] == own, 1 - V.dot(x, x)).otherwise(0.0),
@@ -112,7 +138,16 @@ def silhouette_squared(df: DataFrame, key: str = "cluster_id", vec: str = "vec")
     """
     points = df.select(key, V.as_double(vec).alias("v"))
     norms = points.groupBy(key).agg(F.sum(V.dot("v", "v")).alias("q"))
-    stats = collect_params(cluster_stats(points, key, "v").join(norms, key), ["n", "sum", "q"], key)
+    table = cluster_stats(points, key, "v").join(norms, key)
+    stats = few_params(table, ["n", "sum", "q"], key)
+    if stats is None:
+        # A mean squared distance is |x - mean|^2 plus the cluster's variance, which one more dimension carries.
+        spread = F.sqrt(F.greatest(F.col("q") / F.col("n") - V.dot("mean", "mean"), F.lit(0.0)))
+        wide = points.select(key, F.concat("v", F.array(F.lit(0.0))).alias("v"))
+        to_own = F.when(F.col("n") <= 1, 0.0).otherwise(F.greatest(
+            F.col("n") * V.dot("x", "x") - 2 * V.dot(F.slice("x", 1, F.size("sum")), "sum") + F.col("q"), F.lit(0.0))) / F.greatest(F.col("n") - 1, F.lit(1))
+        return CE.silhouette(_numbered(wide, key, "v"), table.withColumn("centroid", F.concat("mean", F.array(spread))), to_own, F.lit(0.0),
+                             "euclidean", "silhouette_squared", key)
     own = F.col(key)
     return _silhouette(points, stats, key, "v", lambda x, z: F.when(
         (z["id"] == own) & (z["n"] <= 1), 0.0).otherwise(

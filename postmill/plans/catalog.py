@@ -377,6 +377,7 @@ def pending_posts(spark, sf):
 # ---------------------------------------------------------------- vectors and clusters (given labels)
 
 from postmill.functions import vectors as V  # noqa: E402
+from postmill.operators import centres as CE  # noqa: E402
 from postmill.operators import vectors as VO  # noqa: E402
 from postmill.operators import profile as PF  # noqa: E402
 from postmill.operators import search as SE  # noqa: E402
@@ -454,6 +455,22 @@ def nearest_centroid(spark, sf):
     return out.select("post_id", "cluster_id", "nearest", F.round("nearest_sq_dist", 6).alias("sq_dist"))
 
 
+_AUTHORS = "(SELECT cast(substr(v.author, 2) AS bigint) AS cluster_id, e.vec FROM (" + Q.POSTS_VIEW + f") v JOIN {EMB} e ON e.post_id = v.post_id)"
+
+
+@register("nearest_author", f"""
+    WITH c AS (SELECT cluster_id AS cid, list_transform(s, lambda x : x / n) AS cen FROM {_sums_sql(_AUTHORS, 'cluster_id', 'vec')} c0),
+    d AS (SELECT e.post_id, c.cid, list_sum(list_transform(list_zip(e.vec, c.cen), lambda p : (p[1] - p[2]) * (p[1] - p[2]))) AS d2
+          FROM {EMB} e, c)
+    SELECT post_id, arg_min(cid, [d2, cid]) AS nearest, round(min(d2), 6) AS sq_dist FROM d GROUP BY post_id""")
+def nearest_author(spark, sf):
+    """The author whose mean vector is nearest to each post: authors grow with the posts, so they stay a table."""
+    g = given_vectors(spark, sf).select("post_id", "vec")
+    authors = TB.posts_view(spark, sf, ("post_id", "author")).select("post_id", F.expr("substr(author, 2)").cast("bigint").alias("cluster_id"))
+    best = CE.nearest(g, VO.centroids(g.join(authors, "post_id")))
+    return best.select("post_id", "nearest", F.round("value", 6).alias("sq_dist"))
+
+
 @register("intra_similarity", f"""
     WITH c AS (SELECT cluster_id, n, s, list_transform(s, lambda x : x / n) AS m FROM {_sums_sql(NORMED, 'cluster_id', 'u')} c0 WHERE n >= 2),
     h AS (SELECT *, sqrt(list_sum(list_transform(m, lambda x : x * x))) + 1e-12 AS mn FROM c)

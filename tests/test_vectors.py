@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from postmill.functions import vectors as V
+from postmill.operators import centres as CE
+from postmill.operators import search as SE
 from postmill.operators import vectors as VO
 
 
@@ -143,3 +145,71 @@ def test_mean_word_vector_ignores_unknown_tokens(spark):
     words = spark.createDataFrame([("cat", [1.0, 2.0])], "word string, vector array<double>")
     got = {r["post_id"]: (r["n_matched"], r["doc_vector"]) for r in VO.mean_word_vectors(docs, "tokens", words, dim=2).collect()}
     assert got["a"] == (1, [1.0, 2.0]) and got["b"] == (0, [0.0, 0.0])
+
+
+def brute_nearest(x, c, keys, measure, own=None):
+    out = []
+    for i, p in enumerate(x):
+        if measure == "euclidean":
+            v = ((p - c) ** 2).sum(1)
+        else:
+            v = -(c @ p)
+            if measure == "cosine":
+                v = v / (np.linalg.norm(p) * np.linalg.norm(c, axis=1) + 1e-10)
+        out.append(min((v[j], keys[j]) for j in range(len(c)) if own is None or keys[j] != own[i]))
+    return out
+
+
+@pytest.mark.parametrize("measure", ["euclidean", "cosine", "dot"])
+@pytest.mark.parametrize("with_own", [False, True])
+def test_nearest_in_blocks_equals_brute_force(spark, measure, with_own):
+    rng = np.random.default_rng(5)
+    hubs = rng.normal(size=(12, 6)) * 3
+    c = hubs[rng.integers(0, 12, 300)] + rng.normal(size=(300, 6)) * 0.2
+    c[50:150] = c[50]  # a hot group of equal centres: ties, and a block that is split
+    c[7] = 0
+    keys = rng.permutation(300) - 100
+    x = hubs[rng.integers(0, 12, 400)] + rng.normal(size=(400, 6)) * 0.3
+    x[:130] = 0        # a third of the points without a direction
+    x[130:140] = c[50]
+    own = keys[rng.integers(0, 300, 400)]
+    points = spark.createDataFrame([(str(i), int(own[i]), x[i].tolist(), i) for i in range(400)] + [("none", 0, None, 1), ("empty", 0, [], 1), (None, 0, [1.0] * 6, 1)],
+                                   "post_id string, own bigint, vec array<double>, value int")
+    centres = spark.createDataFrame([(int(k), v.tolist()) for k, v in zip(keys, c)], "cluster_id bigint, centroid array<double>")
+    got = {int(r["post_id"]): (r["value"], r["nearest"]) for r in CE.nearest(
+        points, centres, measure, own="own" if with_own else None, max_pivots=9, block=20, group_values=120).collect()}
+    want = brute_nearest(x, c, keys, measure, own if with_own else None)
+    assert len(got) == 400
+    for i, (v, k) in enumerate(want):
+        assert got[i][0] == pytest.approx(v, abs=1e-12)
+        # Equal centres differ by rounding only in the brute force, never in their key's place.
+        assert got[i][1] == k or brute_nearest(x[i:i + 1], c[keys == got[i][1]], keys[keys == got[i][1]], measure)[0][0] == pytest.approx(v, abs=1e-15)
+
+
+def test_nearest_without_centres_and_with_one(spark):
+    points = spark.createDataFrame([("a", 1, [1.0, 2.0])], "post_id string, own int, vec array<double>")
+    none = spark.createDataFrame([], "cluster_id int, centroid array<double>")
+    one = spark.createDataFrame([(1, [1.0, 0.0]), (None, [9.0, 9.0])], "cluster_id int, centroid array<double>")
+    assert CE.nearest(points, none).collect() == []
+    assert [tuple(r) for r in CE.nearest(points, one).collect()] == [("a", 1, 4.0)]
+    assert CE.nearest(points, one, own="own").collect() == []
+
+
+def test_more_clusters_than_a_constant_holds_give_the_same(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    lab = np.r_[rng.integers(0, 12, 150), [90, 91]]  # two singletons
+    x = rng.normal(size=(152, 5)) + lab[:, None] * 0.3
+    x[:20] = 0
+    df = frame(spark, [(int(c), v.tolist()) for c, v in zip(lab, x)])
+    queries = df.select(F.col("post_id").alias("item_id"), F.col("vec").alias("query_vec"))
+
+    def results():
+        near = VO.nearest_centroid(df, VO.centroids(df)).select("post_id", "nearest", F.round("nearest_sq_dist", 9)).collect()
+        found = SE.semantic_match(queries, df).select("item_id", "best_cluster", F.round("similarity", 9)).collect()
+        return (VO.silhouette_cosine(df).first()[0], VO.silhouette_squared(df).first()[0]), sorted(map(tuple, near)), sorted(map(tuple, found))
+
+    few = results()
+    monkeypatch.setattr(VO, "MAX_CLUSTERS", 5)
+    many = results()
+    assert many[0] == pytest.approx(few[0], abs=1e-9)
+    assert many[1:] == few[1:]
