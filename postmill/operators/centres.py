@@ -1,10 +1,12 @@
-"""Nearest centre when the centres are too many to travel with every task.
+"""Nearest centre, for any number of centres.
 
-The centres stay a table. A bounded, hashed sample of them (the pivots) divides the rest: each centre belongs to the block
-of its nearest pivot, and a block has a radius. A point's best pivot bounds its answer from above (pivots are centres
-themselves); the triangle inequality bounds each block from below, and the point goes only to blocks that can still win.
-Points and centres of a block meet as Arrow groups of bounded size: large blocks are split, and a block that many points
-need is copied to as many groups. The winners, narrow rows, are merged by one aggregate. The answer is exact.
+Centres of at most ``HELD_VALUES`` numbers travel with the tasks, and no point moves. Beyond that they stay a table. A
+bounded, hashed sample of them (the pivots) divides the rest: each centre belongs to its nearest pivot, which knows how far its
+centres reach. A point's best pivot bounds its answer from above (pivots are centres themselves), the triangle inequality
+bounds the centres of each pivot from below, and the point goes only to blocks of centres that can still win. Blocks gather
+neighbouring pivots up to a size; a pivot with more centres has several. Points and centres of a block meet as Arrow groups of
+bounded size: a block that many points need is copied to as many groups. The winners, narrow rows, are merged by one
+aggregate. The answer is exact. Where no block can be ruled out, each point moves once per ``HELD_VALUES`` numbers of centres.
 
 Measures (``MEASURES``), all smaller is better; ties go to the lower key:
 
@@ -26,8 +28,8 @@ from postmill.operators.lloyd import _matrix
 from postmill.session import checkpoint_dir
 
 MEASURES = ("euclidean", "cosine", "dot")
-# Numbers in the pivots, which travel with every task, and in the points of one group (32 MB each); centres of one block.
-PIVOT_VALUES, GROUP_VALUES, BLOCK_CENTRES = 4_000_000, 4_000_000, 2_048
+# Numbers in the centres or pivots that travel with every task, in a block of centres and in the points of one group (32 MB).
+HELD_VALUES = 4_000_000
 MAX_PIVOTS = 1_024
 NO_KEY = -2**63  # stands for "no own cluster"
 # Relative allowance for rounding; whatever lies within it is compared again in full precision.
@@ -77,9 +79,10 @@ def _lower(x: np.ndarray, p: np.ndarray, radius: np.ndarray, measure: str) -> np
     return -(x @ p.T + np.linalg.norm(x, axis=1)[:, None] * radius)
 
 
-def _best(x: np.ndarray, own: np.ndarray, c: np.ndarray, keys: np.ndarray, measure: str, step: int = 256):
+def _best(x: np.ndarray, own: np.ndarray, c: np.ndarray, keys: np.ndarray, measure: str):
     """(value, key) of each point's best centre other than ``own``; an infinite value where there is none."""
     value, key = np.full(len(x), np.inf), np.zeros(len(x), np.int64)
+    step = max(16, min(256, 2_000_000 // max(len(c), 1)))  # some 16 MB of values at a time
     for a in range(0, len(x), step):
         xs = x[a:a + step]
         v = _values(xs, c, measure)
@@ -95,9 +98,36 @@ def _best(x: np.ndarray, own: np.ndarray, c: np.ndarray, keys: np.ndarray, measu
     return value, key
 
 
+def _neighbours(p: np.ndarray) -> list[int]:
+    """The rows in an order that keeps near ones together: halves along the widest axis, again and again."""
+    order, todo = [], [np.arange(len(p))]
+    while todo:
+        rows = todo.pop()
+        if len(rows) > 1:
+            along = rows[np.argsort(p[rows, p[rows].var(axis=0).argmax()], kind="stable")]
+            todo += [along[len(along) // 2:], along[:len(along) // 2]]
+        else:
+            order += rows.tolist()
+    return order
+
+
+def _spans(sizes: list[int], order: list[int], block: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per pivot the first of its blocks and the one after its last: small pivots share blocks, large ones have their own."""
+    low, high = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
+    at, filled = 0, 0
+    for q in order:
+        if filled and filled + sizes[q] > block:
+            at, filled = at + 1, 0
+        low[q], high[q] = at, at + max(1, -(-sizes[q] // block))
+        filled += sizes[q]
+        if high[q] - low[q] > 1:
+            at, filled = int(high[q]), 0
+    return low, high
+
+
 def nearest(points: DataFrame, centres: DataFrame, measure: str = "euclidean", id_col: str = "post_id", vec: str = "vec",
             key: str = "cluster_id", centroid: str = "centroid", own: str | None = None,
-            max_pivots: int = MAX_PIVOTS, block: int = BLOCK_CENTRES, group_values: int = GROUP_VALUES) -> DataFrame:
+            max_pivots: int = MAX_PIVOTS, held_values: int = HELD_VALUES) -> DataFrame:
     """(id_col, nearest, value) of every point: its best centre by ``measure``, ties to the lower key.
 
     ``own`` names a column of the key that may not win (a point's own cluster). Ids and keys are unique, keys are
@@ -109,15 +139,30 @@ def nearest(points: DataFrame, centres: DataFrame, measure: str = "euclidean", i
     spark = points.sparkSession
     checkpoint_dir(spark)
     mine = F.coalesce(F.col(own).cast("bigint") if own else F.lit(None), F.lit(NO_KEY))
-    p = points.select(F.col(id_col).alias("id"), mine.alias("own"), V.as_double(vec).alias("x")).where("id is not null and size(x) > 0")
-    result = f"id {p.schema['id'].dataType.simpleString()}, nearest bigint, value double"
+    single = points.schema[vec].dataType.simpleString() == "array<float>"  # half as wide on the way, widened in the task
+    x = F.col(vec) if single else V.as_double(vec)
+    p = points.select(F.col(id_col).alias("id"), mine.alias("own"), x.alias("x")).where("id is not null and size(x) > 0")
+    id_type, x_type = (p.schema[n].dataType.simpleString() for n in ("id", "x"))
+    result = f"id {id_type}, nearest bigint, value double"
     c = centres.select(F.col(key).cast("bigint").alias("key"), V.as_double(centroid).alias("c")).where("key is not null and size(c) > 0")
     c = c.checkpoint(eager=True)
-    width = c.select(F.max(F.size("c"))).first()[0]
+    size = c.agg(F.max(F.size("c")).alias("width"), F.count(F.lit(1)).alias("n")).first()
+    width = size["width"]
     if not width:
         return spark.createDataFrame([], result).withColumnRenamed("id", id_col)
+    block = max(1, held_values // width)
+    if size["n"] <= block:
+        rows = c.collect()
+        held, names = np.array([r["c"] for r in rows], np.float64), np.array([r["key"] for r in rows], np.int64)
+
+        def scored(batches):
+            for batch in batches:
+                value, k = _best(_matrix(batch["x"]), batch["own"].to_numpy(), held, names, measure)
+                yield pa.RecordBatch.from_pydict({"id": batch["id"], "nearest": k, "value": value}).filter(pa.array(np.isfinite(value)))
+
+        return p.mapInArrow(scored, result).withColumnRenamed("id", id_col)
 
-    chosen = c.orderBy(F.xxhash64("key"), "key").limit(max(2, min(max_pivots, PIVOT_VALUES // width))).collect()
+    chosen = c.orderBy(F.xxhash64("key"), "key").limit(max(2, min(max_pivots, block))).collect()
     pivots, names = np.array([r["c"] for r in chosen], np.float64), np.array([r["key"] for r in chosen], np.int64)
 
     def space(m):
@@ -134,11 +179,14 @@ def nearest(points: DataFrame, centres: DataFrame, measure: str = "euclidean", i
     blocked = c.mapInArrow(to_block, "key bigint, c array<double>, pivot int, far double").checkpoint(eager=True)
     sizes = {r["pivot"]: r for r in blocked.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far")).collect()}
     radius = np.array([sizes[i]["far"] if i in sizes else -np.inf for i in range(len(names))])
-    splits = np.array([-(-sizes[i]["n"] // block) if i in sizes else 0 for i in range(len(names))], np.int64)
-    first = np.r_[0, np.cumsum(splits)]  # a pivot's blocks are numbered from here
-    starts = V.const(first.tolist(), "array<bigint>")
-    number = F.element_at(starts, F.col("pivot") + 1) + F.pmod(
-        F.xxhash64("key"), F.greatest(F.element_at(starts, F.col("pivot") + 2) - F.element_at(starts, F.col("pivot") + 1), F.lit(1)))
+    lows, highs = _spans([sizes[i]["n"] if i in sizes else 0 for i in range(len(names))], _neighbours(pivots), block)
+    n_blocks = int(highs.max())
+    low, high = (F.element_at(V.const(x.tolist(), "array<bigint>"), F.col("pivot") + 1) for x in (lows, highs))
+    number = low + F.pmod(F.xxhash64("key"), F.greatest(high - low, F.lit(1)))
+    # Which blocks hold centres of which pivot.
+    holds = np.zeros((len(names), n_blocks), np.float32)
+    for q, (a, b) in enumerate(zip(lows, highs)):
+        holds[q, a:b] = 1
     blocked = blocked.select(number.alias("block"), "key", "c")
     # A zero vector has the value 0 with every centre unless distances count: the two lowest keys settle it.
     lowest = sorted({r["block"] for r in blocked.orderBy("key").limit(2).collect()})
@@ -153,16 +201,14 @@ def nearest(points: DataFrame, centres: DataFrame, measure: str = "euclidean", i
                 upper[mine[:, None] == names] = np.inf
                 upper = upper.min(axis=1) + _allowance(x, pivots, measure)
                 need = _lower(x, pivots, radius, measure) <= (upper + _allowance(x, pivots, measure))[:, None]
-                need &= splits > 0
                 zero = ~x.any(axis=1) & (measure != "euclidean")
-                lists = [lowest if zero[i] else np.concatenate([np.arange(first[q], first[q + 1]) for q in np.flatnonzero(need[i])])
-                         for i in range(len(x))]
+                asked_for = need.astype(np.float32) @ holds > 0
+                lists = [lowest if zero[i] else np.flatnonzero(asked_for[i]) for i in range(len(x))]
                 yield pa.RecordBatch.from_pydict({"id": b["id"], "own": b["own"], "x": b["x"], "blocks": pa.array(lists, pa.list_(pa.int64()))})
 
-    wanted = p.mapInArrow(to_blocks, f"{result.split(',')[0]}, own bigint, x array<double>, blocks array<bigint>").checkpoint(eager=True)
+    wanted = p.mapInArrow(to_blocks, f"id {id_type}, own bigint, x {x_type}, blocks array<bigint>").checkpoint(eager=True)
     asked = {r["block"]: r["n"] for r in wanted.select(F.explode("blocks").alias("block")).groupBy("block").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rows = max(1, group_values // width)
-    copies = V.const([-(-asked.get(i, 1) // rows) for i in range(int(first[-1]))], "array<int>")
+    copies = V.const([-(-asked.get(i, 1) // block) for i in range(n_blocks)], "array<int>")
     n = F.element_at(copies, F.col("block").cast("int") + 1)
     left = wanted.select("id", "own", "x", F.explode("blocks").alias("block")).withColumn("copy", F.pmod(F.xxhash64("id", F.lit(7)), n).cast("int"))
     right = blocked.withColumn("copy", F.explode(F.sequence(F.lit(0), n - 1)))
@@ -176,7 +222,7 @@ def nearest(points: DataFrame, centres: DataFrame, measure: str = "euclidean", i
         return pa.table({"id": points_["id"].filter(pa.array(found)), "value": value[found], "key": k[found]})
 
     met = left.groupBy("block", "copy").cogroup(right.groupBy("block", "copy")).applyInArrow(
-        meet, f"{result.split(',')[0]}, value double, key bigint")
+        meet, f"id {id_type}, value double, key bigint")
     best = met.groupBy("id").agg(F.min(F.struct("value", "key")).alias("b"))
     return best.select(F.col("id").alias(id_col), F.col("b.key").alias("nearest"), F.col("b.value").alias("value"))
 

@@ -160,9 +160,8 @@ def brute_nearest(x, c, keys, measure, own=None):
     return out
 
 
-@pytest.mark.parametrize("measure", ["euclidean", "cosine", "dot"])
-@pytest.mark.parametrize("with_own", [False, True])
-def test_nearest_in_blocks_equals_brute_force(spark, measure, with_own):
+@pytest.mark.parametrize("measure,with_own,held", [("euclidean", False, 120), ("euclidean", True, 900), ("cosine", True, 120), ("dot", True, 120), ("cosine", False, 10_000)])
+def test_nearest_in_blocks_and_held_equals_brute_force(spark, measure, with_own, held):
     rng = np.random.default_rng(5)
     hubs = rng.normal(size=(12, 6)) * 3
     c = hubs[rng.integers(0, 12, 300)] + rng.normal(size=(300, 6)) * 0.2
@@ -177,7 +176,7 @@ def test_nearest_in_blocks_equals_brute_force(spark, measure, with_own):
                                    "post_id string, own bigint, vec array<double>, value int")
     centres = spark.createDataFrame([(int(k), v.tolist()) for k, v in zip(keys, c)], "cluster_id bigint, centroid array<double>")
     got = {int(r["post_id"]): (r["value"], r["nearest"]) for r in CE.nearest(
-        points, centres, measure, own="own" if with_own else None, max_pivots=9, block=20, group_values=120).collect()}
+        points, centres, measure, own="own" if with_own else None, max_pivots=9, held_values=held).collect()}
     want = brute_nearest(x, c, keys, measure, own if with_own else None)
     assert len(got) == 400
     for i, (v, k) in enumerate(want):
@@ -210,6 +209,7 @@ def test_more_clusters_than_a_constant_holds_give_the_same(spark, monkeypatch):
 
     few = results()
     monkeypatch.setattr(VO, "MAX_CLUSTERS", 5)
+    monkeypatch.setattr(CE.nearest, "__defaults__", (*CE.nearest.__defaults__[:-1], 30))
     many = results()
     assert many[0] == pytest.approx(few[0], abs=1e-9)
     assert many[1:] == few[1:]
