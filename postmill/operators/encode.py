@@ -16,6 +16,10 @@ from postmill import lexicon as L
 from postmill.functions import text as TX
 
 
+# Names the vectors of the default encoder; any change of its results needs another name.
+DEFAULT_VERSION = "hashing-384"
+
+
 def hashing_encoder(dim: int = 384):
     """make_predict_fn for a signed feature-hashing bag of lower-cased words, L2-normalised."""
     def make_predict_fn():
@@ -47,3 +51,8 @@ def encode(df: DataFrame, text_col: str, make_predict_fn=None, dim: int = 384,
                             input_tensor_shapes=None)
     text = F.when(TX.py_strip(F.coalesce(F.col(text_col), F.lit(""))) == "", F.lit(L.EMPTY_TEXT)).otherwise(F.col(text_col))
     return df.withColumn(out, udf(text))
+
+
+def stale(posts: DataFrame, vectors: DataFrame, version: str, key: str = "post_id") -> DataFrame:
+    """Posts without a vector of this encoder version; vectors of other versions (column ``encoder``) do not count."""
+    return posts.join(vectors.where(F.col("encoder") == version).select(key).distinct(), key, "left_anti")

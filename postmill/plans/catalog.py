@@ -343,6 +343,23 @@ def listing_cap(spark, sf):
         "listing", "n_fetched", F.coalesce("n_kept", F.lit(0)).cast("bigint").alias("n_kept"))
 
 
+# A ceiling that the given listings exceed.
+LOW_CEILING = 20
+
+
+@register("listing_cap_reached", f"""
+    WITH v AS ({Q.POSTS_VIEW}),
+    l AS (SELECT subreddit || s.sfx AS listing, post_id,
+                 list_reduce(list_transform(string_split(post_id, ''), lambda c: CAST(c AS BIGINT)), lambda a, b: a * 36 + b) // 100 AS page
+          FROM v, (VALUES ('/hot'), ('/new')) s(sfx)),
+    r AS (SELECT *, row_number() OVER (PARTITION BY listing ORDER BY page, post_id) AS rn FROM l)
+    SELECT listing, post_id FROM r WHERE rn <= {LOW_CEILING}""")
+def listing_cap_reached(spark, sf):
+    """The cap as a feature: which posts of each listing come before a low ceiling."""
+    _, run2 = _runs(spark, sf)
+    return ST.cap_per_listing(LS.to_posts(run2), ceiling=LOW_CEILING).select("listing", "post_id")
+
+
 _KW_SQL = _topk_sql(f"({_enriched_sql()})", "post_id", Q.drop_words(Q.tokens("combined")), L.KEYWORDS_PER_POST)
 _TOPIC_SQL = _topics_sql(f"({_enriched_sql()})", "post_id", "combined")
 
@@ -847,9 +864,32 @@ def encoder_batch(spark, sf):
     return out.select("post_id", F.size("embedding").alias("dim"), F.round(V.norm("embedding"), 4).alias("norm"))
 
 
+def counting_encoder():
+    """make_predict_fn of a tiny exact encoder: code points, blanks and letters e of a text."""
+    import numpy as np
+
+    def predict(texts):
+        return np.array([(len(t), t.count(" "), t.count("e")) for t in texts], np.float32).reshape(-1, 3)
+    return predict
+
+
+_ENCODED = f"(SELECT post_id, CASE WHEN {Q.py_strip('t')} = '' THEN '{L.EMPTY_TEXT}' ELSE t END AS t FROM (SELECT post_id, " \
+           f"{Q.join_text('cleaned_title', 'cleaned_selftext', 'ocr_text')} AS t FROM {ENR} e0) e1)"
+
+
+@register("encoder_exact", f"""
+    SELECT post_id, cast(length(t) AS float) AS chars, cast(length(t) - length(replace(t, ' ', '')) AS float) AS blanks,
+           cast(length(t) - length(replace(t, 'e', '')) AS float) AS es FROM {_ENCODED} e2""")
+def encoder_exact(spark, sf):
+    """The encoder stage with an encoder whose vectors are known: texts, batches and order reach it and return whole."""
+    e = EN.enrich(TB.stored_posts(spark, sf, TB.TEXT_COLUMNS))
+    out = EC.encode(e.select("post_id", TX.join_text("cleaned_title", "cleaned_selftext", "ocr_text").alias("text")), "text", counting_encoder)
+    return out.select("post_id", *[F.col("embedding")[i].alias(n) for i, n in enumerate(("chars", "blanks", "es"))])
+
+
 def _compared(r):
     """The comparison, one row per method; report lists as text."""
-    report = F.array_join(F.transform("report", lambda x: F.concat_ws(":", x["cluster_id"], x["size"])), ", ")
+    report = F.array_join(F.transform("report", lambda x: F.concat_ws(":", x["cluster_id"], x["size"], x["words"], x["titles"])), ", ")
     return EV.comparison(r).select("method", "family", "place", "wins_dimension", "n_posts", "n_clusters", "vector_dimension",
                                    "silhouette_cosine", "avg_intra_cluster_similarity", report.alias("report"))
 
@@ -886,7 +926,19 @@ def _method_sql(name: str, expr: str) -> str:
            (SELECT round(coalesce(sum(list_dot_product(s, list_transform(m, lambda x : x / mn))) / sum(n), 0.0), 4) FROM (
               SELECT *, sqrt(list_sum(list_transform(m, lambda x : x * x))) + 1e-12 AS mn FROM (
                 SELECT cluster_id, n, s, list_transform(s, lambda x : x / n) AS m FROM c WHERE n >= 2) h0) h) AS avg_intra_cluster_similarity,
-           (SELECT string_agg(cluster_id || ':' || n, ', ' ORDER BY cluster_id) FROM c WHERE cluster_id < 3) AS report
+           (SELECT string_agg(concat_ws(':', c.cluster_id, c.n, coalesce(kw.words, ''), coalesce(tt.titles, '')), ', ' ORDER BY c.cluster_id)
+              FROM c LEFT JOIN (SELECT cluster_id, string_agg(tok, ' ' ORDER BY rk) AS words FROM (
+                     SELECT cluster_id, tok, row_number() OVER (PARTITION BY cluster_id ORDER BY n DESC, first) AS rk FROM (
+                       SELECT cluster_id, tok, count(*) AS n, min({{'o': post_id, 'p': pos}}) AS first FROM (
+                         SELECT cluster_id, post_id, unnest(toks) AS tok, unnest(range(1, len(toks) + 1)) AS pos FROM (
+                           SELECT p.cluster_id, p.post_id, {Q.drop_words(Q.tokens('d.text'), EV.EXPERIMENT_STOP_WORDS)} AS toks
+                           FROM p JOIN documents d ON cast(d.doc_id AS varchar) = p.post_id WHERE p.cluster_id < 3) t0) t1
+                       GROUP BY cluster_id, tok) t2) t3 WHERE rk <= 6 GROUP BY cluster_id) kw ON kw.cluster_id = c.cluster_id
+              LEFT JOIN (SELECT cluster_id, string_agg(title, ' | ' ORDER BY post_id) AS titles FROM (
+                     SELECT p.cluster_id, p.post_id, split_part(d.text, chr(10), 1) AS title,
+                            row_number() OVER (PARTITION BY p.cluster_id ORDER BY p.post_id) AS rk
+                     FROM p JOIN documents d ON cast(d.doc_id AS varchar) = p.post_id) u0 WHERE rk <= 3 GROUP BY cluster_id) tt ON tt.cluster_id = c.cluster_id
+              WHERE c.cluster_id < 3) AS report
     FROM (SELECT 1) one""", src
 
 

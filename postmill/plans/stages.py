@@ -15,19 +15,23 @@ from postmill.session import scratch_path
 from postmill.sources import store as ST
 from postmill.streaming import ingest as IG
 
+# Vectors are kept per encoder version, a partition each.
+EMBEDDED_DDL = "post_id string, embedding array<float>, encoder string"
 STATUS_DDL = "stage string, ok boolean, rows bigint, error string"
 
 
 def run(spark: SparkSession, runs: list, k: int = L.EXPERIMENT_CLUSTERS, restarts: int = L.KMEANS_RESTARTS,
-        encoder=None) -> DataFrame:
+        encoder=None, version: str = EC.DEFAULT_VERSION, base: str | None = None) -> DataFrame:
     """``runs`` are listing-page DataFrames landed one after another. Returns a status row per stage
     (rows = rows that it added or wrote) and the totals 'posts', 'embedded' and 'clustered' of this run. All numbers are
     observed while the rows are written.
 
     All tables exist, empty, before the first stage, so a stage reads what there is and a failed read
-    is an error, not a first run. Only posts without a vector are embedded.
+    is an error, not a first run. Only posts without a vector of this encoder ``version`` are embedded, and only
+    such vectors are clustered; those of another version stay until their partition is dropped. With ``base``, the folder of an
+    earlier run, its tables are carried on; else they are new.
     """
-    base = scratch_path(spark, "stages")
+    base = base or scratch_path(spark, "stages")
     landing, store, ckpt = f"{base}/landing", f"{base}/posts", f"{base}/ingest-ckpt"
     enriched_p, embedded_p, clustered_p = f"{base}/enriched", f"{base}/embedded", f"{base}/clustered"
     status = []
@@ -40,10 +44,10 @@ def run(spark: SparkSession, runs: list, k: int = L.EXPERIMENT_CLUSTERS, restart
 
     totals = {"posts": 0, "embedded": 0, "clustered": 0}
 
-    def written(df, mode, path, counted=F.lit(True), total=None):
+    def written(df, mode, path, counted=F.lit(True), total=None, by=()):
         """Write and return the rows written, counted on the way (nothing is read again)."""
         seen = Observation()
-        df.observe(seen, F.coalesce(F.sum(F.when(counted, 1)), F.lit(0)).alias("rows")).write.mode(mode).parquet(path)
+        df.observe(seen, F.coalesce(F.sum(F.when(counted, 1)), F.lit(0)).alias("rows")).write.mode(mode).partitionBy(*by).parquet(path)
         if total:
             totals[total] += seen.get["rows"]
         return seen.get["rows"]
@@ -51,7 +55,10 @@ def run(spark: SparkSession, runs: list, k: int = L.EXPERIMENT_CLUSTERS, restart
     IG.init_store(spark, store)
     EN.enrich(ST.read_posts(spark, store)).withColumn("keywords", TX.list_text("keywords")).withColumn(
         "topics", TX.list_text("topics")).limit(0).write.mode("ignore").parquet(enriched_p)
-    spark.createDataFrame([], "post_id string, embedding array<float>").write.mode("ignore").parquet(embedded_p)
+    spark.createDataFrame([], EMBEDDED_DDL).write.mode("ignore").partitionBy("encoder").parquet(embedded_p)
+
+    def vectors():
+        return spark.read.schema(EMBEDDED_DDL).parquet(embedded_p)
 
     def ingest():
         added = 0
@@ -67,14 +74,15 @@ def run(spark: SparkSession, runs: list, k: int = L.EXPERIMENT_CLUSTERS, restart
         return written(out, "append", enriched_p)
 
     def embed():
-        e = EN.pending(spark.read.parquet(enriched_p), spark.read.parquet(embedded_p))
+        e = EC.stale(spark.read.parquet(enriched_p), vectors(), version)
         text = TX.join_text("cleaned_title", "cleaned_selftext", "ocr_text")
-        out = EC.encode(e.select("post_id", text.alias("text")), "text", encoder).select("post_id", "embedding")
-        return written(out, "append", embedded_p, F.size("embedding") > 0, "embedded")
+        out = EC.encode(e.select("post_id", text.alias("text")), "text", encoder).select(
+            "post_id", "embedding", F.lit(version).alias("encoder"))
+        return written(out, "append", embedded_p, F.size("embedding") > 0, "embedded", ["encoder"])
 
     def cluster():
         e = spark.read.parquet(enriched_p).join(
-            spark.read.parquet(embedded_p).withColumnRenamed("embedding", "vec"), "post_id")
+            vectors().where(F.col("encoder") == version).select("post_id", F.col("embedding").alias("vec")), "post_id")
         out, _, _ = CJ.run(e, k, restarts)
         posts = ST.read_posts(spark, store).select(
             "post_id", F.lit(None).cast("int").alias("cluster_id"), F.lit("").alias("cluster_keywords"))

@@ -173,3 +173,39 @@ def test_a_failing_stage_does_not_stop_the_others(spark):
     got = {r["stage"]: (r["ok"], r["rows"]) for r in stages.run(spark, list(runs), restarts=1, encoder=broken).collect()}
     assert got["ingest"] == (True, 200) and got["enrich"] == (True, 200) and got["posts"] == (True, 200)
     assert got["embed"][0] is False and got["embedded"] == (True, 0)
+
+
+def test_another_encoder_version_embeds_again(spark):
+    from postmill.plans import catalog, stages
+    from postmill.session import scratch_path
+    runs, base = list(catalog._runs(spark, "/root/testdata/sf0.001")), scratch_path(spark, "versions")
+
+    def embedded(runs, version):
+        got = {r["stage"]: (r["ok"], r["rows"]) for r in stages.run(
+            spark, runs, k=3, restarts=1, encoder=catalog.counting_encoder, version=version, base=base).collect()}
+        assert all(ok for ok, _ in got.values()) and got["clustered"][1] == 200
+        return got["embedded"][1]
+
+    assert [embedded(runs, "a-1"), embedded([], "a-1"), embedded([], "a-2")] == [200, 0, 200]
+    kept = spark.read.parquet(f"{base}/embedded").groupBy("encoder").count().collect()
+    assert sorted(map(tuple, kept)) == [("a-1", 200), ("a-2", 200)]
+
+
+def test_pca_against_power_iteration(spark):
+    from postmill.operators import cluster as CL
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(120, 6)) * [5, 3, 1, 1, .5, .2] + 4
+    df = spark.createDataFrame([(str(i), i % 3, v.tolist()) for i, v in enumerate(x)], "post_id string, cluster_id int, vec array<double>")
+    coords, ratio = CL.pca_2d(df)
+    got = np.array([(r["pc1"], r["pc2"]) for r in sorted(coords.collect(), key=lambda r: int(r["post_id"]))])
+    centred = x - x.mean(axis=0)
+    left, total = centred.T @ centred, (centred ** 2).sum()
+    for k in range(2):
+        v = np.ones(6)
+        for _ in range(2000):
+            v = left @ v
+            v /= np.linalg.norm(v)
+        share = v @ left @ v
+        assert ratio[k] == pytest.approx(share / total, rel=1e-6)
+        assert np.abs(got[:, k]) == pytest.approx(np.abs(centred @ v), abs=1e-5)
+        left = left - share * np.outer(v, v)
