@@ -232,6 +232,68 @@ def test_language_pieces_lose_no_subword(monkeypatch):
     assert (language_id.counts(t) == whole).all()
 
 
+def plain_buckets(text):
+    """Every subword of two to four bytes, one at a time: A-Z folded, other ASCII a blank, ending in two blanks left out."""
+    b = [c if c > 127 else c | 32 if chr(c).isalpha() else 32 for c in text.encode()]
+    out = Counter()
+    for n in (2, 3, 4):
+        for i in range(len(b) - n + 1):
+            gram = b[i:i + n]
+            if gram[-2:] != [32, 32]:
+                out[((int.from_bytes(bytes(gram)) ^ (n * 0x5BD1E995 & 0xFFFFFFFF)) * 0x9E3779B1 & 0xFFFFFFFF) >> 18] += 1
+    return out
+
+
+def plain_probabilities(z):
+    e = [math.exp(x - max(z)) for x in z]
+    return [x / sum(e) for x in e]
+
+
+def test_language_predictions_against_plain_computation(spark):
+    docs = spark.createDataFrame([r[:3] for r in languages(120)] + [(900, "Çà et  là, ÉTÉ 42!", "xx"), (901, "a", "yy"), (902, "word " * 700, None)],
+                                 "doc_id long, text string, lang string")
+    model = language_id.fit(docs)
+    for r in language_id.predict(docs, model).collect():
+        n = plain_buckets(r.text)
+        z = [sum(c * float(model.scores[k, y]) for k, c in n.items()) / max(sum(n.values()), 1) / model.temperature for y in range(len(model.labels))]
+        p = plain_probabilities(z)
+        assert r.score == pytest.approx(max(p), abs=1e-5) and p[model.labels.index(r.lang_pred)] == pytest.approx(max(p), abs=1e-5)
+        assert r.rejected == (r.score < model.threshold)
+
+
+def test_language_training_against_plain_gradient(monkeypatch):
+    """The same steps with dense vectors: embedding mean, output layer, softmax, gradient; then the temperature by its loss."""
+    monkeypatch.setattr(language_id, "EPOCHS", 3)
+    data = [(r[2], r[1]) for r in languages(60)]
+    rows = []
+    for y, t in data:
+        n = sorted(plain_buckets(t).items())
+        rows.append((y, np.array([k for k, _ in n]), np.array([c for _, c in n], float), []))
+    model = language_id.train(rows)
+    labels = sorted({y for y, _ in data})
+    rng = np.random.default_rng(7)
+    emb, out = rng.uniform(-1 / language_id.DIM, 1 / language_id.DIM, (language_id.BUCKETS, language_id.DIM)), np.zeros((language_id.DIM, len(labels)))
+    dense = []
+    for y, idx, c, _ in rows:
+        x = np.zeros(language_id.BUCKETS)
+        x[idx] = c / c.sum()
+        dense.append((labels.index(y), x))
+    fit, held = [d for i, d in enumerate(dense) if i % 5], dense[::5]
+    for epoch in range(3):
+        for i in rng.permutation(len(fit)):
+            y, x = fit[i]
+            error = np.array(plain_probabilities((x @ emb) @ out)) - np.eye(len(labels))[y]
+            step = language_id.RATE * (1 - epoch / 3)
+            to_emb, to_out = np.outer(x, out @ error), np.outer(x @ emb, error)
+            emb, out = emb - step * to_emb, out - step * to_out
+    assert model.labels == labels and np.abs(model.scores - emb @ out).max() < 1e-4
+
+    def loss(t):
+        return -sum(math.log(plain_probabilities((x @ emb) @ out / t)[y] + 1e-12) for y, x in held)
+
+    assert loss(model.temperature) <= min(loss(t) for t in np.geomspace(0.05, 20, 60)) + 1e-4
+
+
 # --- Decontamination --------------------------------------------------------------------------------------------
 
 
