@@ -213,3 +213,15 @@ def test_more_clusters_than_a_constant_holds_give_the_same(spark, monkeypatch):
     many = results()
     assert many[0] == pytest.approx(few[0], abs=1e-9)
     assert many[1:] == few[1:]
+
+
+def test_silhouette_scores_all_points_of_a_table_larger_than_the_sample(spark):
+    from postmill import lexicon as L
+    rng = np.random.default_rng(8)
+    n = L.SILHOUETTE_SAMPLE + 100
+    lab = rng.integers(0, 3, n)
+    lab[7] = 9  # a singleton
+    x = rng.normal(size=(n, 2)) + lab[:, None]
+    got = VO.silhouette_euclidean(frame(spark, [(int(c), v) for c, v in zip(lab, x.tolist())])).first()
+    assert got["n_points"] == n
+    assert got["silhouette_euclidean"] == pytest.approx(brute_silhouette(x, lab, "euclidean"), abs=1e-9)
