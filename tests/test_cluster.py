@@ -209,3 +209,10 @@ def test_pca_against_power_iteration(spark):
         assert ratio[k] == pytest.approx(share / total, rel=1e-6)
         assert np.abs(got[:, k]) == pytest.approx(np.abs(centred @ v), abs=1e-5)
         left = left - share * np.outer(v, v)
+
+
+def test_models_share_matrix_products_of_a_bounded_number_of_centres():
+    models = [(m, np.full((k, 2), float(m))) for m, k in enumerate((3, 400, 700, 5, 2000, 2))]
+    stacks = LL._stacks(models, np.float32)
+    assert [[m for m, _ in group] for group, _, _ in stacks] == [[0, 1], [2, 3], [4], [5]]
+    assert all(len(c) == sum(k for _, k in group) == len(norms) and c.dtype == np.float32 for group, c, norms in stacks)
