@@ -75,6 +75,9 @@ def merge(spark, path: str, update: DataFrame, staging: str, part: str, key: str
     table's; keys that it does not hold are ignored.
     """
     resume(spark, path, staging, part)
+    checkpoint_dir(spark)
+    # Read twice below; its rows are the key and the updated columns only.
+    update = update.checkpoint(eager=True)
     base = spark.read.parquet(path)
     cols = [c for c in update.columns if c != key]
     u = update.select(key, *[F.col(c).cast(base.schema[c].dataType).alias(f"_new_{c}") for c in cols])
