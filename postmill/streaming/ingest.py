@@ -48,20 +48,28 @@ def first_arrivals(rows: DataFrame, hours: float = STATE_HOURS) -> DataFrame:
     flat = rows.select(*names, F.col("arrival.fetched_at").alias("_fetched"), F.col("arrival.listing").alias("_listing"),
                        F.col("arrival.page").alias("_page"), F.col("arrival.position").alias("_position"), F.current_timestamp().alias("_seen")).withWatermark("_seen", "1 hour")
 
+    def order(pdf):
+        # Nulls come first.
+        return [tuple((x == x and x is not None, x if x == x and x is not None else 0) for x in row) for row in zip(*(pdf[c].tolist() for c in _ORDER), strict=True)]
+
     def pick(key, frames, state):
         first = None
         for pdf in frames:
-            # One row at a time is kept, however often a key occurs.
+            # One row at a time is kept, however often a key occurs; most keys have one row, which needs no comparison.
             pdf = pdf if first is None else pd.concat([first, pdf])
-            first = pdf.sort_values(list(_ORDER), na_position="first", kind="stable").head(1)
-            seen = pdf["_seen"].max()
+            if len(pdf) > 1:
+                places = order(pdf)
+                at = places.index(min(places))
+                pdf = pdf.iloc[at:at + 1]
+            first = pdf
         if state.hasTimedOut:
             state.remove()
             return
         known = state.exists
         state.update((True,))
-        state.setTimeoutTimestamp(int(seen.timestamp() * 1000 + hours * 3_600_000))
-        if not known and first is not None:
+        # All rows of a micro-batch carry its time.
+        state.setTimeoutTimestamp(int(first["_seen"].iat[0].timestamp() * 1000 + hours * 3_600_000))
+        if not known:
             yield first[names]
 
     return flat.groupBy("post_id").applyInPandasWithState(pick, S.POSTS, "seen boolean", "append", "EventTimeTimeout")
