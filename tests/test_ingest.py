@@ -202,3 +202,26 @@ def test_page_without_fetch_time_takes_the_present(spark):
     pages = pages_df(spark, [page("python/hot", 0, "2024-06-01T00:00:00Z", [child("a", 1)])]).drop("fetched_at")
     r = LS.to_posts(pages).select(F.col("fetched_at") > F.current_timestamp() - F.expr("interval 1 hour")).first()
     assert r[0] is True
+
+
+def test_merge_computes_its_update_once(spark):
+    base = scratch_path(spark, "once")
+    spark.createDataFrame([("p1", "s1", 0), ("p2", "s2", 0)], "post_id string, sub string, cluster_id int").write.partitionBy("sub").parquet(f"{base}/t")
+    seen = spark.sparkContext.accumulator(0)
+
+    def label(x):
+        seen.add(1)
+        return 7
+
+    update = spark.createDataFrame([("p1",), ("p2",)], "post_id string").withColumn("cluster_id", F.udf(label, "int")("post_id"))
+    assert ST.merge(spark, f"{base}/t", update, f"{base}/staging", "sub") == ["s1", "s2"]
+    assert seen.value == 2
+
+
+def test_index_append_asks_the_index_with_stored_arrivals(spark, monkeypatch):
+    from postmill.plans import catalog
+    from postmill.sources.keyindex import KeyIndex
+    asked, unseen = [], KeyIndex.unseen
+    monkeypatch.setattr(KeyIndex, "unseen", lambda self, batch: asked.append(batch.inputFiles()) or unseen(self, batch))
+    assert catalog.QUERIES["index_append"](spark, "/root/testdata/sf0.001").count() == 200
+    assert len(asked) == 2 and all(files and all("/arrived-" in f for f in files) for files in asked)
