@@ -7,6 +7,7 @@ bounds the centres of each pivot from below, and the point goes only to blocks o
 neighbouring pivots up to a size; a pivot with more centres has several. Points and centres of a block meet as Arrow groups of
 bounded size: a block that many points need is copied to as many groups. The winners, narrow rows, are merged by one
 aggregate. The answer is exact. Where no block can be ruled out, each point moves once per ``HELD_VALUES`` numbers of centres.
+Tasks are dealt by pairs of point and centre, not by bytes: a group is a task, and points that meet held centres are dealt anew.
 
 Measures (``MEASURES``), all smaller is better; ties go to the lower key:
 
@@ -31,6 +32,9 @@ MEASURES = ("euclidean", "cosine", "dot")
 # Numbers in the centres or pivots that travel with every task, in a block of centres and in the points of one group (32 MB).
 HELD_VALUES = 4_000_000
 MAX_PIVOTS = 1_024
+# Centres beyond which a scan's partition of points may be too long a task, and pairs of point and centre in one task then (some
+# seconds), whatever the files of the points. A group in blocks has at most GROUP_PAIRS.
+FEW_CENTRES, TASK_PAIRS, GROUP_PAIRS = 4_096, 1 << 28, 1 << 32
 NO_KEY = -2**63  # stands for "no own cluster"
 # Relative allowance for rounding; whatever lies within it is compared again in full precision.
 SLACK = 1e-9
@@ -86,7 +90,9 @@ def _best(x: np.ndarray, own: np.ndarray, c: np.ndarray, keys: np.ndarray, measu
     for a in range(0, len(x), step):
         xs = x[a:a + step]
         v = _values(xs, c, measure)
-        v[own[a:a + step, None] == keys[None, :]] = np.inf
+        mine = own[a:a + step]
+        if (mine != NO_KEY).any():
+            v[mine[:, None] == keys[None, :]] = np.inf
         least = v.min(axis=1)
         near = np.isfinite(v) & (v <= (least + 2 * _allowance(xs, c, measure))[:, None])
         i, j = np.nonzero(near)
@@ -125,6 +131,14 @@ def _spans(sizes: list[int], order: list[int], block: int) -> tuple[np.ndarray,
     return low, high
 
 
+def _by_work(points: DataFrame, n_centres: int) -> DataFrame:
+    """``points`` (id, ...) in partitions of about ``TASK_PAIRS`` pairs with centres: few bytes of points can be much work."""
+    if n_centres <= FEW_CENTRES:
+        return points
+    parts = -(-points.count() * n_centres // TASK_PAIRS)
+    return points.repartition(parts, "id") if parts > 1 else points
+
+
 def nearest(points: DataFrame, centres: DataFrame, measure: str = "euclidean", id_col: str = "post_id", vec: str = "vec",
             key: str = "cluster_id", centroid: str = "centroid", own: str | None = None,
             max_pivots: int = MAX_PIVOTS, held_values: int = HELD_VALUES) -> DataFrame:
@@ -160,7 +174,7 @@ def nearest(points: DataFrame, centres: DataFrame, measure: str = "euclidean", i
                 value, k = _best(_matrix(batch["x"]), batch["own"].to_numpy(), held, names, measure)
                 yield pa.RecordBatch.from_pydict({"id": batch["id"], "nearest": k, "value": value}).filter(pa.array(np.isfinite(value)))
 
-        return p.mapInArrow(scored, result).withColumnRenamed("id", id_col)
+        return _by_work(p, size["n"]).mapInArrow(scored, result).withColumnRenamed("id", id_col)
 
     chosen = c.orderBy(F.xxhash64("key"), "key").limit(max(2, min(max_pivots, block))).collect()
     pivots, names = np.array([r["c"] for r in chosen], np.float64), np.array([r["key"] for r in chosen], np.int64)
@@ -208,10 +222,15 @@ def nearest(points: DataFrame, centres: DataFrame, measure: str = "euclidean", i
 
     wanted = p.mapInArrow(to_blocks, f"id {id_type}, own bigint, x {x_type}, blocks array<bigint>").checkpoint(eager=True)
     asked = {r["block"]: r["n"] for r in wanted.select(F.explode("blocks").alias("block")).groupBy("block").agg(F.count(F.lit(1)).alias("n")).collect()}
-    copies = V.const([-(-asked.get(i, 1) // block) for i in range(n_blocks)], "array<int>")
-    n = F.element_at(copies, F.col("block").cast("int") + 1)
-    left = wanted.select("id", "own", "x", F.explode("blocks").alias("block")).withColumn("copy", F.pmod(F.xxhash64("id", F.lit(7)), n).cast("int"))
-    right = blocked.withColumn("copy", F.explode(F.sequence(F.lit(0), n - 1)))
+    held = max(1, min(block, GROUP_PAIRS // block))
+    counts = [-(-asked.get(i, 1) // held) for i in range(n_blocks)]
+    # Groups are numbered, and each is a task: hashed to the session's partitions, some tasks would hold many.
+    first = np.concatenate([[0], np.cumsum(counts)])
+    n, start = (F.element_at(V.const(x, "array<int>"), F.col("block").cast("int") + 1) for x in (counts, first[:-1].tolist()))
+    left = wanted.select("id", "own", "x", F.explode("blocks").alias("block")).select(
+        (start + F.pmod(F.xxhash64("id", F.lit(7)), n).cast("int")).alias("group"), "id", "own", "x")
+    right = blocked.select(F.explode(F.sequence(start, start + n - 1)).alias("group"), "key", "c")
+    left, right = (side.repartitionById(int(first[-1]), F.col("group")) for side in (left, right))
 
     def meet(points_: pa.Table, centres_: pa.Table) -> pa.Table:
         if not points_.num_rows or not centres_.num_rows:
@@ -221,7 +240,7 @@ def nearest(points: DataFrame, centres: DataFrame, measure: str = "euclidean", i
         found = np.isfinite(value)
         return pa.table({"id": points_["id"].filter(pa.array(found)), "value": value[found], "key": k[found]})
 
-    met = left.groupBy("block", "copy").cogroup(right.groupBy("block", "copy")).applyInArrow(
+    met = left.groupBy("group").cogroup(right.groupBy("group")).applyInArrow(
         meet, f"id {id_type}, value double, key bigint")
     best = met.groupBy("id").agg(F.min(F.struct("value", "key")).alias("b"))
     return best.select(F.col("id").alias(id_col), F.col("b.key").alias("nearest"), F.col("b.value").alias("value"))

@@ -185,6 +185,21 @@ def test_nearest_in_blocks_and_held_equals_brute_force(spark, measure, with_own,
         assert got[i][1] == k or brute_nearest(x[i:i + 1], c[keys == got[i][1]], keys[keys == got[i][1]], measure)[0][0] == pytest.approx(v, abs=1e-15)
 
 
+@pytest.mark.parametrize("held", [600, 100_000])
+def test_nearest_deals_tasks_by_pairs(spark, monkeypatch, held):
+    """Points of one file and many centres: no task gets all pairs, in blocks as with held centres, and the answer stays."""
+    rng = np.random.default_rng(8)
+    x, c = rng.normal(size=(600, 6)), rng.normal(size=(200, 6))
+    points = spark.createDataFrame([(str(i), v.tolist()) for i, v in enumerate(x)], "post_id string, vec array<double>").coalesce(1)
+    centres = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(c)], "cluster_id bigint, centroid array<double>")
+    for name, value in (("FEW_CENTRES", 50), ("TASK_PAIRS", 12_000), ("GROUP_PAIRS", 5_000)):
+        monkeypatch.setattr(CE, name, value)
+    sizes = CE._by_work(points.withColumnRenamed("post_id", "id"), 200).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 10 and max(r["count"] for r in sizes) * 200 < 3 * 12_000
+    got = {int(r["post_id"]): r["nearest"] for r in CE.nearest(points, centres, held_values=held).collect()}
+    assert got == {i: int(((v - c) ** 2).sum(axis=1).argmin()) for i, v in enumerate(x)}
+
+
 def test_nearest_without_centres_and_with_one(spark):
     points = spark.createDataFrame([("a", 1, [1.0, 2.0])], "post_id string, own int, vec array<double>")
     none = spark.createDataFrame([], "cluster_id int, centroid array<double>")
