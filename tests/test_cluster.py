@@ -123,6 +123,24 @@ def test_document_and_word_vectors(spark):
     assert bins == 3 and all(abs(sum(r["vec"]) - 1) < 1e-9 for r in dense.collect())
 
 
+def test_ratings_are_the_ppmi_weights_as_lists(spark, monkeypatch):
+    """Equal to ``wordvec.ppmi`` with one and several blocks of words, a key in two rows, a null key and a text without words."""
+    from postmill.operators import docvec as DV
+    from postmill.operators import wordtable as WT
+    from postmill.operators import wordvec as WV
+    rng = np.random.default_rng(2)
+    rows = [(f"d{i % 35}", [f"w{w}" for w in rng.zipf(1.5, 30) % 60]) for i in range(40)] + [("none", []), (None, ["w1", "w2"]), ("once", ["seldom"])]
+    docs = spark.createDataFrame(rows, "post_id string, tokens array<string>")
+    words = {w: i for i, w in enumerate(sorted(r["word"] for r in WV.vocabulary(docs).collect()))}
+    want = {(r["post_id"], words[r["word"]]): r["ppmi"] for r in WV.ppmi(docs).collect()}
+    for size in (WT.BLOCK_BYTES, 1000):
+        monkeypatch.setattr(WT, "BLOCK_BYTES", size)
+        lists, doc_ix = DV.doc_word_ratings(docs)
+        assert lists.count() == 40 and doc_ix.count() == 43  # one row a document: none per word is stored
+        got = {(r["post_id"], w): x for r in lists.join(doc_ix, "doc_ix").collect() for w, x in zip(r["words"], r["ppmi"], strict=True)}
+        assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], rel=1e-6) for k in want)
+
+
 def test_bins_of_several_word_tables_are_one_fit(spark):
     from postmill.operators import docvec as DV
     rng = np.random.default_rng(1)
