@@ -225,3 +225,38 @@ def test_index_append_asks_the_index_with_stored_arrivals(spark, monkeypatch):
     monkeypatch.setattr(KeyIndex, "unseen", lambda self, batch: asked.append(batch.inputFiles()) or unseen(self, batch))
     assert catalog.QUERIES["index_append"](spark, "/root/testdata/sf0.001").count() == 200
     assert len(asked) == 2 and all(files and all("/arrived-" in f for f in files) for files in asked)
+
+
+def test_first_arrivals_of_a_task_equal_brute_force_and_no_key_is_a_python_call(spark, monkeypatch):
+    import random
+
+    import pyarrow as pa
+    draw = random.Random(2)
+    none = [None]
+    rows = [{"post_id": f"p{draw.randrange(4000)}", "_fetched": draw.choice([*range(5), *none]), "_listing": draw.choice(["a", "é", "z", *none]),
+             "_page": draw.choice([*range(9), *none]), "_position": n, "score": n} for n in range(30_000)]
+    schema = pa.schema([("post_id", pa.string()), ("_fetched", pa.timestamp("us")), ("_listing", pa.string()), ("_page", pa.int64()), ("_position", pa.int32()), ("score", pa.int64())])
+
+    def order(r):
+        return tuple((r[c] is not None, r[c] if r[c] is not None else 0) for c in IG._ORDER)
+
+    want = {}
+    for r in rows:
+        if r["post_id"] not in want or order(r) < order(want[r["post_id"]]):
+            want[r["post_id"]] = r
+    got = [x for b in IG._firsts(iter(pa.Table.from_pylist(rows, schema).to_batches(700))) for x in b["score"].to_pylist()]
+    assert sorted(got) == sorted(r["score"] for r in want.values()) and not list(IG._firsts(iter(())))
+    landing = scratch_path(spark, "test-plan")
+    IG.land(pages_df(spark, [page("python/hot", 0, "2024-06-01T00:00:00Z", [child("a", 1)])]), landing)
+    pages = spark.readStream.schema(S.LANDED_LISTING).json(landing)
+    plan = IG.first_arrivals(ST.valid(LS.to_posts(pages)))._jdf.queryExecution().logical().toString()
+    assert "DeduplicateWithinWatermark" in plan and "FlatMapGroupsInPandasWithState" not in plan
+
+
+def test_first_arrival_over_many_pages_of_one_batch(spark):
+    base = scratch_path(spark, "test-first")
+    docs = [page("python/hot", i, f"2024-06-{1 + i:02d}T00:00:00Z", [child(f"x{k}", 100 * i + k) for k in range(i, 20)]) for i in reversed(range(6))]
+    got = run_pages(spark, base, docs)
+    # The batch without rows, in which only the state's clock moves, adds nothing.
+    assert (got["added"], got["state"], got["pages"]) == (20, 20, 6) and got["batches"] >= 1
+    assert stored(spark, base) == sorted((f"x{k}", k) for k in range(20))
