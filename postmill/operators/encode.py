@@ -18,6 +18,8 @@ from postmill.functions import text as TX
 
 # Names the vectors of the default encoder; any change of its results needs another name.
 DEFAULT_VERSION = "hashing-384"
+# Words whose hashes a worker remembers between texts.
+HELD_WORDS = 200_000
 
 
 def hashing_encoder(dim: int = 384):
@@ -30,13 +32,21 @@ def hashing_encoder(dim: int = 384):
         import numpy as np
 
         word = re.compile(r"[^\W\d_]{2,}")
+        places: dict = {}
+
+        def place(w):
+            h = int.from_bytes(blake2b(w.encode(), digest_size=8).digest(), "big")
+            places[w] = p = h % dim + (dim if (h >> 63) & 1 else 0)
+            return p
 
         def predict(texts):
             out = np.zeros((len(texts), dim), dtype=np.float32)
             for i, t in enumerate(texts):
-                for w in word.findall(str(t).lower()):
-                    h = int.from_bytes(blake2b(w.encode(), digest_size=8).digest(), "big")
-                    out[i, h % dim] += 1.0 if (h >> 63) & 1 else -1.0
+                if len(places) > HELD_WORDS:
+                    places.clear()
+                words = word.findall(str(t).lower())
+                n = np.bincount([places[w] if w in places else place(w) for w in words], minlength=2 * dim) if words else np.zeros(2 * dim)
+                out[i] = n[dim:] - n[:dim]
             n = np.linalg.norm(out, axis=1, keepdims=True)
             return np.divide(out, n, out=np.zeros_like(out), where=n > 0)
         return predict
